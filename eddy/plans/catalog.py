@@ -83,3 +83,214 @@ def q_top10_keywords(spark, sf_dir):
 @register("keyword_ranking")
 def q_keyword_ranking(spark, sf_dir):
     return rp.rank_counts(rp.keyword_counts(kw.extract_keywords(tb.documents(spark, sf_dir))), "keyword")
+
+
+# --------------------------- ingest, codecs, topics ---------------------------
+
+from eddy import schema as sc  # noqa: E402
+from eddy.operators import validate as va  # noqa: E402
+from eddy.session import scratch_path  # noqa: E402
+from eddy.sources import files as fs  # noqa: E402
+from eddy.sources import json_codec as jc  # noqa: E402
+from eddy.sources import topic as tp  # noqa: E402
+
+COMMENT_PARTITIONS = 5     # topic partitions of the comment stream
+COMMENT_PRODUCERS = 2      # stride shards of the producer
+COMMENT_CONSUMERS = 2      # consumers reading the comment topic
+WIRE = {"row_index": sc.KEY_INDEX, "text": sc.KEY_TEXT, "comment_id": sc.KEY_COMMENT_ID}
+
+
+def _comment_messages(spark, sf_dir):
+    c = tb.comments(spark, sf_dir)
+    return tp.produce(jc.encode(c, WIRE), COMMENT_PARTITIONS)
+
+
+@register("scan_comments")
+def q_scan_comments(spark, sf_dir):
+    path = scratch_path(spark, "comments-csv")
+    fs.write_comments_csv(tb.comments_with_time(spark, sf_dir), path)
+    return tb.spread(fs.read_comments_csv(spark, path))
+
+
+@register("stride_shard")
+def q_stride_shard(spark, sf_dir):
+    c = tb.comments(spark, sf_dir)
+    return c.select("row_index", tp.stride_shard_id(F.col("row_index"), COMMENT_PRODUCERS).alias("producer_id"))
+
+
+@register("json_encode")
+def q_json_encode(spark, sf_dir):
+    return jc.encode(tb.comments(spark, sf_dir), WIRE).select("row_index", "value")
+
+
+@register("json_decode")
+def q_json_decode(spark, sf_dir):
+    e = tb.events(spark, sf_dir).select("event_id", F.col("props").alias("value"))
+    return jc.decode(e, sc.T.StructType([sc.T.StructField("k", sc.T.LongType())]), keep_value=False).drop("_json_ok")
+
+
+@register("json_decode_double")
+def q_json_decode_double(spark, sf_dir):
+    e = tb.events(spark, sf_dir).select("event_id", "props")
+    doubled = F.regexp_extract(F.to_json(F.array("props")), r"^\[(.*)\]$", 1)
+    both = (e.select("event_id", F.lit("plain").alias("form"), F.col("props").alias("value"))
+            .unionByName(e.select("event_id", F.lit("double").alias("form"), doubled.alias("value"))))
+    return jc.decode(both, sc.T.StructType([sc.T.StructField("k", sc.T.LongType())]), keep_value=False).drop("_json_ok")
+
+
+@register("message_key")
+def q_message_key(spark, sf_dir):
+    return _comment_messages(spark, sf_dir).select("row_index", "key")
+
+
+@register("partition_assign")
+def q_partition_assign(spark, sf_dir):
+    return _comment_messages(spark, sf_dir).select("row_index", "key", "partition")
+
+
+@register("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    return tp.partition_counts(_comment_messages(spark, sf_dir))
+
+
+@register("consumer_assign")
+def q_consumer_assign(spark, sf_dir):
+    return tp.consumer_assignment(_comment_messages(spark, sf_dir), COMMENT_PARTITIONS, COMMENT_CONSUMERS)
+
+
+@register("end_offsets")
+def q_end_offsets(spark, sf_dir):
+    return tp.end_offsets(tb.processed_records(spark, sf_dir))
+
+
+# ------------------------------- validation ----------------------------------
+
+@register("field_default")
+def q_field_default(spark, sf_dir):
+    """Decode comment messages; absent ``id`` -> 'unknown', absent text -> ''."""
+    m = jc.decode(_comment_messages(spark, sf_dir).select("value"), sc.COMMENT_MESSAGE)
+    return m.select(F.col(sc.KEY_INDEX).alias("row_index"),
+                    F.coalesce(F.col(sc.KEY_ID), F.lit("unknown")).alias("id"),
+                    F.length(F.coalesce(F.col(sc.KEY_TEXT), F.lit(""))).alias("text_length"))
+
+
+@register("valid_text")
+def q_valid_text(spark, sf_dir):
+    good, _ = va.split_valid(tb.comments(spark, sf_dir), [("text not a string", va.text_missing(F.col("text")))], "sentiment")
+    return good.select("row_index")
+
+
+@register("nonempty_text")
+def q_nonempty_text(spark, sf_dir):
+    c = tb.comments(spark, sf_dir)
+    good, _ = va.split_valid(c, [("no text", va.text_missing(F.col("text")) | va.text_empty(F.col("text")))], "keywords")
+    return good.select("row_index")
+
+
+@register("nonempty_message")
+def q_nonempty_message(spark, sf_dir):
+    m = _comment_messages(spark, sf_dir)
+    good, _ = va.split_valid(m, [("empty message", va.message_empty(F.col("value")))], "consume")
+    return good.select("row_index")
+
+
+@register("valid_time")
+def q_valid_time(spark, sf_dir):
+    c = tb.comments_with_time(spark, sf_dir)
+    good, _ = va.split_valid(c, [("missing time", va.time_invalid(F.col("created_utc")))], "convert")
+    return good.select("row_index", "created_utc")
+
+
+@register("latency_inputs")
+def q_latency_inputs(spark, sf_dir):
+    p = tb.processed_records(spark, sf_dir)
+    good, _ = va.split_valid(p, [("missing time", va.times_missing(F.col("timestamp"), F.col("processing_time")))], "latency")
+    return good.select("id")
+
+
+def _all_checks(spark, sf_dir):
+    c = tb.comments_with_time(spark, sf_dir)
+    m = _comment_messages(spark, sf_dir)
+    p = tb.processed_records(spark, sf_dir)
+    return [
+        (c, [("text not a string", va.text_missing(F.col("text"))),
+             ("empty text", va.text_empty(F.col("text")))], "text"),
+        (c, [("missing time", va.time_invalid(F.col("created_utc")))], "convert"),
+        (m, [("empty message", va.message_empty(F.col("value")))], "consume"),
+        (p, [("missing time", va.times_missing(F.col("timestamp"), F.col("processing_time")))], "latency"),
+    ]
+
+
+@register("rejects")
+def q_rejects(spark, sf_dir):
+    """Every rejected row of every stage with its reason."""
+    out = None
+    for df, checks, stage in _all_checks(spark, sf_dir):
+        _, bad = va.split_valid(df, checks, stage)
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
+@register("validation_summary")
+def q_validation_summary(spark, sf_dir):
+    out = None
+    for df, checks, stage in _all_checks(spark, sf_dir):
+        s = va.validation_summary(df, checks, stage)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+# ------------------------------ time, latency ---------------------------------
+
+from eddy.functions import time as tm  # noqa: E402
+from eddy.operators import latency as lt  # noqa: E402
+
+
+def _r6(df):
+    """Round double columns to 6 places (sums and interpolations differ in
+    the last bits between engines)."""
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@register("processed_records")
+def q_processed_records(spark, sf_dir):
+    return tb.processed_records(spark, sf_dir).select("id", "timestamp", "processing_time", "processed_by")
+
+
+@register("epoch_to_iso")
+def q_epoch_to_iso(spark, sf_dir):
+    c = tb.comments_with_time(spark, sf_dir)
+    return c.select("row_index", "created_utc", tm.epoch_to_iso(F.col("created_utc")).alias("iso_datetime"))
+
+
+@register("epoch_to_ts")
+def q_epoch_to_ts(spark, sf_dir):
+    p = tb.processed_records(spark, sf_dir)
+    return p.select("id", tm.epoch_to_local(F.col("timestamp")).alias("original_time"))
+
+
+@register("latency_rows")
+def q_latency_rows(spark, sf_dir):
+    return lt.latency_rows(tb.processed_records(spark, sf_dir))
+
+
+@register("latency_report")
+def q_latency_report(spark, sf_dir):
+    return _r6(lt.latency_report(lt.latency_rows(tb.processed_records(spark, sf_dir))))
+
+
+@register("latency_percentiles")
+def q_latency_percentiles(spark, sf_dir):
+    rows = lt.latency_rows(tb.processed_records(spark, sf_dir))
+    r = lt.latency_report(rows)
+    return _r6(r.select("p95_latency_ms", "p99_latency_ms"))
+
+
+@register("consumer_stats")
+def q_consumer_stats(spark, sf_dir):
+    return _r6(lt.consumer_stats(lt.latency_rows(tb.processed_records(spark, sf_dir))))
+
+
+@register("latency_report_tumbling")
+def q_latency_report_tumbling(spark, sf_dir):
+    return _r6(lt.tumbling_report(lt.latency_rows(tb.processed_records(spark, sf_dir))))

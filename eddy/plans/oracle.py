@@ -60,3 +60,110 @@ FROM kc ORDER BY n DESC, keyword ASC LIMIT 10"""
 ORACLE["keyword_ranking"] = _KW_CTES + """,
 kc AS (SELECT keyword, count(*) AS n FROM (SELECT unnest(keywords) AS keyword FROM kwa) GROUP BY keyword)
 SELECT keyword, n, row_number() OVER (ORDER BY n DESC, keyword ASC) AS rank FROM kc"""
+
+# --------------------------- ingest, codecs, topics ---------------------------
+
+_CREATED = "epoch_us(e.ts) / 1e6"
+_COMMENTS_T = f"""comments_t AS (
+  SELECT d.doc_id AS row_index, d.text, CAST(d.doc_id AS VARCHAR) AS comment_id, {_CREATED} AS created_utc
+  FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id)"""
+_MSG = """msg AS (
+  SELECT doc_id AS row_index,
+         json_object('Unnamed: 0', doc_id, '1', text, '2', CAST(doc_id AS VARCHAR))::VARCHAR AS value
+  FROM documents),
+msgk AS (
+  SELECT row_index, value, CASE WHEN length(value) > 0 THEN md5(value) END AS key FROM msg),
+msgp AS (
+  SELECT row_index, value, key,
+         CAST(coalesce((('0x' || substr(key, 1, 8))::BIGINT) % 5, 0) AS INTEGER) AS partition FROM msgk)"""
+_PROC = f"""proc AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, epoch_us(ts) / 1e6 AS timestamp,
+         epoch_us(ts) / 1e6 + value AS processing_time,
+         'consumer_' || CAST(event_id % 10 AS VARCHAR) AS processed_by,
+         CAST(event_id % 5 AS INTEGER) AS partition, event_id // 5 AS "offset", event_type
+  FROM events)"""
+
+ORACLE["scan_comments"] = "WITH " + _COMMENTS_T + "\nSELECT row_index, text, comment_id, created_utc FROM comments_t"
+ORACLE["stride_shard"] = "SELECT doc_id AS row_index, CAST(doc_id % 2 AS INTEGER) AS producer_id FROM documents"
+ORACLE["json_encode"] = "WITH " + _MSG + "\nSELECT row_index, value FROM msg"
+ORACLE["json_decode"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+ORACLE["json_decode_double"] = """
+SELECT event_id, 'plain' AS form, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+UNION ALL
+SELECT event_id, 'double' AS form, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
+ORACLE["message_key"] = "WITH " + _MSG + "\nSELECT row_index, key FROM msgk"
+ORACLE["partition_assign"] = "WITH " + _MSG + "\nSELECT row_index, key, partition FROM msgp"
+ORACLE["partition_counts"] = "WITH " + _MSG + "\nSELECT partition, count(*) AS n FROM msgp GROUP BY partition"
+ORACLE["consumer_assign"] = "WITH " + _MSG + """
+SELECT partition, 'consumer_' || CAST(least(partition // 2, 1) AS VARCHAR) AS consumer, count(*) AS n
+FROM msgp GROUP BY partition"""
+ORACLE["end_offsets"] = "WITH " + _PROC + "\nSELECT partition, max(\"offset\") + 1 AS end_offset FROM proc GROUP BY partition"
+
+# ------------------------------- validation ----------------------------------
+
+ORACLE["field_default"] = "SELECT doc_id AS row_index, 'unknown' AS id, CAST(length(coalesce(text, '')) AS INTEGER) AS text_length FROM documents"
+ORACLE["valid_text"] = "SELECT doc_id AS row_index FROM documents WHERE text IS NOT NULL"
+ORACLE["nonempty_text"] = "SELECT doc_id AS row_index FROM documents WHERE text IS NOT NULL AND length(text) > 0"
+ORACLE["nonempty_message"] = "WITH " + _MSG + "\nSELECT row_index FROM msg WHERE value IS NOT NULL AND trim(value) NOT IN ('', '{}', 'null')"
+ORACLE["valid_time"] = "WITH " + _COMMENTS_T + """
+SELECT row_index, created_utc FROM comments_t
+WHERE created_utc IS NOT NULL AND created_utc <> 0 AND NOT isnan(created_utc)"""
+ORACLE["latency_inputs"] = "WITH " + _PROC + "\nSELECT id FROM proc WHERE timestamp IS NOT NULL AND processing_time IS NOT NULL"
+ORACLE["rejects"] = """
+SELECT CAST(NULL AS VARCHAR) AS row, CAST(NULL AS VARCHAR) AS stage, CAST(NULL AS VARCHAR) AS reason WHERE false"""
+ORACLE["validation_summary"] = "WITH " + _COMMENTS_T + ", " + _MSG + ", " + _PROC + """
+SELECT 'text' AS stage,
+       CASE WHEN text IS NULL THEN 'text not a string' WHEN length(text) = 0 THEN 'empty text' ELSE 'ok' END AS status,
+       count(*) AS n FROM comments_t GROUP BY 1, 2
+UNION ALL
+SELECT 'convert', CASE WHEN created_utc IS NULL OR created_utc = 0 OR isnan(created_utc) THEN 'missing time' ELSE 'ok' END,
+       count(*) FROM comments_t GROUP BY 1, 2
+UNION ALL
+SELECT 'consume', CASE WHEN value IS NULL OR trim(value) IN ('', '{}', 'null') THEN 'empty message' ELSE 'ok' END,
+       count(*) FROM msg GROUP BY 1, 2
+UNION ALL
+SELECT 'latency', CASE WHEN timestamp IS NULL OR processing_time IS NULL THEN 'missing time' ELSE 'ok' END,
+       count(*) FROM proc GROUP BY 1, 2"""
+
+# ------------------------------ time, latency ---------------------------------
+
+_US = "CAST(round(({x}) * 1000000) AS BIGINT)"
+
+
+def _iso(x: str) -> str:
+    us = _US.format(x=x)
+    return (f"CASE WHEN {us} % 1000000 <> 0 THEN strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S.%f') "
+            f"ELSE strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S') END")
+
+
+_LAT = "WITH " + _PROC + """,
+lat AS (
+  SELECT coalesce(id, 'unknown') AS message_id, (processing_time - timestamp) * 1000.0 AS latency_ms,
+         make_timestamp(""" + _US.format(x="timestamp") + """) AS original_time,
+         make_timestamp(""" + _US.format(x="processing_time") + """) AS processing_time,
+         coalesce(processed_by, 'unknown') AS processed_by, partition
+  FROM proc WHERE timestamp IS NOT NULL AND processing_time IS NOT NULL)"""
+
+ORACLE["processed_records"] = "WITH " + _PROC + "\nSELECT id, timestamp, processing_time, processed_by FROM proc"
+ORACLE["epoch_to_iso"] = "WITH " + _COMMENTS_T + f"\nSELECT row_index, created_utc, {_iso('created_utc')} AS iso_datetime FROM comments_t"
+ORACLE["epoch_to_ts"] = "WITH " + _PROC + f"\nSELECT id, make_timestamp({_US.format(x='timestamp')}) AS original_time FROM proc"
+ORACLE["latency_rows"] = _LAT + "\nSELECT * FROM lat"
+ORACLE["latency_report"] = _LAT + """
+SELECT count(*) AS total_messages, round(max(latency_ms), 6) AS max_latency_ms, round(min(latency_ms), 6) AS min_latency_ms,
+       round(avg(latency_ms), 6) AS avg_latency_ms,
+       round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
+FROM lat"""
+ORACLE["latency_percentiles"] = _LAT + """
+SELECT round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
+FROM lat"""
+ORACLE["consumer_stats"] = _LAT + """
+SELECT processed_by, round(CAST(count(*) AS DOUBLE), 6) AS count, round(avg(latency_ms), 6) AS mean,
+       round(min(latency_ms), 6) AS min, round(max(latency_ms), 6) AS max
+FROM lat GROUP BY processed_by"""
+ORACLE["latency_report_tumbling"] = _LAT + """,
+win AS (SELECT *, time_bucket(INTERVAL 60 SECOND, processing_time) AS window_start FROM lat)
+SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end,
+       count(*) AS total_messages, round(max(latency_ms), 6) AS max_latency_ms, round(min(latency_ms), 6) AS min_latency_ms,
+       round(avg(latency_ms), 6) AS avg_latency_ms,
+       round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
+FROM win GROUP BY window_start"""

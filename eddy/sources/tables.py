@@ -76,3 +76,12 @@ def processed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("event_id") / EVENT_PARTITIONS).cast("long").alias("offset"),
         "event_type",
     )
+
+
+def comments_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment rows with a creation time: documents joined to the event
+    with the same id (``created_utc`` = that event's epoch seconds)."""
+    d = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_index"), "text", F.col("doc_id").cast("string").alias("comment_id"))
+    e = events(spark, sf_dir).select(F.col("event_id").alias("row_index"), epoch_seconds("ts").alias("created_utc"))
+    return spread(d.join(e, "row_index", "left"))
