@@ -103,4 +103,4 @@ def sql_stopword_list() -> str:
 
 def sql_sentiment_words(expr: str) -> str:
     return (f"list_transform(regexp_split_to_array(lower({expr}), {_sql_str(WORD_SPLIT)}), "
-            f"w -> regexp_replace(w, {_sql_str(WORD_STRIP)}, '', 'g'))")
+            f"lambda w: regexp_replace(w, {_sql_str(WORD_STRIP)}, '', 'g'))")

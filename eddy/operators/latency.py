@@ -42,26 +42,17 @@ def latency_rows(processed: DataFrame, now: Column | None = None) -> DataFrame:
     return latency_inputs(processed).select(*cols)
 
 
-def _basic(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("total_messages"),
-        F.max("latency_ms").alias("max_latency_ms"),
-        F.min("latency_ms").alias("min_latency_ms"),
-        F.avg("latency_ms").alias("avg_latency_ms"))
-
-
 def latency_report(rows: DataFrame, groups: Sequence[str] = (), qs=QUANTILES) -> DataFrame:
     """A5 + A6: count / max / min / mean and exact p95, p99 per group
-    (one row for the whole input when ``groups`` is empty)."""
-    groups = list(groups)
-    whole = not groups
-    if whole:  # one report for everything: a constant key, joined 1:1
-        rows, groups = rows.withColumn("_all", F.lit(0)), ["_all"]
-    basic = _basic(rows, groups)
-    qdf = exact_quantiles(rows, groups, "latency_ms", qs)
-    renamed = qdf.select(*groups, *[F.col(quantile_name(q)).alias(f"{quantile_name(q)}_latency_ms") for q in qs])
-    out = basic.join(renamed, groups)
-    return out.drop("_all") if whole else out
+    (one row for the whole input when ``groups`` is empty).  The basic
+    statistics are computed in the quantile pipeline's own per-group
+    aggregate, so nothing is joined back."""
+    basic = {"total_messages": F.count(F.lit(1)),
+             "max_latency_ms": F.max("_v"),
+             "min_latency_ms": F.min("_v"),
+             "avg_latency_ms": F.avg("_v")}
+    q = exact_quantiles(rows, list(groups), "latency_ms", qs, basic)
+    return q.select(*groups, *basic, *[F.col(quantile_name(x)).alias(f"{quantile_name(x)}_latency_ms") for x in qs])
 
 
 def consumer_stats(rows: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eddy.operators.ranking import global_rank
@@ -23,12 +23,17 @@ def quantile_name(q: float) -> str:
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    qs: Sequence[float]) -> DataFrame:
-    """(group_cols..., p<q>...) for each q in ``qs``; nulls are ignored."""
+                    qs: Sequence[float], extra: dict[str, Column] | None = None) -> DataFrame:
+    """(group_cols..., extra..., p<q>...) for each q in ``qs``; nulls are
+    ignored.  ``extra`` are more aggregates of ``_v`` (the value) computed in
+    the same per-group aggregate (e.g. count, min, max, mean)."""
     groups = list(group_cols)
+    extra = extra or {}
     vals = df.select(*groups, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ranked = global_rank(vals, [F.asc(g) for g in groups] + [F.asc("_v")], "_r")
-    bounds = ranked.groupBy(*groups).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    bounds = ranked.groupBy(*groups).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_n"),
+                                         *[c.alias(k) for k, c in extra.items()])
+    carry = groups + list(extra)
     want = []
     for q in qs:
         pos = F.lit(float(q)) * (F.col("_n") - 1)
@@ -36,15 +41,15 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                              F.floor(pos).cast("long").alias("lo"),
                              F.ceil(pos).cast("long").alias("hi"),
                              (pos - F.floor(pos)).alias("frac")))
-    targets = bounds.select(*groups, "_start", F.explode(F.array(*want)).alias("t"))
-    need = (targets.select(*groups, "t.q", "t.frac", F.explode(F.array(
+    targets = bounds.select(*carry, "_start", F.explode(F.array(*want)).alias("t"))
+    need = (targets.select(*carry, "t.q", "t.frac", F.explode(F.array(
         F.struct(F.lit("lo").alias("side"), (F.col("_start") + F.col("t.lo")).alias("_r")),
         F.struct(F.lit("hi").alias("side"), (F.col("_start") + F.col("t.hi")).alias("_r")))).alias("s"))
-        .select(*groups, "q", "frac", "s.side", "s._r"))
+        .select(*carry, "q", "frac", "s.side", "s._r"))
     picked = need.join(ranked.select("_r", "_v"), "_r")
-    pairs = (picked.groupBy(*groups, "q", "frac")
+    pairs = (picked.groupBy(*carry, "q", "frac")
              .agg(F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("lo_v"),
                   F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("hi_v")))
     value = (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("frac"))
-    wide = pairs.groupBy(*groups).pivot("q", [quantile_name(q) for q in qs]).agg(F.first(value))
+    wide = pairs.groupBy(*carry).pivot("q", [quantile_name(q) for q in qs]).agg(F.first(value))
     return wide

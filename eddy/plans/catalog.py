@@ -294,3 +294,73 @@ def q_consumer_stats(spark, sf_dir):
 @register("latency_report_tumbling")
 def q_latency_report_tumbling(spark, sf_dir):
     return _r6(lt.tumbling_report(lt.latency_rows(tb.processed_records(spark, sf_dir))))
+
+
+# --------------------------- sentiment, language ------------------------------
+
+from eddy.operators import language as lg  # noqa: E402
+from eddy.operators import sentiment as se  # noqa: E402
+from eddy.plans import enrich as en  # noqa: E402
+
+
+def _profile(spark, sf_dir):
+    """Trigram profile trained on the labelled documents."""
+    return lg.train_profile(tb.documents(spark, sf_dir, ("text", "lang")))
+
+
+@register("sentiment_score")
+def q_sentiment_score(spark, sf_dir):
+    return se.sentiment_scores(tb.documents(spark, sf_dir))
+
+
+@register("sentiment_label")
+def q_sentiment_label(spark, sf_dir):
+    return se.analyze_sentiment(tb.documents(spark, sf_dir)).select("doc_id", "sentiment")
+
+
+@register("language_profile")
+def q_language_profile(spark, sf_dir):
+    return _profile(spark, sf_dir)
+
+
+@register("detect_language")
+def q_detect_language(spark, sf_dir):
+    return lg.detect_language(tb.documents(spark, sf_dir), _profile(spark, sf_dir))
+
+
+@register("lang_unknown")
+def q_lang_unknown(spark, sf_dir):
+    """P2 on a second text source: conversation turns, blank -> 'unknown'."""
+    conv = tb.spread(tb.read_table(spark, sf_dir, "conversations")
+                     .select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "text"))
+    return lg.detect_language(conv, _profile(spark, sf_dir), "turn_id")
+
+
+@register("enriched")
+def q_enriched(spark, sf_dir):
+    e = en.enrich(tb.documents(spark, sf_dir), _profile(spark, sf_dir))
+    return e.select("doc_id", "language", "compound", "sentiment", "keywords")
+
+
+def _reportable(spark, sf_dir):
+    return en.reportable_enriched(tb.documents(spark, sf_dir), _profile(spark, sf_dir))
+
+
+@register("language_counts")
+def q_language_counts(spark, sf_dir):
+    return rp.language_counts(_reportable(spark, sf_dir))
+
+
+@register("sentiment_counts")
+def q_sentiment_counts(spark, sf_dir):
+    return rp.sentiment_counts(_reportable(spark, sf_dir))
+
+
+@register("report")
+def q_report(spark, sf_dir):
+    return rp.report_long(_reportable(spark, sf_dir))
+
+
+@register("report_json")
+def q_report_json(spark, sf_dir):
+    return rp.report_json(rp.report_long(_reportable(spark, sf_dir)))

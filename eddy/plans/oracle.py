@@ -167,3 +167,142 @@ SELECT window_start, window_start + INTERVAL 60 SECOND AS window_end,
        round(avg(latency_ms), 6) AS avg_latency_ms,
        round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
 FROM win GROUP BY window_start"""
+
+# --------------------------- sentiment, language ------------------------------
+
+from eddy.functions.text import sql_sentiment_words  # noqa: E402
+from eddy.operators import sentiment as _se  # noqa: E402
+
+
+def _lex_values() -> str:
+    rows = ", ".join(f"({_q(w)}, {v!r}, {s!r}, {n})" for w, v, s, n in _se.default_lexicon_rows())
+    return (f"lexv(word, valence, scalar, negation) AS (VALUES {rows}),\n"
+            "lex AS (SELECT word, CAST(valence AS DOUBLE) AS valence, CAST(scalar AS DOUBLE) AS scalar, "
+            "CAST(negation AS INTEGER) AS negation FROM lexv)")
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _sentiment_ctes(src: str = "documents", id_col: str = "doc_id") -> str:
+    emph = (f"coalesce(least(len(string_split(_t, '!')) - 1, {_se.EXCLAMATION_MAX}) * {_se.EXCLAMATION_STEP} + "
+            f"CASE WHEN len(string_split(_t, '?')) - 1 <= 1 THEN 0.0 "
+            f"WHEN len(string_split(_t, '?')) - 1 <= 3 THEN (len(string_split(_t, '?')) - 1) * {_se.QUESTION_STEP} "
+            f"ELSE {_se.QUESTION_CAP} END, 0.0)")
+    look = []
+    for d in (1, 2, 3):
+        frame = f"OVER (PARTITION BY {id_col} ORDER BY pos RANGE BETWEEN {d} PRECEDING AND {d} PRECEDING)"
+        look.append(f"coalesce(max(CASE WHEN valence = 0 THEN scalar END) {frame}, 0.0) AS s{d}")
+        look.append(f"coalesce(max(CASE WHEN valence = 0 AND neg THEN 1 END) {frame}, 0) AS n{d}")
+    v = "valence"
+    for d in (1, 2, 3):
+        s = f"(s{d} * {_se.BOOST_DAMPING[d]!r})"
+        v = (f"(({v}) + (CASE WHEN ({v}) < 0 THEN -1.0 ELSE 1.0 END) * {s}) * "
+             f"(CASE WHEN n{d} = 1 THEN {_se.NEGATION_SCALAR!r} ELSE 1.0 END)")
+    but = (f"(CASE WHEN first_but IS NULL THEN 1.0 WHEN pos < first_but THEN {_se.BUT_BEFORE!r} "
+           f"WHEN pos > first_but THEN {_se.BUT_AFTER!r} ELSE 1.0 END)")
+    words = sql_sentiment_words("coalesce(_t, '')")
+    return f"""{_lex_values()},
+sb AS (SELECT {id_col}, text AS _t FROM {src}),
+swl AS (SELECT {id_col}, list_filter({words}, lambda w: length(w) > 0) AS ws FROM sb),
+sw AS (SELECT {id_col}, unnest(ws) AS word, CAST(unnest(generate_series(0, len(ws) - 1)) AS INTEGER) AS pos FROM swl),
+shits AS (
+  SELECT {id_col}, pos, coalesce(l.valence, 0.0) AS valence, coalesce(l.scalar, 0.0) AS scalar,
+         (coalesce(l.negation, 0) = 1 OR contains(sw.word, 'n''t')) AS neg, (sw.word = 'but') AS is_but, CAST(0.0 AS DOUBLE) AS emph
+  FROM sw LEFT JOIN lex l ON l.word = sw.word),
+srows AS (
+  SELECT * FROM shits WHERE valence <> 0 OR scalar <> 0 OR neg OR is_but
+  UNION ALL
+  SELECT {id_col}, CAST(NULL AS INTEGER), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), false, false, CAST({emph} AS DOUBLE) FROM sb),
+slook AS (
+  SELECT *, min(CASE WHEN is_but THEN pos END) OVER (PARTITION BY {id_col}) AS first_but, {", ".join(look)}
+  FROM srows),
+sdoc AS (
+  SELECT {id_col},
+         sum(CASE WHEN valence <> 0 THEN CAST(round(({v}) * {but} * 1000000.0) AS BIGINT) ELSE 0 END) / 1000000.0 AS s0,
+         max(emph) AS e
+  FROM slook GROUP BY {id_col}),
+sscore AS (
+  SELECT {id_col}, round(s1 / sqrt(s1 * s1 + {_se.NORMALIZATION_ALPHA!r}), 4) AS compound
+  FROM (SELECT {id_col}, CASE WHEN s0 > 0 THEN s0 + e WHEN s0 < 0 THEN s0 - e ELSE s0 END AS s1 FROM sdoc)),
+slabel AS (
+  SELECT {id_col}, compound, CASE WHEN compound >= 0 THEN 'Positive' ELSE 'Negative' END AS sentiment FROM sscore)"""
+
+
+_NORM = "' ' || regexp_replace(lower({x}), '[^\\p{{L}}]+', ' ', 'g') || ' '"
+
+
+def _trigram_cte(name: str, src: str, key_expr: str, text: str, where: str = "TRUE") -> str:
+    norm = _NORM.format(x=text)
+    return f"""{name}_t AS (
+  SELECT {key_expr} AS k, string_split({norm}, '') AS cs FROM {src}
+  WHERE {text} IS NOT NULL AND regexp_matches({text}, '\\p{{L}}') AND {where}),
+{name} AS (
+  SELECT k, g, count(*) AS n FROM (
+    SELECT k, unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS g FROM {name}_t)
+  GROUP BY k, g)"""
+
+
+_PROFILE = _trigram_cte("ptri", "documents", "lang", "text", "lang IS NOT NULL") + """,
+pv AS (SELECT count(DISTINCT g) AS V FROM ptri),
+profile AS (
+  SELECT k AS lang, g, n AS c,
+         CAST(round(ln((n + 1) / CAST(T + V AS DOUBLE)) * 1000000) AS BIGINT) AS lp,
+         CAST(round(ln(1.0 / CAST(T + V AS DOUBLE)) * 1000000) AS BIGINT) AS lp0
+  FROM (SELECT *, sum(n) OVER (PARTITION BY k) AS T FROM ptri), pv)"""
+
+
+def _detect_ctes(src: str, key_expr: str, text: str, out_key: str) -> str:
+    return _trigram_cte("dtri", src, key_expr, text) + f""",
+dj AS (
+  SELECT d.k, d.g, d.n, p.lang, p.lp - p.lp0 AS delta, p.lp0,
+         sum(d.n) OVER (PARTITION BY d.k) AS _unused
+  FROM dtri d JOIN profile p ON p.g = d.g),
+dn AS (SELECT k, sum(n) AS N FROM (SELECT DISTINCT k, g, n FROM dj) GROUP BY k),
+dscore AS (
+  SELECT dj.k, lang, max(dn.N) * max(lp0) + sum(dj.n * delta) AS score
+  FROM dj JOIN dn ON dn.k = dj.k GROUP BY dj.k, lang),
+det AS (
+  SELECT k, lang AS detected FROM (
+    SELECT k, lang, row_number() OVER (PARTITION BY k ORDER BY score DESC, lang ASC) AS r FROM dscore) WHERE r = 1),
+dlang AS (
+  SELECT s.{out_key}, coalesce(det.detected, 'unknown') AS language
+  FROM (SELECT {key_expr} AS {out_key} FROM {src}) s LEFT JOIN det ON det.k = s.{out_key})"""
+
+
+_ENRICH = "WITH " + ",".join([_TOKENS, _KEPT, _TF, _topk(3), _KW]) + ",\n" + _sentiment_ctes() + ",\n" + \
+    _PROFILE + ",\n" + _detect_ctes("documents", "doc_id", "text", "doc_id")
+_REPORTABLE = """,
+rep AS (
+  SELECT kwa.doc_id, dlang.language, slabel.sentiment, kwa.keywords
+  FROM kwa JOIN dlang ON dlang.doc_id = kwa.doc_id JOIN slabel ON slabel.doc_id = kwa.doc_id)"""
+
+ORACLE["sentiment_score"] = "WITH " + _sentiment_ctes() + "\nSELECT doc_id, compound FROM sscore"
+ORACLE["sentiment_label"] = "WITH " + _sentiment_ctes() + "\nSELECT doc_id, sentiment FROM slabel"
+ORACLE["language_profile"] = "WITH " + _PROFILE + "\nSELECT lang, g, c, lp, lp0 FROM profile"
+ORACLE["detect_language"] = "WITH " + _PROFILE + ",\n" + _detect_ctes("documents", "doc_id", "text", "doc_id") + \
+    "\nSELECT doc_id, language FROM dlang"
+ORACLE["lang_unknown"] = "WITH " + _PROFILE + ",\n" + _detect_ctes(
+    "conversations", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "text", "turn_id") + \
+    "\nSELECT turn_id, language FROM dlang"
+ORACLE["enriched"] = _ENRICH + """
+SELECT dlang.doc_id, dlang.language, slabel.compound, slabel.sentiment,
+       coalesce(kwa.keywords, CAST([] AS VARCHAR[])) AS keywords
+FROM dlang JOIN slabel ON slabel.doc_id = dlang.doc_id LEFT JOIN kwa ON kwa.doc_id = dlang.doc_id"""
+ORACLE["language_counts"] = _ENRICH + _REPORTABLE + "\nSELECT language, count(*) AS n FROM rep GROUP BY language"
+ORACLE["sentiment_counts"] = _ENRICH + _REPORTABLE + "\nSELECT sentiment, count(*) AS n FROM rep GROUP BY sentiment"
+_REPORT = _ENRICH + _REPORTABLE + """,
+rl AS (SELECT language AS key, count(*) AS n FROM rep GROUP BY language),
+rs AS (SELECT sentiment AS key, count(*) AS n FROM rep GROUP BY sentiment),
+rk AS (SELECT keyword AS key, count(*) AS n FROM (SELECT unnest(keywords) AS keyword FROM rep) GROUP BY keyword),
+rall AS (
+  SELECT 'languages' AS dimension, key, n, row_number() OVER (ORDER BY n DESC, key ASC) AS rank FROM rl
+  UNION ALL SELECT 'sentiments', key, n, row_number() OVER (ORDER BY n DESC, key ASC) FROM rs
+  UNION ALL SELECT 'keywords', key, n, row_number() OVER (ORDER BY n DESC, key ASC) FROM rk),
+report AS (
+  SELECT * FROM rall
+  UNION ALL SELECT 'top_keywords', key, n, rank FROM rall WHERE dimension = 'keywords' AND rank <= 10)"""
+ORACLE["report"] = _REPORT + "\nSELECT dimension, key, n, rank FROM report"
+ORACLE["report_json"] = _REPORT + """
+SELECT json_object('dimension', dimension, 'key', key, 'n', n, 'rank', rank)::VARCHAR AS json FROM report"""
