@@ -8,29 +8,34 @@ and order-independent):
     lp0(L)    = ln(1 / (T_L + V))                 floor for unseen ones
 
 Scoring a comment (``detect``) over its trigrams g in the vocabulary, with
-counts n(g):
-
-    score(L) = N * lp0(L) + sum_g n(g) * (lp(L, g) - lp0(L))
-
-where N is the number of the comment's trigram occurrences in the
-vocabulary.  Candidates are the languages with at least one seen trigram in
-the comment; the best score wins, ties by language code.  Blank text, or text
-without a known trigram, is 'unknown'.
-
-Plan: trigram counts per comment are pre-aggregated (partial aggregation),
-joined on the trigram to the profile grouped per trigram (one row per
-trigram, at most one entry per language); the profile is derived from data,
-so no broadcast hint is given: AQE broadcasts it when the measured side is
-small and otherwise keeps a skew-split sort-merge join.  N comes from a
-window over the comment's in-vocabulary trigram rows, and the per-language
-sums and the final pick reuse that partitioning.
+counts n(g), for every language L of the model:
+
+    score(L) = sum_g n(g) * lp(L, g)      (lp0(L) where g was not seen in L)
+
+The best score wins, ties by language code.  Blank text, or text without a
+known trigram, is 'unknown'.
+
+Plan: trigram counts per comment are pre-aggregated (partial aggregation) and
+joined on the trigram to the profile pivoted to one row per trigram with one
+log-probability column per language.  The profile is derived from data, so
+no broadcast hint is given: AQE broadcasts it when the measured side is small
+and otherwise keeps a skew-split sort-merge join.  The per-language sums are
+one partial + final aggregate per comment.  The language list itself (codes
+and floors, one entry per language) is a model parameter held by the driver,
+like the coefficients of any fitted model.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddy.session import cut_lineage
+
 
 MICRO = 1_000_000
 
@@ -56,37 +61,55 @@ def trigram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return grams.groupBy(id_col, "g").agg(F.count(F.lit(1)).alias("n"))
 
 
-def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """(lang, g, c, lp, lp0) in micro-units from labelled rows."""
+@dataclass(frozen=True)
+class LanguageProfile:
+    """A fitted profile: the (lang, g, c, lp, lp0) table and the languages
+    with their floor log-probability, sorted by code."""
+    table: DataFrame
+    languages: tuple[tuple[str, int], ...]
+
+
+def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageProfile:
+    """Fit the trigram profile from labelled rows (log-probs in micro-units)."""
     src = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
                   .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
     counts = trigram_counts(src.withColumn("_k", F.col("lang")), "_k", "_text") \
         .withColumnRenamed("_k", "lang").withColumnRenamed("n", "c")
-    # V (vocabulary size) is one scalar statistic of the model, computed by a
-    # single count while fitting, like any estimator's fit step.
+    counts = cut_lineage(counts)
+    # Model statistics, computed while fitting: the vocabulary size V and the
+    # per-language totals (one row per language).
     V = counts.select("g").distinct().count()
-    with_tot = counts.withColumn("T", F.sum("c").over(Window.partitionBy("lang")))
-    denom = (F.col("T") + F.lit(V)).cast("double")
-    return with_tot.select(
+    totals = counts.groupBy("lang").agg(F.sum("c").alias("T")).collect()
+    floors = {r["lang"]: int(round(math.log(1.0 / (r["T"] + V)) * MICRO)) for r in totals}
+    denom = {r["lang"]: r["T"] + V for r in totals}
+    denom_col = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(v)) for k, v in denom.items()])
+    floor_col = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(v)) for k, v in floors.items()])
+    table = counts.select(
         "lang", "g", "c",
-        F.round(F.log((F.col("c") + 1).cast("double") / denom) * MICRO).cast("long").alias("lp"),
-        F.round(F.log(F.lit(1.0) / denom) * MICRO).cast("long").alias("lp0"))
+        F.round(F.log((F.col("c") + 1).cast("double") / denom_col.cast("double")) * MICRO).cast("long").alias("lp"),
+        floor_col.cast("long").alias("lp0"))
+    return LanguageProfile(table, tuple(sorted(floors.items())))
 
 
-def detect(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
     """(id, detected) for rows with at least one known trigram."""
-    per_g = profile.groupBy("g").agg(
-        F.collect_list(F.struct("lang", (F.col("lp") - F.col("lp0")).alias("delta"), "lp0")).alias("langs"))
+    langs = profile.languages
+    per_g = profile.table.groupBy("g").agg(
+        *[F.max(F.when(F.col("lang") == F.lit(code), F.col("lp"))).alias(f"_lp{i}")
+          for i, (code, _) in enumerate(langs)])
     tri = trigram_counts(docs, id_col, text_col).join(per_g, "g")
-    tri = tri.withColumn("_N", F.sum("n").over(Window.partitionBy(id_col)))
-    ex = tri.select(id_col, "n", "_N", F.explode("langs").alias("e"))
-    scores = ex.groupBy(id_col, F.col("e.lang").alias("lang")).agg(
-        (F.first("_N") * F.first("e.lp0") + F.sum(F.col("n") * F.col("e.delta"))).alias("score"))
-    return scores.groupBy(id_col).agg(
-        F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l"))).alias("detected"))
+    sums = tri.groupBy(id_col).agg(
+        *[F.sum(F.col("n") * F.coalesce(F.col(f"_lp{i}"), F.lit(floor))).alias(f"_s{i}")
+          for i, (_, floor) in enumerate(langs)])
+    # Highest score; on equal scores the smaller index (earlier code) wins.
+    best = F.greatest(*[F.struct(F.col(f"_s{i}").alias("s"), F.lit(-i).alias("i")) for i in range(len(langs))]) \
+        if len(langs) > 1 else F.struct(F.col("_s0").alias("s"), F.lit(0).alias("i"))
+    codes = F.array(*[F.lit(code) for code, _ in langs])
+    return sums.select(id_col, F.element_at(codes, (1 - best["i"]).cast("int")).alias("detected"))
 
 
-def detect_language(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id",
+def detect_language(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, language) for every row: detection, or 'unknown' (P2)."""
     det = detect(docs, profile, id_col, text_col)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddy.operators.ranking import global_rank
+from eddy.session import cut_lineage
 
 TOP_KEYWORDS = 10
 
@@ -66,8 +67,16 @@ def top_keywords(enriched: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
     return rank_small(top, "keyword")
 
 
-def report_long(enriched: DataFrame, k: int = TOP_KEYWORDS) -> DataFrame:
-    """A4: the whole report as (dimension, key, n, rank)."""
+def report_long(enriched: DataFrame, k: int = TOP_KEYWORDS, materialize: bool = True) -> DataFrame:
+    """A4: the whole report as (dimension, key, n, rank).
+
+    The enriched input feeds four aggregates; with ``materialize`` its
+    reportable rows (id-free: language, sentiment, keywords) are written once
+    to the checkpoint folder, as the reference's keyword topic would hold
+    them, instead of being recomputed per dimension."""
+    if materialize:
+        enriched = cut_lineage(reportable(enriched).select("language", "sentiment", "keywords"))
+
     def dim(ranked: DataFrame, name: str, key: str) -> DataFrame:
         return ranked.select(F.lit(name).alias("dimension"), F.col(key).alias("key"), "n", "rank")
     ranked_kw = rank_counts(keyword_counts(enriched), "keyword")

@@ -320,7 +320,7 @@ def q_sentiment_label(spark, sf_dir):
 
 @register("language_profile")
 def q_language_profile(spark, sf_dir):
-    return _profile(spark, sf_dir)
+    return _profile(spark, sf_dir).table
 
 
 @register("detect_language")

@@ -254,15 +254,15 @@ profile AS (
 
 
 def _detect_ctes(src: str, key_expr: str, text: str, out_key: str) -> str:
+    # score(k, L) = sum over the comment's in-vocabulary trigrams of n * lp(L, g),
+    # with lp0(L) for trigrams never seen in L, for every language L.
     return _trigram_cte("dtri", src, key_expr, text) + f""",
-dj AS (
-  SELECT d.k, d.g, d.n, p.lang, p.lp - p.lp0 AS delta, p.lp0,
-         sum(d.n) OVER (PARTITION BY d.k) AS _unused
-  FROM dtri d JOIN profile p ON p.g = d.g),
-dn AS (SELECT k, sum(n) AS N FROM (SELECT DISTINCT k, g, n FROM dj) GROUP BY k),
+dn AS (SELECT k, sum(n) AS N FROM dtri WHERE g IN (SELECT g FROM profile) GROUP BY k),
+ds AS (SELECT d.k, p.lang, sum(d.n * (p.lp - p.lp0)) AS x FROM dtri d JOIN profile p ON p.g = d.g GROUP BY d.k, p.lang),
+langs AS (SELECT DISTINCT lang, lp0 FROM profile),
 dscore AS (
-  SELECT dj.k, lang, max(dn.N) * max(lp0) + sum(dj.n * delta) AS score
-  FROM dj JOIN dn ON dn.k = dj.k GROUP BY dj.k, lang),
+  SELECT dn.k, langs.lang, dn.N * langs.lp0 + coalesce(ds.x, 0) AS score
+  FROM dn CROSS JOIN langs LEFT JOIN ds ON ds.k = dn.k AND ds.lang = langs.lang),
 det AS (
   SELECT k, lang AS detected FROM (
     SELECT k, lang, row_number() OVER (PARTITION BY k ORDER BY score DESC, lang ASC) AS r FROM dscore) WHERE r = 1),
