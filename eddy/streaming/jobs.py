@@ -95,10 +95,8 @@ def enrich_batch(batch: DataFrame, profile: LanguageProfile, k: int = 3) -> tupl
     return out.drop("doc_id"), bad
 
 
-def start_enrichment(source: DataFrame, profile: LanguageProfile, out: EnrichOutputs, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """Language -> sentiment -> keywords over a comment stream; each
-    output row keeps its (partition, offset)."""
+def enrichment_writer(profile: LanguageProfile, out: EnrichOutputs):
+    """The ``foreachBatch`` function of the enrichment stream."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -109,7 +107,14 @@ def start_enrichment(source: DataFrame, profile: LanguageProfile, out: EnrichOut
             bad.write.mode("overwrite").parquet(_batch_path(out.rejects, batch_id))
         finally:
             batch.unpersist()
-    w = source.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return run
+
+
+def start_enrichment(source: DataFrame, profile: LanguageProfile, out: EnrichOutputs, checkpoint: str,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Language -> sentiment -> keywords over a comment stream; each
+    output row keeps its (partition, offset)."""
+    w = source.writeStream.foreachBatch(enrichment_writer(profile, out)).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
@@ -169,8 +174,8 @@ def convert_batch(batch: DataFrame, num_partitions: int, num_consumers: int) ->
     return times, processed, bad
 
 
-def start_conversion(source: DataFrame, out: ConvertOutputs, checkpoint: str, num_partitions: int,
-                     num_consumers: int, trigger: dict | None = None) -> StreamingQuery:
+def conversion_writer(out: ConvertOutputs, num_partitions: int, num_consumers: int):
+    """The ``foreachBatch`` function of the time-conversion consumer."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -182,7 +187,13 @@ def start_conversion(source: DataFrame, out: ConvertOutputs, checkpoint: str, nu
             bad.write.mode("overwrite").parquet(_batch_path(out.rejects, batch_id))
         finally:
             batch.unpersist()
-    w = source.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return run
+
+
+def start_conversion(source: DataFrame, out: ConvertOutputs, checkpoint: str, num_partitions: int,
+                     num_consumers: int, trigger: dict | None = None) -> StreamingQuery:
+    w = source.writeStream.foreachBatch(conversion_writer(out, num_partitions, num_consumers))
+    w = w.option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -195,12 +206,8 @@ class LatencyOutputs:
     consumers: str     # per-consumer statistics per batch
 
 
-def start_latency_monitor(processed_stream: DataFrame, out: LatencyOutputs, checkpoint: str,
-                          interval: str = "60 seconds", final: bool = False) -> StreamingQuery:
-    """One report per trigger interval over the records that arrived in
-    it (processing-time trigger); ``final=True`` runs once over everything
-    available and stops (W4, the flush on shutdown).  An interval without
-    records writes nothing (W5)."""
+def latency_writer(out: LatencyOutputs):
+    """The ``foreachBatch`` function of the latency monitor."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -216,7 +223,16 @@ def start_latency_monitor(processed_stream: DataFrame, out: LatencyOutputs, chec
             rows.unpersist()
         finally:
             batch.unpersist()
-    w = processed_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return run
+
+
+def start_latency_monitor(processed_stream: DataFrame, out: LatencyOutputs, checkpoint: str,
+                          interval: str = "60 seconds", final: bool = False) -> StreamingQuery:
+    """One report per trigger interval over the records that arrived in
+    it (processing-time trigger); ``final=True`` runs once over everything
+    available and stops (W4, the flush on shutdown).  An interval without
+    records writes nothing (W5)."""
+    w = processed_stream.writeStream.foreachBatch(latency_writer(out)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if final else w.trigger(processingTime=interval)
     return w.start()
 
@@ -231,3 +247,24 @@ def windowed_latency_stream(processed_stream: DataFrame, interval: str = "60 sec
             .groupBy(F.window("pt", interval).alias("w"))
             .agg(F.count(F.lit(1)).alias("total_messages"), F.max("latency_ms").alias("max_latency_ms"),
                  F.min("latency_ms").alias("min_latency_ms"), F.avg("latency_ms").alias("avg_latency_ms")))
+
+
+def processed_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Processed-message records (id, timestamp, processing_time,
+    processed_by, partition) as a file stream."""
+    schema = sc.T.StructType(sc.PROCESSED.fields + [sc.T.StructField("partition", sc.T.IntegerType())])
+    r = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path)
+
+
+def enriched_file_source(spark: SparkSession, path: str) -> DataFrame:
+    """Enriched comments written by the enrichment stream, as a stream."""
+    schema = sc.T.StructType([
+        sc.T.StructField("partition", sc.T.IntegerType()), sc.T.StructField("offset", sc.T.LongType()),
+        sc.T.StructField("row_index", sc.T.LongType()), sc.T.StructField("comment_id", sc.T.StringType()),
+        sc.T.StructField("language", sc.T.StringType()), sc.T.StructField("compound", sc.T.DoubleType()),
+        sc.T.StructField("sentiment", sc.T.StringType()),
+        sc.T.StructField("keywords", sc.T.ArrayType(sc.T.StringType()))])
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
