@@ -38,6 +38,9 @@ from eddy.session import cut_lineage
 
 
 MICRO = 1_000_000
+# Largest profile (distinct trigrams) that is broadcast; about 40 bytes per
+# trigram plus 8 per language, so a few hundred MB at the bound.
+MAX_BROADCAST_VOCABULARY = 2_000_000
 
 
 def normalized_letters(text: Column) -> Column:
@@ -67,6 +70,7 @@ class LanguageProfile:
     with their floor log-probability, sorted by code."""
     table: DataFrame
     languages: tuple[tuple[str, int], ...]
+    vocabulary: int = 0          # distinct trigrams = rows of the pivoted profile
 
 
 def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageProfile:
@@ -79,7 +83,7 @@ def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "
     # Model statistics, computed while fitting: the vocabulary size V and the
     # per-language totals (one row per language).
     V = counts.select("g").distinct().count()
-    totals = counts.groupBy("lang").agg(F.sum("c").alias("T")).collect()
+    totals = counts.groupBy("lang").agg(F.sum("c").alias("T")).collect()   # one row per language
     floors = {r["lang"]: int(round(math.log(1.0 / (r["T"] + V)) * MICRO)) for r in totals}
     denom = {r["lang"]: r["T"] + V for r in totals}
     denom_col = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(v)) for k, v in denom.items()])
@@ -88,7 +92,7 @@ def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "
         "lang", "g", "c",
         F.round(F.log((F.col("c") + 1).cast("double") / denom_col.cast("double")) * MICRO).cast("long").alias("lp"),
         floor_col.cast("long").alias("lp0"))
-    return LanguageProfile(table, tuple(sorted(floors.items())))
+    return LanguageProfile(table, tuple(sorted(floors.items())), V)
 
 
 def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
@@ -98,6 +102,13 @@ def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
     per_g = profile.table.groupBy("g").agg(
         *[F.max(F.when(F.col("lang") == F.lit(code), F.col("lp"))).alias(f"_lp{i}")
           for i, (code, _) in enumerate(langs)])
+    # The pivoted profile has exactly ``vocabulary`` rows, known from fitting:
+    # broadcast it only under the bound, otherwise sort-merge join.  Never let
+    # the planner broadcast the per-comment side, which grows with the data.
+    if 0 < profile.vocabulary <= MAX_BROADCAST_VOCABULARY:
+        per_g = F.broadcast(per_g)
+    else:
+        per_g = per_g.hint("merge")
     tri = trigram_counts(docs, id_col, text_col).join(per_g, "g")
     sums = tri.groupBy(id_col).agg(
         *[F.sum(F.col("n") * F.coalesce(F.col(f"_lp{i}"), F.lit(floor))).alias(f"_s{i}")
@@ -115,5 +126,5 @@ def detect_language(docs: DataFrame, profile: LanguageProfile, id_col: str = "do
     det = detect(docs, profile, id_col, text_col)
     # Blank text has no trigram, so it has no detection; only ids are joined
     # (the text is not shuffled again).
-    return docs.select(id_col).join(det, id_col, "left").select(
+    return docs.select(id_col).join(det.hint("merge"), id_col, "left").select(
         id_col, F.coalesce(F.col("detected"), F.lit("unknown")).alias("language"))

@@ -29,9 +29,11 @@ def enrich(docs: DataFrame, profile: DataFrame, id_col: str = "doc_id", text_col
     lang = detect_language(docs, profile, id_col, text_col)
     sent = analyze_sentiment(docs, id_col, text_col, lex)
     kw = extract_keywords(docs, k, id_col, text_col)
-    base = lang.join(sent, id_col).join(kw, id_col, "left")
+    # Per-comment results, all hash-partitioned on the id: sort-merge joins
+    # (never a broadcast of a side that grows with the data).
+    base = lang.join(sent.hint("merge"), id_col).join(kw.hint("merge"), id_col, "left")
     if keep:
-        base = docs.select(id_col, *keep).join(base, id_col)
+        base = docs.select(id_col, *keep).join(base.hint("merge"), id_col)
     empty = F.array().cast("array<string>")
     return base.select(id_col, *keep, "language", "compound", "sentiment",
                        F.coalesce(F.col("keywords"), empty).alias("keywords"))
@@ -45,4 +47,5 @@ def reportable_enriched(docs: DataFrame, profile: DataFrame, id_col: str = "doc_
     kw = extract_keywords(docs, k, id_col, text_col)
     lang = detect_language(docs, profile, id_col, text_col)
     sent = analyze_sentiment(docs, id_col, text_col, lex)
-    return kw.join(lang, id_col).join(sent, id_col).select(id_col, "language", "sentiment", "keywords")
+    return (kw.join(lang.hint("merge"), id_col).join(sent.hint("merge"), id_col)
+            .select(id_col, "language", "sentiment", "keywords"))

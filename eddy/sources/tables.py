@@ -84,4 +84,4 @@ def comments_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("row_index"), "text", F.col("doc_id").cast("string").alias("comment_id"))
     e = events(spark, sf_dir).select(F.col("event_id").alias("row_index"), epoch_seconds("ts").alias("created_utc"))
-    return spread(d.join(e, "row_index", "left"))
+    return spread(d.join(e.hint("merge"), "row_index", "left"))
