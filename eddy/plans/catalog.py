@@ -21,8 +21,15 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Register a query.  Times are defined in UTC, so the wrapper pins the
+    session zone before the plan is built (a caller's session may differ)."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 

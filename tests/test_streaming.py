@@ -117,3 +117,24 @@ def test_conversion_stream(spark, messages, tmp):
     rej = spark.read.option("recursiveFileLookup", "true").parquet(out.rejects)
     assert rej.count() == messages.count() + 3
     assert {r.reason for r in rej.select("reason").distinct().collect()} == {"missing time", "empty message"}
+
+
+def test_conversion_stream_with_times(spark, tmp):
+    c = tb.comments_with_time(spark, SF)
+    wire = dict(WIRE, created_utc="5")
+    m = jc.encode(c, wire).select(
+        F.md5("value").alias("key"), "value", F.lit("reddit-comments").alias("topic"),
+        (F.col("row_index") % 4).cast("int").alias("partition"), (F.col("row_index") / 4).cast("long").alias("offset"))
+    src = f"{tmp}/src"
+    _write_parts(m, src, range(4))
+    out = jobs.ConvertOutputs(f"{tmp}/times", f"{tmp}/proc", f"{tmp}/rej")
+    q = jobs.start_conversion(jobs.file_source(spark, src, 1), out, f"{tmp}/ck", 4, 2)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    times = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(out.times_csv)
+    assert times.columns == ["timestamp", "iso_datetime"] and times.count() == c.count()
+    assert times.where(~F.col("iso_datetime").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{6})?$")).count() == 0
+    proc = spark.read.option("recursiveFileLookup", "true").parquet(out.processed)
+    assert proc.count() == c.count()
+    assert {r.processed_by for r in proc.select("processed_by").distinct().collect()} == {"consumer_0", "consumer_1"}
+    assert proc.where(F.col("id") != "unknown").count() == 0
