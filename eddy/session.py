@@ -16,7 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that make the plans in this package behave as intended.  AQE
-# re-plans at runtime: it coalesces small shuffle partitions, splits skewed
+# re-plans at runtime: it coalesces small shuffle partitions (towards the
+# advisory size, so a cluster can set a large spark.sql.shuffle.partitions for
+# 100 TB inputs and still get ~128 MB partitions on small ones), splits skewed
 # join partitions and turns a sort-merge join into a broadcast join when the
 # measured side is small.  Session time zone is fixed to UTC so epoch
 # conversions do not depend on the machine.
@@ -24,6 +26,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
