@@ -1,4 +1,9 @@
-"""Field access with defaults."""
+"""Field access with defaults.
+
+P2 (blank text -> language 'unknown') needs no helper: blank text has no
+letter, hence no trigram and no detection, and a missing detection becomes
+the default here (see ``eddy.operators.language.detect_language``).
+"""
 
 from __future__ import annotations
 
@@ -9,13 +14,3 @@ from pyspark.sql import functions as F
 def with_default(col: Column, default) -> Column:
     """``dict.get(k, default)``: null becomes the default."""
     return F.coalesce(col, F.lit(default))
-
-
-def is_blank(text: Column) -> Column:
-    """True for null, empty or white-space-only text."""
-    return text.isNull() | (F.length(F.trim(text, F.lit(" \t\n\r\x0b\x0c"))) == 0)
-
-
-def language_or_unknown(text: Column, detected: Column) -> Column:
-    """Blank text (or no detection) -> 'unknown'."""
-    return F.when(is_blank(text), F.lit("unknown")).otherwise(F.coalesce(detected, F.lit("unknown")))

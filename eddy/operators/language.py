@@ -34,6 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddy.functions.fields import with_default
 from eddy.session import cut_lineage
 
 
@@ -127,4 +128,4 @@ def detect_language(docs: DataFrame, profile: LanguageProfile, id_col: str = "do
     # Blank text has no trigram, so it has no detection; only ids are joined
     # (the text is not shuffled again).
     return docs.select(id_col).join(det.hint("merge"), id_col, "left").select(
-        id_col, F.coalesce(F.col("detected"), F.lit("unknown")).alias("language"))
+        id_col, with_default(F.col("detected"), "unknown").alias("language"))

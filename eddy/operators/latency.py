@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eddy.functions.fields import with_default
 from eddy.functions.time import epoch_to_local, latency_ms
 from eddy.operators.quantiles import exact_quantiles, quantile_name
 
@@ -33,11 +34,11 @@ def latency_rows(processed: DataFrame, now: Column | None = None) -> DataFrame:
     cols = []
     if now is not None:
         cols.append(now.alias("timestamp"))
-    cols += [F.coalesce(F.col("id"), F.lit("unknown")).alias("message_id"),
+    cols += [with_default(F.col("id"), "unknown").alias("message_id"),
              latency_ms(F.col("timestamp"), F.col("processing_time")).alias("latency_ms"),
              epoch_to_local(F.col("timestamp")).alias("original_time"),
              epoch_to_local(F.col("processing_time")).alias("processing_time"),
-             F.coalesce(F.col("processed_by"), F.lit("unknown")).alias("processed_by"),
+             with_default(F.col("processed_by"), "unknown").alias("processed_by"),
              F.col("partition").cast("int").alias("partition")]
     return latency_inputs(processed).select(*cols)
 

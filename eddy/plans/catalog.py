@@ -95,6 +95,7 @@ def q_keyword_ranking(spark, sf_dir):
 # --------------------------- ingest, codecs, topics ---------------------------
 
 from eddy import schema as sc  # noqa: E402
+from eddy.functions.fields import with_default  # noqa: E402
 from eddy.operators import validate as va  # noqa: E402
 from eddy.session import scratch_path  # noqa: E402
 from eddy.sources import files as fs  # noqa: E402
@@ -177,8 +178,8 @@ def q_field_default(spark, sf_dir):
     """Decode comment messages; absent ``id`` -> 'unknown', absent text -> ''."""
     m = jc.decode(_comment_messages(spark, sf_dir).select("value"), sc.COMMENT_MESSAGE)
     return m.select(F.col(sc.KEY_INDEX).alias("row_index"),
-                    F.coalesce(F.col(sc.KEY_ID), F.lit("unknown")).alias("id"),
-                    F.length(F.coalesce(F.col(sc.KEY_TEXT), F.lit(""))).alias("text_length"))
+                    with_default(F.col(sc.KEY_ID), "unknown").alias("id"),
+                    F.length(with_default(F.col(sc.KEY_TEXT), "")).alias("text_length"))
 
 
 @register("valid_text")

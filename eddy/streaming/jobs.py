@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eddy import schema as sc
+from eddy.functions.fields import with_default
 from eddy.functions.time import epoch_to_iso
 from eddy.operators import latency as lt
 from eddy.operators import validate as va
@@ -167,7 +168,7 @@ def convert_batch(batch: DataFrame, num_partitions: int, num_consumers: int) ->
     ], "convert")
     times = good.select(F.col("created_utc").alias("timestamp"), epoch_to_iso(F.col("created_utc")).alias("iso_datetime"))
     processed = good.select(
-        F.coalesce(F.col("id"), F.lit("unknown")).alias("id"),
+        with_default(F.col("id"), "unknown").alias("id"),
         F.col("created_utc").alias("timestamp"),
         (F.unix_micros(F.current_timestamp()) / F.lit(1e6)).alias("processing_time"),   # F4
         consumer_for_partition(F.col("partition"), num_partitions, num_consumers).alias("processed_by"))
