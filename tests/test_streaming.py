@@ -138,3 +138,14 @@ def test_conversion_stream_with_times(spark, tmp):
     assert proc.count() == c.count()
     assert {r.processed_by for r in proc.select("processed_by").distinct().collect()} == {"consumer_0", "consumer_1"}
     assert proc.where(F.col("id") != "unknown").count() == 0
+
+
+def test_windowed_latency_stream_counts_every_row(spark, tmp):
+    p = tb.processed_records(spark, SF).select("id", "timestamp", "processing_time", "processed_by", "partition")
+    p.repartition(2).write.parquet(f"{tmp}/proc")
+    agg = jobs.windowed_latency_stream(jobs.processed_file_source(spark, f"{tmp}/proc", 1), "1 hour")
+    q = (agg.writeStream.outputMode("complete").format("memory").queryName("win_lat")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = spark.sql("SELECT sum(total_messages) AS n, count(*) AS w FROM win_lat").collect()[0]
+    assert got.n == p.count() and got.w > 1
