@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,47 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 ALNUM = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
 
 
+TABLE_BITS = 25           # bits (log2) of a broadcast filter: 4 MB whatever the input
+BROADCAST_ROWS = 400_000  # rows of a key and at most a short list that may be broadcast; beyond, a plain join
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Scramble unsigned 64-bit integers (a bijection)."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _spot(keys: np.ndarray) -> np.ndarray:
+    return (mix(keys.view(np.uint64)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def key_table(keys: DataFrame, column: str) -> np.ndarray:
+    """Bits set at the hashes of a column of longs: a filter of fixed size that
+    lets every one of them through, and few others while it is sparse.  It only
+    ever saves work: an exact join follows wherever it is used."""
+    def run(batches):
+        bits = np.zeros(1 << TABLE_BITS, dtype=bool)
+        for batch in batches:
+            bits[_spot(batch.column(0).to_numpy())] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+    out = np.zeros(1 << (TABLE_BITS - 3), dtype=np.uint8)
+    for r in keys.select(column).repartition(4).mapInArrow(run, "bits binary").toLocalIterator():
+        out |= np.frombuffer(r.bits, dtype=np.uint8)
+    return out
+
+
+def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _spot(keys)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
+def bounded(frame: DataFrame) -> DataFrame:
+    """Broadcast a small table; leave a larger one to a plain join."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
 def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null becomes empty."""
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import bpe, html_extract, licenses, mixing, toxicity
+from eddy.llm import bpe, cdc_dedup, html_extract, licenses, mixing, ngram_jaccard, suffix_dedup, toxicity
 from eddy.session import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -24,10 +24,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.groups(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
@@ -36,11 +44,18 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op9_cdc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_bpe": op7_bpe,
     "op8_licenses": op8_licenses,
+    "op9_cdc_dedup": op9_cdc_dedup,
 }
 ORACLE = {"op5_mixing": mixing.ORACLE}
