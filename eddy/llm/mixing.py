@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddy.llm.common import written
+from eddy.llm.common import bounded, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -61,48 +61,80 @@ def targets(sizes: DataFrame, weights=WEIGHTS, percent: int = PERCENT, max_epoch
                     .otherwise(F.col("_w") * F.lit(level)).alias("target"))
 
 
+def _key(id_col: str, seed: int):
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+
+
+def _plan(base: DataFrame, weights, percent: int, max_epochs: int) -> DataFrame:
+    """For each source and hash bucket of ``base(_source, _size, _bucket)``: what
+    the source gets, and where the bucket stands in its running sum."""
+    buckets = written(base.groupBy(F.col("_source").alias("source"), "_bucket").agg(F.sum("_size").alias("_n")), "mix-buckets")
+    t = targets(buckets.groupBy("source").agg(F.sum("_n").alias("source_size")), weights, percent, max_epochs)
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    t = t.withColumn("_whole", F.floor(ratio).cast("long")).withColumn(
+        "_quota", F.round(F.col("target") - F.col("_whole") * F.col("source_size")).cast("long")).withColumnRenamed("source", "_of")
+    # Running sum over at most 4096 buckets of a source.
+    over = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = buckets.withColumn("_before", F.coalesce(F.sum("_n").over(over), F.lit(0)))
+    edge = (F.col("_before") < F.col("_quota")) & (F.col("_before") + F.col("_n") > F.col("_quota"))
+    return written(starts.join(t, F.col("source").eqNullSafe(F.col("_of"))).select(
+        F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_before", "source_size", "target", "_whole", "_quota",
+        edge.alias("_edge")), "mix-plan")
+
+
+def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows(..., _source, _size, _hash, _bucket)`` with source_size, target and
+    taken.  Only the rows of a source's boundary bucket are put in order."""
+    keep = [c for c in rows.columns if c not in ("_source", "_hash", "_bucket")]
+    both = rows.join(bounded(plan), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    whole = F.col("_whole") * F.col("_size")
+    more = F.when(F.col("_before") < F.col("_quota"), F.col("_size")).otherwise(0)
+    plain = both.where("not _edge").select(*keep, "source_size", "target", (whole + more).cast("long").alias("taken"))
+    order = Window.partitionBy("_source", "_bucket").orderBy("_hash", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_quota") - F.col("_before") - F.coalesce(F.sum("_size").over(order), F.lit(0))
+    part = F.greatest(F.lit(0), F.least(F.col("_size"), left))
+    edges = both.where("_edge").select(*keep, "source_size", "target", (whole + part).cast("long").alias("taken"))
+    return plain.unionByName(edges)
+
+
+def _base(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    return docs.withColumns({"_source": F.col(source_col).cast("string"), "_size": word_count(text_col),
+                             "_hash": _key(id_col, seed)}).withColumn("_bucket", F.substring("_hash", 1, 3))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = 17) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of ``docs``.
 
     ``taken`` is the number of words the mix takes, repetitions counted; at
-    most ``max_epochs`` times the size.  Null text or source: size 0, and a
+    most ``max_epochs`` times the size.  Null text: size 0; null source: a
     source of its own (last).  Null ids hash as an empty string.  Repeated rows
     are separate documents; among equal ids and sizes the rows are alike, so
     their order does not matter.  An empty table gives no rows.  Reruns agree:
     the hash depends on the seed and the id only.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(text_col).alias("size"), key.alias("_key"))
-    base = written(base.withColumn("_bucket", F.substring("_key", 1, 3)), "mix")
-    buckets = base.groupBy("source", "_bucket").agg(F.sum("size").alias("_n"))
-    t = targets(buckets.groupBy("source").agg(F.sum("_n").alias("source_size")), weights, percent, max_epochs)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(ratio).cast("long")
-    t = t.withColumn("_whole", whole).withColumn(
-        "_quota", F.round(F.col("target") - whole * F.col("source_size")).cast("long"))
-    # Running sum over at most 4096 buckets of a source, then inside one bucket.
-    over = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = buckets.withColumn("_before", F.coalesce(F.sum("_n").over(over), F.lit(0)))
-    t = t.withColumnRenamed("source", "_of")
-    plan = starts.join(t, F.col("source").eqNullSafe(F.col("_of"))).select(
-        F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_n", "_before", "source_size", "target", "_whole", "_quota")
-    edge = (F.col("_before") < F.col("_quota")) & (F.col("_before") + F.col("_n") > F.col("_quota"))
-    plan = plan.withColumn("_edge", edge)
-    inside = F.when(F.col("_before") < F.col("_quota"), F.col("size")).otherwise(0)
-    rows = base.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))).select(
-        "doc_id", "source", "size", "_key", "_bucket", "source_size", "target", "_whole", "_quota", "_before", "_edge",
-        inside.alias("_inside"))
-    out = ["doc_id", "size", "source_size", "target"]
-    take = F.col("_whole") * F.col("size")
-    plain = rows.where(~F.col("_edge")).select(*out, (take + F.col("_inside")).cast("long").alias("taken"))
-    in_edge = (Window.partitionBy("source", "_bucket").orderBy("_key", "size")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    left = F.col("_quota") - F.col("_before") - F.coalesce(F.sum("size").over(in_edge), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), left))
-    edges = rows.where("_edge").select(*out, (take + part).cast("long").alias("taken"))
-    return plain.unionByName(edges)
+    base = _base(docs, id_col, text_col, source_col, seed).select(
+        F.col(id_col).alias("doc_id"), "_source", "_size", "_hash", "_bucket")
+    base = written(base, "mix")
+    return _taken(base, _plan(base, weights, percent, max_epochs)).select(
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights=WEIGHTS, percent: int = PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = 17) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as it is taken.  A source's
+    boundary document comes once more with its first words only (white space
+    between them kept).  Documents that are not taken, and those without words,
+    are left out.  Columns as in ``docs``.
+    """
+    base = _base(docs, id_col, text_col, source_col, seed)
+    plan = _plan(base.select("_source", "_size", "_bucket"), weights, percent, max_epochs)
+    rows = _taken(base, plan).where("taken > 0")
+    whole = rows.where("taken >= _size").withColumn("_i", F.explode(F.sequence(F.lit(1), F.expr("int(taken div _size)"))))
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), F.lit(1)),
+                                 F.lit(1), (F.col("taken") % F.col("_size")).cast("int")), "")
+    part = rows.where("taken % _size > 0").withColumn(text_col, first)
+    return whole.select(*docs.columns).unionByName(part.select(*docs.columns))
 
 
 # DuckDB statement for the rows of ``mix`` over ``documents`` (same constants).

@@ -228,8 +228,8 @@ def _tiles(rows: DataFrame, percent: int) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
          percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(members, links): ``members(doc_id, n, set_id)`` has every row of
-    ``docs`` with its class; ``links(a, b)`` pairs of classes that link, enough
+    """(members, links): ``members(doc_id, tkey, n, set_id)`` has every row of
+    ``docs`` with a hash of its text and its class; ``links(a, b)`` pairs of classes that link, enough
     of them to connect every class with all it can reach.
 
     Null and empty texts have an empty set, a null class and no link.
@@ -279,7 +279,20 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             .select(F.col("s1").alias("a"), F.col("s2").alias("b")).distinct())
     big = rows.join(bounded(many), "token", "left_semi").join(classes.select("set_id", "bits"), "set_id")
     late = _linked(_passing(near, classes, percent).union(_tiles(big, percent)).distinct(), classes, texts, words, percent)
-    return sig.select("doc_id", "n", "set_id"), early.union(late)
+    return sig.select("doc_id", "tkey", "n", "set_id"), early.union(late)
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(doc_id, tkey, n_shingles, component_id)."""
+    members, links = join(docs, id_col, text_col, words, percent)
+    low = members.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("low"))
+    root = components(docs.sparkSession, links).withColumnRenamed("node", "set_id")
+    named = low.join(root, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    name = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    label = named.join(name, "root").select(F.col("set_id").alias("_set"), "component_id")
+    return members.join(label, F.col("set_id") == F.col("_set"), "left").select(
+        "doc_id", "tkey", F.col("n").alias("n_shingles"),
+        F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
@@ -291,13 +304,14 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     such a row takes the smallest other id it reaches, else null.  Rows may
     repeat ids.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    members, links = join(docs, id_col, text_col, words, percent)
-    low = members.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("low"))
-    root = components(spark, links).withColumnRenamed("node", "set_id")
-    named = low.join(root, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    name = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = named.join(name, "root").select(F.col("set_id").alias("_set"), "component_id")
-    return members.join(label, F.col("set_id") == F.col("_set"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return _labelled(docs, id_col, text_col, words, percent).drop("tkey")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, all columns kept:
+    one document of each group.  Rows without an id stay."""
+    gone = (_labelled(docs, id_col, text_col, words, percent).where("doc_id <> component_id")
+            .select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")).distinct())
+    gone = bounded(written(gone, "jaccard-gone"))
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.join(gone, (docs[id_col] == F.col("_id")) & (key == F.col("_tkey")), "left_anti")

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import bpe, cdc_dedup, html_extract, licenses, mixing, ngram_jaccard, suffix_dedup, toxicity
+from eddy.llm import (bpe, cdc_dedup, embedding_dedup, html_extract, licenses, mixing, ngram_jaccard, nn_descent, suffix_dedup,
+                       toxicity)
 from eddy.session import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -28,6 +29,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_groups(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -48,14 +53,20 @@ def op9_cdc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc_dedup.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_bpe": op7_bpe,
     "op8_licenses": op8_licenses,
     "op9_cdc_dedup": op9_cdc_dedup,
+    "op10_nn_descent": op10_nn_descent,
 }
 ORACLE = {"op5_mixing": mixing.ORACLE}
