@@ -8,8 +8,9 @@ are one class.  The search is exact (up to hash collisions):
    order puts frequent shingles last, so common passages hardly ever are in a
    prefix.  Which are frequent is learnt from a sample; it changes the order
    only, never the result.
-2. *Stars.*  Classes that share a min-hash are compared with the smallest class
-   that has it.  What is linked that way forms groups early on, so that the next
+2. *Stars.*  Classes that share a min-hash are compared with one of them, the
+   one with the largest share of frequent shingles: in a group of edited copies
+   that is the original, which is nearer to each copy than they are to another.  What is linked that way forms groups early on, so that the next
    step needs no pairs within a group.
 3. *Tiles.*  Classes of different groups that share a prefix member meet: by an
    equi-join if few hold the member, else in a tile of one member and one size
@@ -63,8 +64,9 @@ def shingles(text: bytes, known: dict, size: int = 5) -> np.ndarray:
 
 
 def bitmap(members: np.ndarray) -> bytes:
-    """One bit a member, in 2 to 4 bits a member (a power of two, 64 at least)."""
-    width = max(64, 1 << (2 * len(members) - 1).bit_length())
+    """One bit a member, in 8 to 16 bits a member (a power of two, 64 at least):
+    few members share a bit, so the bound is tight near the threshold."""
+    width = max(64, 1 << (8 * len(members) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(members & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -99,7 +101,7 @@ def _frequent(texts: DataFrame, words: int) -> np.ndarray:
 
 def _signatures(texts: DataFrame, words: int, percent: int, frequent) -> DataFrame:
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "tkey", "n", "set_id", "bits", "stars", "prefix"]
+    names = ["doc_id", "tkey", "n", "set_id", "bits", "stars", "prefix", "share"]
 
     def run(batches):
         known = _Words()
@@ -107,26 +109,28 @@ def _signatures(texts: DataFrame, words: int, percent: int, frequent) -> DataFra
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
-                n, ids, bits, stars, prefix = [], [], [], [], []
+                n, ids, bits, stars, prefix, share = [], [], [], [], [], []
                 for t in byte_texts(part, "text"):
                     s = shingles(t, known, words)
                     n.append(len(s))
                     if not len(s):
-                        ids.append(None), bits.append(None), stars.append(None), prefix.append(None)
+                        for col in (ids, bits, stars, prefix, share):
+                            col.append(None)
                         continue
                     ids.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
                     bits.append(bitmap(s))
                     stars.append([int((s * m).min().view(np.int64)) for m in _MULT[:STARS]])
                     late = in_table(table, s)
+                    share.append(float(late.mean()))
                     first = len(s) - -(-percent * len(s) // 100) + 1
                     prefix.append(np.concatenate([s[~late], s[late]])[:first].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tkey"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()),
                      pa.array(bits, pa.binary()), pa.array(stars, pa.list_(pa.int64())),
-                     pa.array(prefix, pa.list_(pa.int64()))], names=names)
+                     pa.array(prefix, pa.list_(pa.int64())), pa.array(share, pa.float64())], names=names)
 
     return texts.mapInArrow(run, f"doc_id {kind}, tkey long, n long, set_id long, bits binary, stars array<long>, "
-                                 "prefix array<long>")
+                                 "prefix array<long>, share double")
 
 
 def _passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -244,8 +248,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     copies = full.join(first.where("c > 1"), "set_id").where(full["rid"] != first["rid"]).select(full["rid"].alias("rid"))
     classes = full.join(bounded(written(copies, "jaccard-copies")), "rid", "left_anti")
 
-    star = classes.select("set_id", F.explode("stars").alias("star"))
-    lead = star.groupBy("star").agg(F.min("set_id").alias("a"), F.max("set_id").alias("z")).where("a <> z").select("star", "a")
+    star = classes.select("set_id", "share", F.explode("stars").alias("star"))
+    lead = (star.groupBy("star").agg(F.max(F.struct("share", "set_id")).alias("m"), F.min("set_id").alias("lo"),
+                                     F.max("set_id").alias("hi")).where("lo <> hi").select("star", F.col("m.set_id").alias("a")))
     pairs = star.join(lead, "star").where("a <> set_id").select("a", F.col("set_id").alias("b")).distinct()
     early = _linked(_passing(pairs, classes, percent), classes, texts, words, percent)
 
