@@ -25,8 +25,8 @@ from eddy.llm.common import ALNUM, byte_texts
 
 FOLDS, HELD_OUT = 5, 0
 CACHE = 400_000
-SMOOTH = 100      # empty n-grams that every bag holds: short texts lean on the bias
-MIN_DOCS = 4      # sampled documents that a bucket must occur in to get an embedding
+SMOOTH = 30      # empty n-grams that every bag holds: short texts lean on the bias
+MIN_DOCS = 3      # sampled documents that a bucket must occur in to get an embedding
 MAX_STEP = 10.0   # longest gradient step of a round
 
 
@@ -89,7 +89,7 @@ class Model:
 
 
 def train(bags: list[np.ndarray], labels: np.ndarray, bits: int = 20, dim: int = 4, rounds: int = 60,
-          rate: float = 1500.0, share: float = 0.3, seed: int = 5) -> Model:
+          rate: float = 2500.0, share: float = 0.5, seed: int = 5) -> Model:
     """Joint full-batch gradient descent with momentum on embedding table and
     softmax.  ``bags`` holds each document's hashes (repeats count); label 1
     weighs ``share`` of the loss whatever its number of rows.  Without both
