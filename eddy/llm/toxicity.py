@@ -25,6 +25,7 @@ from eddy.llm.common import ALNUM, byte_texts
 
 FOLDS, HELD_OUT = 5, 0
 CACHE = 400_000
+BITS = 20         # buckets (log2)
 SMOOTH = 30      # empty n-grams that every bag holds: short texts lean on the bias
 MIN_DOCS = 3      # sampled documents that a bucket must occur in to get an embedding
 MAX_STEP = 10.0   # longest gradient step of a round
@@ -50,6 +51,18 @@ def grams(word: bytes, low: int = 3, high: int = 6) -> list[int]:
     return bag
 
 
+def bag(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a text's words and n-grams, and their shares."""
+    known: dict[bytes, list[int]] = {}
+    all_: list[int] = []
+    for w in words(text):
+        if w not in known:
+            known[w] = grams(w)
+        all_ += known[w]
+    at, times = np.unique(np.array(all_, dtype=np.uint32) & np.uint32((1 << bits) - 1), return_counts=True)
+    return at.astype(np.int32), (times / (len(all_) + SMOOTH)).astype(np.float32)
+
+
 class Model:
     """Per-bucket logits (embedding row times softmax difference) and a bias."""
 
@@ -88,26 +101,27 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(mean + self.bias, -500, 500))))
 
 
-def train(bags: list[np.ndarray], labels: np.ndarray, bits: int = 20, dim: int = 4, rounds: int = 60,
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int = BITS, dim: int = 4, rounds: int = 60,
           rate: float = 2500.0, share: float = 0.5, seed: int = 5) -> Model:
     """Joint full-batch gradient descent with momentum on embedding table and
-    softmax.  ``bags`` holds each document's hashes (repeats count); label 1
-    weighs ``share`` of the loss whatever its number of rows.  Without both
+    softmax.  ``bags`` holds each document as ``bag`` gives it; label 1 weighs
+    ``share`` of the loss whatever its number of rows.  Without both
     labels the model says the only label there is (0 without rows)."""
     size = 1 << bits
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(size), 30.0 if len(labels) and labels[0] else -30.0)
-    doc, feat, val = [], [], []
-    for i, b in enumerate(bags):
-        u, c = np.unique(b & np.uint32(size - 1), return_counts=True)
-        doc.append(np.full(len(u), i, dtype=np.int32))
-        feat.append(u.astype(np.int32))
-        val.append((c / (len(b) + SMOOTH)).astype(np.float32))
-    doc, feat, val = np.concatenate(doc), np.concatenate(feat), np.concatenate(val)
-    used, feat = np.unique(feat, return_inverse=True)
-    keep = np.bincount(feat)[feat] >= MIN_DOCS
-    used, at = np.unique(used[feat[keep]], return_inverse=True)
-    doc, feat, val = doc[keep], at, val[keep]
+    # Buckets of too few documents go before anything is put together.
+    docs = np.zeros(size, dtype=np.int32)
+    for b, _ in bags:
+        docs[b] += 1
+    used = np.flatnonzero(docs >= MIN_DOCS)
+    place = np.full(size, -1, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    kept = [place[b] >= 0 for b, _ in bags]
+    doc = np.repeat(np.arange(len(bags), dtype=np.int32), [int(k.sum()) for k in kept])
+    feat = np.concatenate([place[b[k]] for (b, _), k in zip(bags, kept)])
+    val = np.concatenate([v[k] for (_, v), k in zip(bags, kept)])
+    del kept
     n, y = len(labels), labels
     weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum()).astype(np.float32)
     rng = np.random.default_rng(seed)
@@ -137,7 +151,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, bits: int = 20, dim: int =
     return Model(logit, float(off[1] - off[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 20_000, id_col: str = "doc_id",
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 10_000, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic", **options) -> Model:
     """Train on a bounded sample of the labelled rows outside the held-out fold.
 
@@ -154,21 +168,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: in
 
     def bags(batches):
         for batch in batches:
-            rows = []
-            for t in byte_texts(batch, "_text"):
-                cache: dict[bytes, list[int]] = {}
-                bag: list[int] = []
-                for w in words(t):
-                    if w not in cache:
-                        cache[w] = grams(w)
-                    bag += cache[w]
-                rows.append(np.array(bag, dtype=np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_y"), pa.array(rows, pa.binary())],
-                                             names=["_id", "_y", "bag"])
+            for k in range(0, batch.num_rows, 64):
+                part = batch.slice(k, 64)
+                got = [bag(t) for t in byte_texts(part, "_text")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_id"), part.column("_y"), *(pa.array([x[i].tobytes() for x in got], pa.binary()) for i in (0, 1))],
+                    names=["_id", "_y", "at", "share"])
 
     kind = picked.schema["_id"].dataType.simpleString()
-    rows = picked.mapInArrow(bags, f"_id {kind}, _y int, bag binary").toPandas().sort_values(["_id", "_y", "bag"])
-    return train([np.frombuffer(b, dtype=np.uint32) for b in rows["bag"]], rows["_y"].to_numpy(dtype=np.int64), **options)
+    rows = picked.mapInArrow(bags, f"_id {kind}, _y int, at binary, share binary").toArrow()
+    at, share = rows["at"].to_pylist(), rows["share"].to_pylist()
+    order = sorted(range(len(at)), key=lambda i: (rows["_id"][i].as_py(), rows["_y"][i].as_py(), at[i]))
+    labels_ = rows["_y"].to_numpy().astype(np.int64)[order]
+    del rows
+    got = [(np.frombuffer(at[i], dtype=np.int32), np.frombuffer(share[i], dtype=np.float32)) for i in order]
+    return train(got, labels_, **options)
 
 
 def _scored(frame: DataFrame, text_col: str, model: Model, schema: str, row) -> DataFrame:
