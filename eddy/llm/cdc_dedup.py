@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slices, written
-from eddy.llm.suffix_dedup import LAST, _cut, merged
+from eddy.llm.suffix_dedup import LAST, _cut, merged_lists
 
 MASK_BITS = 5    # a border every 32 bytes on average
 LOW = 16         # no chunk is shorter, but a text's last
@@ -57,7 +57,8 @@ def chunk_ends(text: bytes, bits: int = MASK_BITS, low: int = LOW, high: int = H
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` as (doc_id, text, spans): the byte spans to remove.
+    """Every row of ``docs`` as (doc_id, text, spans): the byte spans to remove, as
+    starts and ends in turn; null without any.
 
     Null text counts as empty, a null id comes after all others, rows with equal
     id and text count as one.  An empty table gives no rows.
@@ -91,20 +92,11 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             yield batch.filter(pa.array(in_table(table.value, batch.column(0).to_numpy())))
 
-    later = (chunks.mapInArrow(sift, chunks.schema).join(first, "digest")
-             .where("ord > o or ord = o and at > a").select("dkey", "at", "end").distinct())
-
-    def runs(batches):
-        for batch in batches:
-            out = []
-            for x in batch.column("spans").to_pylist():
-                out.append([{"s": a, "e": b} for a, b in merged((y["at"], y["end"]) for y in x) if b - a >= MIN_RUN])
-            yield pa.RecordBatch.from_arrays([batch.column("dkey"), pa.array(out, kind)], names=["dkey", "spans"])
-
-    kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-    spans = (later.groupBy("dkey").agg(F.collect_list(F.struct("at", "end")).alias("spans"))
-             .mapInArrow(runs, "dkey long, spans array<struct<s:long,e:long>>").where("size(spans) > 0"))
-    return frame.join(bounded(written(spans, "cdc-spans")), "dkey", "left").select("doc_id", "text", "spans")
+    later = (chunks.mapInArrow(sift, chunks.schema).join(first, "digest").where("ord > o or ord = o and at > a")
+             .select("dkey", F.col("at").alias("s"), F.col("end").alias("e")))
+    spans = merged_lists(later, "cdc-spans", MIN_RUN)
+    return frame.join(bounded(spans, "_spans"), F.col("dkey") == F.col("_dkey"), "left").select(
+        "doc_id", "text", F.col("_spans").alias("spans"))
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,7 +108,7 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         for batch in batches:
             out = []
             for t, s in zip(byte_texts(batch, "text"), batch.column("spans").to_pylist()):
-                s = [(x["s"], x["e"]) for x in s or ()]
+                s = list(zip(s[::2], s[1::2])) if s else []
                 out.append((len(t), sum(b - a for a, b in s), len(s), hashlib.sha256(_cut(t, s)).hexdigest()))
             cols = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(

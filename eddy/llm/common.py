@@ -17,7 +17,8 @@ ALNUM = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
 
 
 TABLE_BITS = 25           # bits (log2) of a broadcast filter: 4 MB whatever the input
-BROADCAST_ROWS = 400_000  # rows of a key and at most a short list that may be broadcast; beyond, a plain join
+BROADCAST_ROWS = 400_000       # rows of a few longs that may be broadcast; beyond, a plain join
+BROADCAST_ENTRIES = 4_000_000  # 32-bit entries of their lists that may go with them
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,9 +53,12 @@ def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
 
-def bounded(frame: DataFrame) -> DataFrame:
-    """Broadcast a small table; leave a larger one to a plain join."""
-    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+def bounded(frame: DataFrame, list_col: str | None = None) -> DataFrame:
+    """Broadcast a small table (by its rows, and by the entries of its one list
+    column); leave a larger one to a plain join."""
+    entries = F.sum(F.size(list_col)) if list_col else F.lit(0)
+    n = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(entries, F.lit(0)).alias("entries")).first()
+    return F.broadcast(frame) if n.rows <= BROADCAST_ROWS and n.entries <= BROADCAST_ENTRIES else frame
 
 
 def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:

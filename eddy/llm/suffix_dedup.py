@@ -226,20 +226,33 @@ def _spans(prepared: DataFrame, length: int) -> DataFrame:
             yield batch_of(out)
         yield batch_of(solve(held))
 
-    spans = dealt.mapInArrow(cover, "dkey long, s long, e long").distinct()
-    return written(spans.groupBy(F.col("dkey").alias("_dkey")).agg(F.collect_list(F.struct("s", "e")).alias("_spans")), "suffix-spans")
+    return merged_lists(dealt.mapInArrow(cover, "dkey long, s long, e long"), "suffix-spans")
+
+
+def merged_lists(spans: DataFrame, name: str, least: int = 1) -> DataFrame:
+    """``spans(dkey, s, e)`` to (_dkey, _spans): maximal runs of at least
+    ``least`` bytes as one list of starts and ends in turn."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for x in batch.column("at").to_pylist():
+                out.append([v for s, e in merged((y["s"], y["e"]) for y in x) if e - s >= least for v in (s, e)])
+            yield pa.RecordBatch.from_arrays([batch.column("_dkey"), pa.array(out, pa.list_(pa.int32()))], names=["_dkey", "_spans"])
+
+    lists = spans.groupBy(F.col("dkey").alias("_dkey")).agg(F.collect_list(F.struct("s", "e")).alias("at"))
+    return written(lists.mapInArrow(run, "_dkey long, _spans array<int>").where("size(_spans) > 0"), name)
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
     prepared = _prepared(docs, id_col, text_col)
     spans = _spans(prepared, length)
-    return prepared.join(bounded(spans), "_dkey", "left").withColumn("_later", F.coalesce(F.col("_ord") > F.col("_low"), F.lit(False)))
+    return prepared.join(bounded(spans, "_spans"), "_dkey", "left").withColumn("_later", F.coalesce(F.col("_ord") > F.col("_low"), F.lit(False)))
 
 
 def _row_spans(text: bytes, later: bool, spans, length: int) -> list[tuple[int, int]]:
     if later:
         return [(0, len(text))] if len(text) >= length else []
-    return merged((x["s"], x["e"]) for x in spans or ())
+    return list(zip(spans[::2], spans[1::2])) if spans else []
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
