@@ -28,7 +28,7 @@ TOKEN_RULES: list[tuple[str, str]] = [
     (r"([^' ])('ll|'re|'ve|n't|'[smd]|')(\s|$)", r"$1 $2$3"),
 ]
 TOKEN_SPLIT = r"[ \t\n\r\x0B\f]+"
-ALPHA_TOKEN = r"^\p{L}+$"
+ALPHA_TOKEN = r"^\p{L}+\z"
 # Sentiment words: split on white space, strip this outer punctuation, keep
 # inner apostrophes (so "don't" survives as a negation).
 WORD_SPLIT = r"\s+"

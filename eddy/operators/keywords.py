@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from eddy.functions.text import ALPHA_TOKEN, english_stopwords, raw_tokens
 
-# Upper bound on a user-supplied stopword table before it is broadcast.
+# Rows up to which a user-supplied stopword table is broadcast; a larger one
+# goes through a plain anti-join.
 MAX_STOPWORDS = 100_000
 
 
@@ -38,15 +39,13 @@ def filter_stopwords(tokens: DataFrame, stopwords: Iterable[str] | DataFrame | N
     """Keep alphabetic, non-stopword tokens.
 
     A word list becomes an ``InSet`` predicate inside the scan's codegen stage
-    (no join).  A stopword *table* is broadcast after checking its size.
+    (no join).  A stopword *table* is broadcast if its size allows.
     """
     alpha = tokens.where(F.col(token_col).rlike(ALPHA_TOKEN))
     if isinstance(stopwords, DataFrame):
-        n = stopwords.count()
-        if n > MAX_STOPWORDS:
-            raise ValueError(f"stopword table has {n} rows; limit is {MAX_STOPWORDS}")
         stop = stopwords.select(F.col(stopwords.columns[0]).alias(token_col)).distinct()
-        return alpha.join(F.broadcast(stop), token_col, "left_anti")
+        small = stopwords.count() <= MAX_STOPWORDS
+        return alpha.join(F.broadcast(stop) if small else stop.hint("merge"), token_col, "left_anti")
     words = list(english_stopwords() if stopwords is None else stopwords)
     return alpha.where(~F.col(token_col).isin(words))
 

@@ -39,9 +39,9 @@ from eddy.session import cut_lineage
 
 
 MICRO = 1_000_000
-# Largest profile (distinct trigrams) that is broadcast; about 40 bytes per
-# trigram plus 8 per language, so a few hundred MB at the bound.
-MAX_BROADCAST_VOCABULARY = 2_000_000
+# Largest pivoted profile that is broadcast, in bytes: about 40 a trigram plus 8
+# for each language.
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def normalized_letters(text: Column) -> Column:
@@ -56,13 +56,17 @@ def normalized_letters(text: Column) -> Column:
 TRIGRAMS = r"(?=(.{3}))"
 
 
-def trigram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, g, n): whole-text character trigram counts per row.  Rows
-    without any letter (null, blank, punctuation only) produce no trigram."""
+def trigrams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, g): the character trigrams of whole texts.  Rows without any letter
+    (null, blank, punctuation only) have none."""
     t = docs.where(F.col(text_col).rlike(r"\p{L}")).select(
         id_col, normalized_letters(F.col(text_col)).alias("_t"))
-    grams = t.select(id_col, F.explode(F.regexp_extract_all(F.col("_t"), F.lit(TRIGRAMS), 1)).alias("g"))
-    return grams.groupBy(id_col, "g").agg(F.count(F.lit(1)).alias("n"))
+    return t.select(id_col, F.explode(F.regexp_extract_all(F.col("_t"), F.lit(TRIGRAMS), 1)).alias("g"))
+
+
+def trigram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, g, n): trigram counts per row."""
+    return trigrams(docs, id_col, text_col).groupBy(id_col, "g").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)
@@ -106,11 +110,12 @@ def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
     # The pivoted profile has exactly ``vocabulary`` rows, known from fitting:
     # broadcast it only under the bound, otherwise sort-merge join.  Never let
     # the planner broadcast the per-comment side, which grows with the data.
-    if 0 < profile.vocabulary <= MAX_BROADCAST_VOCABULARY:
-        per_g = F.broadcast(per_g)
+    if 0 < profile.vocabulary * (40 + 8 * len(langs)) <= MAX_BROADCAST_BYTES:
+        # Scores add up, so each trigram meets the profile as it comes: one
+        # partial and final sum by id, no shuffle of (id, trigram).
+        tri = trigrams(docs, id_col, text_col).withColumn("n", F.lit(1)).join(F.broadcast(per_g), "g")
     else:
-        per_g = per_g.hint("merge")
-    tri = trigram_counts(docs, id_col, text_col).join(per_g, "g")
+        tri = trigram_counts(docs, id_col, text_col).join(per_g.hint("merge"), "g")
     sums = tri.groupBy(id_col).agg(
         *[F.sum(F.col("n") * F.coalesce(F.col(f"_lp{i}"), F.lit(floor))).alias(f"_s{i}")
           for i, (_, floor) in enumerate(langs)])

@@ -57,13 +57,12 @@ def default_lexicon_rows() -> tuple[tuple[str, float, float, int], ...]:
 
 
 def lexicon(spark: SparkSession, table: DataFrame | None = None) -> DataFrame:
-    """The lexicon table; a user table must fit the broadcast bound."""
+    """The lexicon table, hinted for a broadcast if its size allows and for a
+    plain join otherwise."""
     if table is None:
-        return spark.createDataFrame(list(default_lexicon_rows()), LEXICON_SCHEMA)
-    n = table.count()
-    if n > MAX_LEXICON_ROWS:
-        raise ValueError(f"lexicon has {n} rows; broadcast limit is {MAX_LEXICON_ROWS}")
-    return table.select([F.col(f.name).cast(f.dataType) for f in LEXICON_SCHEMA.fields])
+        return F.broadcast(spark.createDataFrame(list(default_lexicon_rows()), LEXICON_SCHEMA))
+    rows = table.select([F.col(f.name).cast(f.dataType) for f in LEXICON_SCHEMA.fields])
+    return F.broadcast(rows) if table.count() <= MAX_LEXICON_ROWS else rows.hint("merge")
 
 
 def punctuation_emphasis(text):
@@ -83,7 +82,7 @@ def sentiment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      lex: DataFrame | None = None) -> DataFrame:
     """(id, compound) for every input row; null text scores 0."""
     spark = docs.sparkSession
-    lx = F.broadcast(lexicon(spark, lex))
+    lx = lexicon(spark, lex)
     base = docs.select(id_col, F.col(text_col).alias("_t"))
     words = base.select(id_col, F.posexplode(
         F.filter(sentiment_words(F.coalesce(F.col("_t"), F.lit(""))), lambda w: F.length(w) > 0)

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Epoch seconds of 0001-01-01 and of 10000-01-01 (UTC).
+MIN_EPOCH, END_EPOCH = -62135596800.0, 253402300800.0
+
+
 def text_missing(text: Column) -> Column:
     """Text is not a string (null after a typed decode)."""
     return text.isNull()
@@ -27,9 +31,10 @@ def message_empty(value: Column) -> Column:
 
 
 def time_invalid(t: Column) -> Column:
-    """Falsy or non-numeric creation time (null, 0, NaN, text)."""
+    """Falsy or non-numeric creation time (null, 0, NaN, text), or one
+    outside the years 1 to 9999 (infinities included)."""
     x = t.try_cast("double")
-    return x.isNull() | (x == 0) | F.isnan(x)
+    return x.isNull() | (x == 0) | F.isnan(x) | (x < F.lit(MIN_EPOCH)) | (x >= F.lit(END_EPOCH))
 
 
 def times_missing(original: Column, processing: Column) -> Column:

@@ -116,7 +116,8 @@ def _comment_messages(spark, sf_dir):
 @register("scan_comments")
 def q_scan_comments(spark, sf_dir):
     path = scratch_path(spark, "comments-csv")
-    fs.write_comments_csv(tb.comments_with_time(spark, sf_dir), path)
+    c = tb.comments_with_time(spark, sf_dir).withColumn("note", F.concat(F.lit("n,"), "comment_id"))
+    fs.write_comments_csv(c.select("note", "created_utc", "comment_id", "text", "row_index"), path)
     return tb.spread(fs.read_comments_csv(spark, path))
 
 
@@ -182,48 +183,60 @@ def q_field_default(spark, sf_dir):
                     F.length(with_default(F.col(sc.KEY_TEXT), "")).alias("text_length"))
 
 
+def _faulty_messages(spark, sf_dir):
+    """Messages whose value is an empty object (id mod 5 = 0) or empty (1)."""
+    k = F.pmod("row_index", F.lit(5))
+    return _comment_messages(spark, sf_dir).withColumn(
+        "value", F.when(k == 0, "{}").when(k == 1, "").otherwise(F.col("value")))
+
+
+def _faulty_processed(spark, sf_dir):
+    """Processed records without a processing time where the id mod 13 is 0."""
+    return tb.processed_records(spark, sf_dir).withColumn(
+        "processing_time", F.when(F.pmod(F.col("id").cast("long"), F.lit(13)) != 0, F.col("processing_time")))
+
+
 @register("valid_text")
 def q_valid_text(spark, sf_dir):
-    good, _ = va.split_valid(tb.comments(spark, sf_dir), [("text not a string", va.text_missing(F.col("text")))], "sentiment")
+    good, _ = va.split_valid(tb.faulty_texts(spark, sf_dir), [("text not a string", va.text_missing(F.col("text")))], "sentiment")
     return good.select("row_index")
 
 
 @register("nonempty_text")
 def q_nonempty_text(spark, sf_dir):
-    c = tb.comments(spark, sf_dir)
+    c = tb.faulty_texts(spark, sf_dir)
     good, _ = va.split_valid(c, [("no text", va.text_missing(F.col("text")) | va.text_empty(F.col("text")))], "keywords")
     return good.select("row_index")
 
 
 @register("nonempty_message")
 def q_nonempty_message(spark, sf_dir):
-    m = _comment_messages(spark, sf_dir)
+    m = _faulty_messages(spark, sf_dir)
     good, _ = va.split_valid(m, [("empty message", va.message_empty(F.col("value")))], "consume")
     return good.select("row_index")
 
 
 @register("valid_time")
 def q_valid_time(spark, sf_dir):
-    c = tb.comments_with_time(spark, sf_dir)
+    c = tb.faulty_times(spark, sf_dir)
     good, _ = va.split_valid(c, [("missing time", va.time_invalid(F.col("created_utc")))], "convert")
     return good.select("row_index", "created_utc")
 
 
 @register("latency_inputs")
 def q_latency_inputs(spark, sf_dir):
-    p = tb.processed_records(spark, sf_dir)
+    p = _faulty_processed(spark, sf_dir)
     good, _ = va.split_valid(p, [("missing time", va.times_missing(F.col("timestamp"), F.col("processing_time")))], "latency")
     return good.select("id")
 
 
 def _all_checks(spark, sf_dir):
-    c = tb.comments_with_time(spark, sf_dir)
-    m = _comment_messages(spark, sf_dir)
-    p = tb.processed_records(spark, sf_dir)
+    c, t = tb.faulty_texts(spark, sf_dir), tb.faulty_times(spark, sf_dir)
+    m, p = _faulty_messages(spark, sf_dir), _faulty_processed(spark, sf_dir)
     return [
         (c, [("text not a string", va.text_missing(F.col("text"))),
              ("empty text", va.text_empty(F.col("text")))], "text"),
-        (c, [("missing time", va.time_invalid(F.col("created_utc")))], "convert"),
+        (t, [("missing time", va.time_invalid(F.col("created_utc")))], "convert"),
         (m, [("empty message", va.message_empty(F.col("value")))], "consume"),
         (p, [("missing time", va.times_missing(F.col("timestamp"), F.col("processing_time")))], "latency"),
     ]
@@ -236,7 +249,8 @@ def q_rejects(spark, sf_dir):
     for df, checks, stage in _all_checks(spark, sf_dir):
         _, bad = va.split_valid(df, checks, stage)
         out = bad if out is None else out.unionByName(bad)
-    return out
+    key = F.coalesce(F.get_json_object("row", "$.row_index"), F.get_json_object("row", "$.id"))
+    return out.select(key.alias("row_key"), "stage", "reason")
 
 
 @register("validation_summary")
@@ -267,7 +281,7 @@ def q_processed_records(spark, sf_dir):
 
 @register("epoch_to_iso")
 def q_epoch_to_iso(spark, sf_dir):
-    c = tb.comments_with_time(spark, sf_dir)
+    c = tb.events(spark, sf_dir).select(F.col("event_id").alias("row_index"), tb.epoch_seconds("ts").alias("created_utc"))
     return c.select("row_index", "created_utc", tm.epoch_to_iso(F.col("created_utc")).alias("iso_datetime"))
 
 
@@ -340,7 +354,9 @@ def q_detect_language(spark, sf_dir):
 def q_lang_unknown(spark, sf_dir):
     """P2 on a second text source: conversation turns, blank -> 'unknown'."""
     conv = tb.spread(tb.read_table(spark, sf_dir, "conversations")
-                     .select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"), "text"))
+                     .select(F.concat_ws(":", "conv_id", "turn").alias("turn_id"),
+                             F.when(F.pmod("conv_id", F.lit(5)) == 0, None).when(F.pmod("conv_id", F.lit(5)) == 1, " \n")
+                             .otherwise(F.col("text")).alias("text")))
     return lg.detect_language(conv, _profile(spark, sf_dir), "turn_id")
 
 

@@ -83,7 +83,7 @@ _PROC = f"""proc AS (
          CAST(event_id % 5 AS INTEGER) AS partition, event_id // 5 AS "offset", event_type
   FROM events)"""
 
-ORACLE["scan_comments"] = "WITH " + _COMMENTS_T + "\nSELECT row_index, text, comment_id, created_utc FROM comments_t"
+ORACLE["scan_comments"] = "WITH " + _COMMENTS_T + "\nSELECT row_index, text, comment_id, created_utc, 'n,' || comment_id AS note FROM comments_t"
 ORACLE["stride_shard"] = "SELECT doc_id AS row_index, CAST(doc_id % 2 AS INTEGER) AS producer_id FROM documents"
 ORACLE["json_encode"] = "WITH " + _MSG + "\nSELECT row_index, value FROM msg"
 ORACLE["json_decode"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
@@ -102,28 +102,33 @@ ORACLE["end_offsets"] = "WITH " + _PROC + "\nSELECT partition, max(\"offset\") +
 # ------------------------------- validation ----------------------------------
 
 ORACLE["field_default"] = "SELECT doc_id AS row_index, 'unknown' AS id, CAST(length(coalesce(text, '')) AS INTEGER) AS text_length FROM documents"
-ORACLE["valid_text"] = "SELECT doc_id AS row_index FROM documents WHERE text IS NOT NULL"
-ORACLE["nonempty_text"] = "SELECT doc_id AS row_index FROM documents WHERE text IS NOT NULL AND length(text) > 0"
-ORACLE["nonempty_message"] = "WITH " + _MSG + "\nSELECT row_index FROM msg WHERE value IS NOT NULL AND trim(value) NOT IN ('', '{}', 'null')"
-ORACLE["valid_time"] = "WITH " + _COMMENTS_T + """
-SELECT row_index, created_utc FROM comments_t
-WHERE created_utc IS NOT NULL AND created_utc <> 0 AND NOT isnan(created_utc)"""
-ORACLE["latency_inputs"] = "WITH " + _PROC + "\nSELECT id FROM proc WHERE timestamp IS NOT NULL AND processing_time IS NOT NULL"
-ORACLE["rejects"] = """
-SELECT CAST(NULL AS VARCHAR) AS row, CAST(NULL AS VARCHAR) AS stage, CAST(NULL AS VARCHAR) AS reason WHERE false"""
-ORACLE["validation_summary"] = "WITH " + _COMMENTS_T + ", " + _MSG + ", " + _PROC + """
-SELECT 'text' AS stage,
-       CASE WHEN text IS NULL THEN 'text not a string' WHEN length(text) = 0 THEN 'empty text' ELSE 'ok' END AS status,
-       count(*) AS n FROM comments_t GROUP BY 1, 2
-UNION ALL
-SELECT 'convert', CASE WHEN created_utc IS NULL OR created_utc = 0 OR isnan(created_utc) THEN 'missing time' ELSE 'ok' END,
-       count(*) FROM comments_t GROUP BY 1, 2
-UNION ALL
-SELECT 'consume', CASE WHEN value IS NULL OR trim(value) IN ('', '{}', 'null') THEN 'empty message' ELSE 'ok' END,
-       count(*) FROM msg GROUP BY 1, 2
-UNION ALL
-SELECT 'latency', CASE WHEN timestamp IS NULL OR processing_time IS NULL THEN 'missing time' ELSE 'ok' END,
-       count(*) FROM proc GROUP BY 1, 2"""
+ORACLE["valid_text"] = "SELECT doc_id AS row_index FROM documents WHERE text IS NOT NULL AND doc_id % 7 <> 0"
+ORACLE["nonempty_text"] = "SELECT doc_id AS row_index FROM documents WHERE text IS NOT NULL AND length(text) > 0 AND doc_id % 7 NOT IN (0, 1)"
+ORACLE["nonempty_message"] = "WITH " + _MSG + "\nSELECT row_index FROM msg WHERE value IS NOT NULL AND row_index % 5 NOT IN (0, 1)"
+_BAD_TIME = "created_utc IS NULL OR created_utc = 0 OR isnan(created_utc) OR created_utc < -62135596800 OR created_utc >= 253402300800"
+_TIMES = f"""times AS (
+  SELECT e.event_id AS row_index,
+         CASE e.event_id % 11 WHEN 0 THEN 0.0 WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN 'inf'::DOUBLE WHEN 3 THEN 1e15
+                              WHEN 4 THEN NULL ELSE {_CREATED} END AS created_utc
+  FROM events e),
+texts AS (
+  SELECT doc_id AS row_index, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END AS text FROM documents),
+bodies AS (
+  SELECT row_index, CASE row_index % 5 WHEN 0 THEN '{{}}' WHEN 1 THEN '' ELSE value END AS value FROM msg),
+done AS (
+  SELECT id, timestamp, CASE WHEN id::BIGINT % 13 <> 0 THEN processing_time END AS processing_time FROM proc),
+checked AS (
+  SELECT row_index::VARCHAR AS row_key, 'text' AS stage,
+         CASE WHEN text IS NULL THEN 'text not a string' WHEN length(text) = 0 THEN 'empty text' ELSE 'ok' END AS reason FROM texts
+  UNION ALL SELECT row_index::VARCHAR, 'convert', CASE WHEN {_BAD_TIME} THEN 'missing time' ELSE 'ok' END FROM times
+  UNION ALL SELECT row_index::VARCHAR, 'consume',
+         CASE WHEN value IS NULL OR trim(value) IN ('', '{{}}', 'null') THEN 'empty message' ELSE 'ok' END FROM bodies
+  UNION ALL SELECT id, 'latency', CASE WHEN timestamp IS NULL OR processing_time IS NULL THEN 'missing time' ELSE 'ok' END FROM done)"""
+_CHECKED = "WITH " + _MSG + ", " + _PROC + ", " + _TIMES
+ORACLE["valid_time"] = _CHECKED + f"\nSELECT row_index, created_utc FROM times WHERE NOT ({_BAD_TIME})"
+ORACLE["latency_inputs"] = "WITH " + _PROC + "\nSELECT id FROM proc WHERE timestamp IS NOT NULL AND processing_time IS NOT NULL AND id::BIGINT % 13 <> 0"
+ORACLE["rejects"] = _CHECKED + "\nSELECT row_key, stage, reason FROM checked WHERE reason <> 'ok'"
+ORACLE["validation_summary"] = _CHECKED + "\nSELECT stage, reason AS status, count(*) AS n FROM checked GROUP BY 1, 2"
 
 # ------------------------------ time, latency ---------------------------------
 
@@ -145,7 +150,7 @@ lat AS (
   FROM proc WHERE timestamp IS NOT NULL AND processing_time IS NOT NULL)"""
 
 ORACLE["processed_records"] = "WITH " + _PROC + "\nSELECT id, timestamp, processing_time, processed_by FROM proc"
-ORACLE["epoch_to_iso"] = "WITH " + _COMMENTS_T + f"\nSELECT row_index, created_utc, {_iso('created_utc')} AS iso_datetime FROM comments_t"
+ORACLE["epoch_to_iso"] = f"WITH t AS (SELECT e.event_id AS row_index, {_CREATED} AS created_utc FROM events e)\nSELECT row_index, created_utc, {_iso('created_utc')} AS iso_datetime FROM t"
 ORACLE["epoch_to_ts"] = "WITH " + _PROC + f"\nSELECT id, make_timestamp({_US.format(x='timestamp')}) AS original_time FROM proc"
 ORACLE["latency_rows"] = _LAT + "\nSELECT * FROM lat"
 ORACLE["latency_report"] = _LAT + """
@@ -283,8 +288,11 @@ ORACLE["sentiment_label"] = "WITH " + _sentiment_ctes() + "\nSELECT doc_id, sent
 ORACLE["language_profile"] = "WITH " + _PROFILE + "\nSELECT lang, g, c, lp, lp0 FROM profile"
 ORACLE["detect_language"] = "WITH " + _PROFILE + ",\n" + _detect_ctes("documents", "doc_id", "text", "doc_id") + \
     "\nSELECT doc_id, language FROM dlang"
-ORACLE["lang_unknown"] = "WITH " + _PROFILE + ",\n" + _detect_ctes(
-    "conversations", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "text", "turn_id") + \
+ORACLE["lang_unknown"] = "WITH " + _PROFILE + """,
+turns AS (SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN NULL WHEN 1 THEN ' ' || chr(10) ELSE text END AS text
+          FROM conversations),
+""" + _detect_ctes(
+    "turns", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "text", "turn_id") + \
     "\nSELECT turn_id, language FROM dlang"
 ORACLE["enriched"] = _ENRICH + """
 SELECT dlang.doc_id, dlang.language, slabel.compound, slabel.sentiment,

@@ -1,12 +1,14 @@
 """File sources and sinks.
 
 CSV input keeps quoted newlines and doubled quotes (``multiLine``).  A
-multi-line CSV file cannot be split, so large inputs are converted to parquet
-once (``csv_to_parquet``) and every later job scans the parquet in parallel.
+multi-line CSV file cannot be split, so give large inputs as many files, or
+write them to Parquet once.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,30 +17,28 @@ from eddy.schema import COMMENT_CSV
 CSV_READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
-# Header of the comments file: the unnamed index column, then text ("1"),
-# comment id ("2") and creation time ("5").
-COMMENT_HEADER = ["", "1", "2", "5"]
+# Header of the comments file: the unnamed index column, text ("1"), comment id
+# ("2") and creation time ("5"), in any order and among other columns.
+COMMENT_HEADER = {"row_index": "", "text": "1", "comment_id": "2", "created_utc": "5"}
 
 
 def read_comments_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Comments CSV with an explicit schema (header row skipped)."""
-    return spark.read.options(**CSV_READ).schema(COMMENT_CSV).csv(path)
+    """Comments CSV, columns found by their header names.
+
+    Values are read as text; the index and the time are cast (null where they
+    are no numbers).  A column the file lacks is null; all others are kept under
+    their own names.  Spark calls the unnamed column ``_c`` and its position.
+    """
+    raw = spark.read.options(**CSV_READ).csv(path)
+    named = {("" if re.fullmatch(r"_c\d+", c) else c): c for c in reversed(raw.columns)}
+    own = {f.name: named.get(COMMENT_HEADER[f.name]) for f in COMMENT_CSV.fields}
+    cols = [(F.col(f"`{own[f.name]}`") if own[f.name] else F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in COMMENT_CSV.fields]
+    rest = [c for c in raw.columns if c not in own.values()]
+    return raw.select(*cols, *[F.col(f"`{c}`") for c in rest])
 
 
 def write_comments_csv(df: DataFrame, path: str) -> None:
-    """Write comment rows in the reference's CSV layout."""
-    cols = [F.col(c).alias(h) for c, h in zip(COMMENT_CSV.fieldNames(), COMMENT_HEADER)]
+    """Write comment rows, in the frame's column order, under the file's header."""
+    cols = [F.col(c).alias(COMMENT_HEADER.get(c, c)) for c in df.columns]
     df.select(*cols).write.mode("overwrite").options(**CSV_WRITE).csv(path)
-
-
-def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFrame:
-    """Convert once, then scan the splittable parquet."""
-    read_comments_csv(spark, csv_path).write.mode("overwrite").parquet(parquet_path)
-    return spark.read.parquet(parquet_path)
-
-
-def append_csv(df: DataFrame, path: str, header: bool) -> None:
-    """Append rows to a CSV folder.  Callers pass a path keyed by
-    batch id so that a replayed batch overwrites its own files instead of
-    adding rows twice."""
-    df.write.mode("overwrite").options(**{**CSV_WRITE, "header": str(header).lower()}).csv(path)

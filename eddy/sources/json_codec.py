@@ -39,6 +39,14 @@ def _clean(field: Column, dtype: T.DataType) -> Column:
     return field
 
 
+def is_text(value: Column, key: str) -> Column:
+    """Whether the JSON field is a string, rather than a number, object or
+    boolean that a typed decode would turn into one.  True where the type can't
+    be told (a message with the bare token ``NaN``): a typed decode handles it."""
+    field = F.try_variant_get(F.try_parse_json(unwrap_double_encoded(value)), f"$['{key}']", "variant")
+    return F.coalesce(F.schema_of_variant(field) == "STRING", F.lit(True))
+
+
 def decode(df: DataFrame, schema: T.StructType, value_col: str = "value",
            tolerate_double: bool = True, keep_value: bool = True) -> DataFrame:
     """Parse ``value_col`` into top-level columns of ``schema``.

@@ -81,7 +81,24 @@ def processed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def comments_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment rows with a creation time: documents joined to the event
     with the same id (``created_utc`` = that event's epoch seconds)."""
-    d = read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("row_index"), "text", F.col("doc_id").cast("string").alias("comment_id"))
+    d = spread(read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_index"), "text", F.col("doc_id").cast("string").alias("comment_id")))
     e = events(spark, sf_dir).select(F.col("event_id").alias("row_index"), epoch_seconds("ts").alias("created_utc"))
-    return spread(d.join(e.hint("merge"), "row_index", "left"))
+    return d.join(e.hint("merge"), "row_index", "left")
+
+
+# Faults that the supplied rows lack, by id; the oracle uses the same rules.
+
+def faulty_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """comments whose text is null (id mod 7 = 0) or empty (1)."""
+    k = F.pmod("row_index", F.lit(7))
+    return comments(spark, sf_dir).withColumn("text", F.when(k == 0, None).when(k == 1, "").otherwise(F.col("text")))
+
+
+def faulty_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as (row_index, created_utc), the time being 0, NaN, infinite, too
+    large or null where the id mod 11 is 0 to 4."""
+    k = F.pmod("event_id", F.lit(11))
+    t = (F.when(k == 0, 0.0).when(k == 1, float("nan")).when(k == 2, float("inf")).when(k == 3, 1e15)
+         .when(k == 4, None).otherwise(epoch_seconds("ts")))
+    return events(spark, sf_dir).select(F.col("event_id").alias("row_index"), t.alias("created_utc"))
