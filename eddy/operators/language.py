@@ -39,8 +39,9 @@ from eddy.session import cut_lineage
 
 
 MICRO = 1_000_000
-# Largest pivoted profile that is broadcast, in bytes: about 40 a trigram plus 8
-# for each language.
+# Largest pivoted profile that is broadcast: in trigrams, and in bytes (about 40 a
+# trigram plus 8 for each language).
+MAX_BROADCAST_VOCABULARY = 2_000_000
 MAX_BROADCAST_BYTES = 128 << 20
 
 
@@ -110,7 +111,8 @@ def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
     # The pivoted profile has exactly ``vocabulary`` rows, known from fitting:
     # broadcast it only under the bound, otherwise sort-merge join.  Never let
     # the planner broadcast the per-comment side, which grows with the data.
-    if 0 < profile.vocabulary * (40 + 8 * len(langs)) <= MAX_BROADCAST_BYTES:
+    if (0 < profile.vocabulary <= MAX_BROADCAST_VOCABULARY
+            and profile.vocabulary * (40 + 8 * len(langs)) <= MAX_BROADCAST_BYTES):
         # Scores add up, so each trigram meets the profile as it comes: one
         # partial and final sum by id, no shuffle of (id, trigram).
         tri = trigrams(docs, id_col, text_col).withColumn("n", F.lit(1)).join(F.broadcast(per_g), "g")

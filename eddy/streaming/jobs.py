@@ -1,10 +1,12 @@
 """Structured Streaming jobs built from the batch operators.
 
 Every job reads a stream of messages, runs the same ``DataFrame ->
-DataFrame`` operators the batch queries use, and writes through
-``foreachBatch`` to a folder keyed by the batch id.  A batch that is replayed
-after a failure overwrites its own folder, so sinks are idempotent and the
-checkpoint gives exactly-once results end to end.
+DataFrame`` operators the batch queries use, and publishes through
+``foreachBatch`` one folder for each batch id.  A batch is written to a hidden
+folder first and renamed when it is complete; a batch id that is already
+published is left alone.  So a replayed batch makes no new file, a batch that
+failed half-way shows none, and a stream that reads the folders counts each
+message once.
 
 Sources: a Kafka topic (``kafka_source``; needs the Kafka connector on the
 classpath, which this environment does not have, so it is untested here) or a
@@ -15,9 +17,10 @@ reference's sleep-based pacing (S17).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,6 +30,7 @@ from eddy.functions.time import epoch_to_iso
 from eddy.operators import latency as lt
 from eddy.operators import validate as va
 from eddy.operators.language import LanguageProfile
+from eddy.operators.ranking import global_rank
 from eddy.plans.enrich import enrich
 from eddy.sources import json_codec as jc
 from eddy.sources.topic import consumer_for_partition
@@ -47,11 +51,6 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
                      "topic", "partition", "offset")
 
 
-def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
-    """S12/S16 on Kafka: write (key, value) columns with these options."""
-    return {"kafka.bootstrap.servers": servers, "topic": topic}
-
-
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                 fmt: str = "parquet") -> DataFrame:
     """S9 stand-in: a folder of message files (key, value, topic, partition,
@@ -66,6 +65,25 @@ def _batch_path(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={batch_id}"
 
 
+def publish(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet", **options: str) -> bool:
+    """Publish a batch once: False, and nothing written, if its id is there.
+
+    The rows go to ``_staging`` (which file readers skip) and are renamed as a
+    whole, so readers see all of a batch or none of it.
+    """
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target = path(_batch_path(root, batch_id))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        return False
+    staging = f"{root.rstrip('/')}/_staging/{batch_id}-{uuid.uuid4().hex}"
+    df.write.format(fmt).options(**options).save(staging)
+    if not fs.rename(path(staging), target):
+        raise OSError(f"could not publish {target}")
+    return True
+
+
 # ------------------------- comment enrichment (W8, S12) ------------------------
 
 @dataclass
@@ -75,25 +93,36 @@ class EnrichOutputs:
 
 
 def decode_comments(messages: DataFrame) -> DataFrame:
-    """S4/S5 + renames: message rows -> comment columns + ``_json_ok``."""
+    """S4/S5 + renames: message rows -> comment columns + ``_json_ok``,
+    ``_is_text`` and ``fields`` (all fields of the message, as text)."""
     d = jc.decode(messages, sc.COMMENT_MESSAGE)
+    value = F.col("value")
     return d.select("key", "partition", "offset", "value", "_json_ok",
+                    jc.is_text(value, sc.KEY_TEXT).alias("_is_text"),
+                    F.from_json(jc.unwrap_double_encoded(value), "map<string,string>").alias("fields"),
                     *[F.col(k).alias(v) for k, v in sc.COMMENT_RENAMES.items()])
 
 
 def enrich_batch(batch: DataFrame, profile: LanguageProfile, k: int = 3) -> tuple[DataFrame, DataFrame]:
-    """One micro-batch of comment messages -> (enriched rows, rejects)."""
+    """One micro-batch of comment messages -> (enriched rows, rejects).
+
+    Enriched rows carry the whole comment.  As in the reference, a text that is
+    no string is set aside before the sentiment, and a comment without a
+    keyword after it.
+    """
     comments = decode_comments(batch)
     good, bad = va.split_valid(comments, [
-        ("unparseable message", ~F.col("_json_ok")),
         ("empty message", va.message_empty(F.col("value"))),
+        ("unparseable message", ~F.col("_json_ok")),
     ], "decode")
-    good = good.drop("_json_ok", "value")
-    # A message is identified by (partition, offset); packed into one long.
-    msg_id = F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")
-    out = enrich(good.withColumn("doc_id", msg_id), profile,
-                 id_col="doc_id", k=k, keep=("partition", "offset", "row_index", "comment_id"))
-    return out.drop("doc_id"), bad
+    good, no_text = va.split_valid(good, [
+        ("text not a string", ~F.col("_is_text") | va.text_missing(F.col("text")))], "sentiment")
+    # A message is identified by its partition and offset together.
+    good = good.drop("_json_ok", "_is_text", "value").withColumn("msg", F.struct("partition", "offset"))
+    keep = [c for c in good.columns if c not in ("msg", "key")]
+    out = enrich(good, profile, id_col="msg", k=k, keep=keep).drop("msg")
+    out, no_keyword = va.split_valid(out, [("no keyword", F.size("keywords") == 0)], "keywords")
+    return out, bad.unionByName(no_text).unionByName(no_keyword)
 
 
 def enrichment_writer(profile: LanguageProfile, out: EnrichOutputs):
@@ -104,8 +133,8 @@ def enrichment_writer(profile: LanguageProfile, out: EnrichOutputs):
             if batch.isEmpty():  # W5: nothing arrived
                 return
             enriched, bad = enrich_batch(batch, profile)
-            enriched.write.mode("overwrite").parquet(_batch_path(out.enriched, batch_id))
-            bad.write.mode("overwrite").parquet(_batch_path(out.rejects, batch_id))
+            publish(bad, out.rejects, batch_id)
+            publish(enriched, out.enriched, batch_id)
         finally:
             batch.unpersist()
     return run
@@ -136,19 +165,41 @@ def report_counts_stream(enriched_stream: DataFrame) -> DataFrame:
 
 def start_report(enriched_stream: DataFrame, out_root: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """After each batch, a snapshot of the whole report (complete
-    mode) is written to ``out_root/batch_id=<id>``; readers take the
-    latest folder.  The snapshot is written by the executors, never
-    gathered on the driver."""
-    def run(snapshot: DataFrame, batch_id: int) -> None:
-        snapshot.withColumn("updated_at", F.current_timestamp()) \
-            .write.mode("overwrite").parquet(_batch_path(out_root, batch_id))
-    q = (report_counts_stream(enriched_stream).writeStream.outputMode("complete")
+    """After each batch, the counts that it changed (update mode) are
+    published as ``out_root/batch_id=<id>``; ``report_snapshot`` reads the whole
+    report from them.  Written by the executors, never gathered on the driver."""
+    def run(changed: DataFrame, batch_id: int) -> None:
+        publish(changed.withColumn("updated_at", F.current_timestamp()), out_root, batch_id)
+    q = (report_counts_stream(enriched_stream).writeStream.outputMode("update")
          .foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})))
     return q.start()
 
 
+def report_snapshot(spark: SparkSession, out_root: str, top: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(rows, json) of the running report: ``rows(dimension, key, n,
+    rank)`` with the latest count of each key, ranked by count and then key, and
+    one JSON line with the languages, the sentiments, the ``top`` keywords and the
+    time of the last update.  Keywords are ranked by a range sort, not in one
+    task."""
+    rows = spark.read.option("basePath", out_root).parquet(out_root)
+    last = rows.groupBy("dimension", "key").agg(F.max_by("n", "batch_id").alias("n"))
+    order = Window.partitionBy("dimension").orderBy(F.desc("n"), "key")
+    few = last.where("dimension <> 'keywords'").withColumn("rank", F.row_number().over(order).cast("long"))
+    words = global_rank(last.where("dimension = 'keywords'"), [F.desc("n"), F.asc("key")])
+    ranked = few.unionByName(words)
+    best = ranked.where((F.col("dimension") != "keywords") | (F.col("rank") <= top))
+
+    def part(name):
+        of = F.sort_array(F.collect_list(F.when(F.col("dimension") == name, F.struct("rank", "key", "n"))))
+        return F.map_from_entries(F.transform(of, lambda x: F.struct(x["key"], x["n"])))
+
+    report = best.agg(part("languages").alias("languages"), part("sentiments").alias("sentiments"),
+                      part("keywords").alias("top_keywords"))
+    when = rows.agg(F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    return ranked, report.crossJoin(when).select(F.to_json(F.struct("*")).alias("value"))
+
+
 # ------------------- time conversion consumer (S13, P6, P7, P10) ----------------
 
 @dataclass
@@ -171,7 +222,8 @@ def convert_batch(batch: DataFrame, num_partitions: int, num_consumers: int) ->
         with_default(F.col("id"), "unknown").alias("id"),
         F.col("created_utc").alias("timestamp"),
         (F.unix_micros(F.current_timestamp()) / F.lit(1e6)).alias("processing_time"),   # F4
-        consumer_for_partition(F.col("partition"), num_partitions, num_consumers).alias("processed_by"))
+        consumer_for_partition(F.col("partition"), num_partitions, num_consumers).alias("processed_by"),
+        F.col("partition").cast("int").alias("partition"))   # F7
     return times, processed, bad
 
 
@@ -183,9 +235,9 @@ def conversion_writer(out: ConvertOutputs, num_partitions: int, num_consumers: i
             if batch.isEmpty():
                 return
             times, processed, bad = convert_batch(batch, num_partitions, num_consumers)
-            times.write.mode("overwrite").option("header", "true").csv(_batch_path(out.times_csv, batch_id))
-            processed.write.mode("overwrite").parquet(_batch_path(out.processed, batch_id))
-            bad.write.mode("overwrite").parquet(_batch_path(out.rejects, batch_id))
+            publish(times, out.times_csv, batch_id, "csv", header="true")
+            publish(bad, out.rejects, batch_id)
+            publish(processed, out.processed, batch_id)
         finally:
             batch.unpersist()
     return run
@@ -215,12 +267,11 @@ def latency_writer(out: LatencyOutputs):
             if batch.isEmpty():
                 return
             rows = lt.latency_rows(batch, now=F.current_timestamp()).persist()
-            rows.write.mode("overwrite").option("header", "false").csv(_batch_path(out.rows_csv, batch_id))
+            publish(rows, out.rows_csv, batch_id, "csv", header="false")
             report = lt.latency_report(rows.drop("timestamp")).select(
                 F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "*")
-            report.select(F.to_json(F.struct("*")).alias("value")) \
-                .write.mode("overwrite").text(_batch_path(out.reports, batch_id))
-            lt.consumer_stats(rows).write.mode("overwrite").parquet(_batch_path(out.consumers, batch_id))
+            publish(report.select(F.to_json(F.struct("*")).alias("value")), out.reports, batch_id, "text")
+            publish(lt.consumer_stats(rows), out.consumers, batch_id)
             rows.unpersist()
         finally:
             batch.unpersist()
@@ -265,6 +316,9 @@ def enriched_file_source(spark: SparkSession, path: str) -> DataFrame:
     schema = sc.T.StructType([
         sc.T.StructField("partition", sc.T.IntegerType()), sc.T.StructField("offset", sc.T.LongType()),
         sc.T.StructField("row_index", sc.T.LongType()), sc.T.StructField("comment_id", sc.T.StringType()),
+        sc.T.StructField("text", sc.T.StringType()), sc.T.StructField("created_utc", sc.T.DoubleType()),
+        sc.T.StructField("id", sc.T.StringType()),
+        sc.T.StructField("fields", sc.T.MapType(sc.T.StringType(), sc.T.StringType())),
         sc.T.StructField("language", sc.T.StringType()), sc.T.StructField("compound", sc.T.DoubleType()),
         sc.T.StructField("sentiment", sc.T.StringType()),
         sc.T.StructField("keywords", sc.T.ArrayType(sc.T.StringType()))])

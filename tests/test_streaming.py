@@ -64,8 +64,13 @@ def test_stream_equals_batch_and_restart(spark, profile, messages, tmp):
     # running report from the enriched stream equals the batch counts
     q = jobs.start_report(jobs.enriched_file_source(spark, out.enriched), f"{tmp}/report", f"{tmp}/ckRep")
     q.awaitTermination(300)
-    last = max(os.listdir(f"{tmp}/report"), key=lambda d: int(d.split("=")[1]) if "=" in d else -1)
-    snap = {(r.dimension, r.key): r.n for r in spark.read.parquet(f"{tmp}/report/{last}").collect()}
+    rows, text = jobs.report_snapshot(spark, f"{tmp}/report")
+    rows = rows.collect()
+    snap = {(r.dimension, r.key): r.n for r in rows}
+    top = json.loads(text.collect()[0].value)["top_keywords"]
+    words = sorted(((-r.n, r.key, r.rank) for r in rows if r.dimension == "keywords"))
+    assert [w[2] for w in words] == list(range(1, len(words) + 1))
+    assert list(top) == [w[1] for w in words[:10]]
     enr = spark.read.option("recursiveFileLookup", "true").parquet(out.enriched).where(F.size("keywords") > 0)
     n = enr.count()
     assert sum(v for (d, _), v in snap.items() if d == "languages") == n
@@ -149,3 +154,69 @@ def test_windowed_latency_stream_counts_every_row(spark, tmp):
     q.awaitTermination(300)
     got = spark.sql("SELECT sum(total_messages) AS n, count(*) AS w FROM win_lat").collect()[0]
     assert got.n == p.count() and got.w > 1
+
+
+def test_replay_counts_once_through_the_report(spark, profile, messages, tmp):
+    out = jobs.EnrichOutputs(f"{tmp}/enr", f"{tmp}/rej")
+    run = jobs.enrichment_writer(profile, out)
+
+    def report():
+        q = jobs.start_report(jobs.enriched_file_source(spark, out.enriched), f"{tmp}/report", f"{tmp}/ck")
+        q.awaitTermination(300)
+        assert q.exception() is None
+        return {(r.dimension, r.key): r.n for r in jobs.report_snapshot(spark, f"{tmp}/report")[0].collect()}
+
+    run(messages, 0)
+    first = report()
+    run(messages, 0)      # replayed after its commit was lost
+    assert report() == first
+    # a batch that failed half-way leaves only hidden files; its replay counts once
+    messages.limit(5).write.parquet(f"{out.enriched}/_staging/1-dead")
+    more = messages.withColumn("offset", F.col("offset") + 100_000)
+    run(more, 1)
+    assert report() == {k: 2 * n for k, n in first.items()}
+
+
+def test_enriched_rows_are_whole_and_bad_ones_set_aside(spark, profile, tmp):
+    big = 1 << 40
+    rows = [(0, big, '{"1":"good story about a river","2":"a","5":1.5,"more":"kept"}'),
+            (1, 0, '{"1":"another story about mountains","2":"b"}'),
+            (1, 1, '{"1":123,"2":"c"}'), (1, 2, '{"1":{"x":1},"2":"d"}'), (1, 3, '{"1":true,"2":"e"}'),
+            (1, 4, '{"1":NaN,"2":"f"}'), (1, 5, '{"2":"g"}'), (1, 6, '{"1":"12 !!","2":"h"}'), (1, 7, "{}"), (1, 8, "nonsense")]
+    m = spark.createDataFrame([(str(i), v, "t", p, o) for i, (p, o, v) in enumerate(rows)],
+                              "key string, value string, topic string, partition int, offset long")
+    good, bad = jobs.enrich_batch(m, profile)
+    good = {r.comment_id: r for r in good.collect()}
+    assert set(good) == {"a", "b"}
+    assert good["a"].text == "good story about a river" and good["a"].created_utc == 1.5
+    assert good["a"].fields["more"] == "kept" and good["a"].offset == big
+    assert "river" in good["a"].keywords and "river" not in good["b"].keywords
+    got = sorted((r.stage, r.reason) for r in bad.collect())
+    assert got == sorted([("sentiment", "text not a string")] * 5 + [("keywords", "no keyword"), ("decode", "empty message"),
+                                                                    ("decode", "unparseable message")])
+
+
+def test_conversion_feeds_the_latency_monitor(spark, tmp):
+    rows = [(p, o, t) for p, o, t in [(0, 0, "1.5e9"), (1, 0, "1.6e9"), (3, 0, "1e15"), (2, 1, "0"), (2, 2, "1.7e9")]]
+    m = spark.createDataFrame([("k", '{"1":"x","2":"a","5":%s}' % t, "t", p, o) for p, o, t in rows],
+                              "key string, value string, topic string, partition int, offset long")
+    out = jobs.ConvertOutputs(f"{tmp}/times", f"{tmp}/proc", f"{tmp}/rej")
+    jobs.conversion_writer(out, 4, 2)(m, 0)
+    lat = jobs.LatencyOutputs(f"{tmp}/rows", f"{tmp}/rep", f"{tmp}/cons")
+    q = jobs.start_latency_monitor(jobs.processed_file_source(spark, f"{tmp}/proc/batch_id=0"), lat, f"{tmp}/ck", final=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.read.option("recursiveFileLookup", "true").csv(lat.rows_csv).collect()
+    assert sorted(r._c6 for r in got) == ["0", "1", "2"]
+    assert spark.read.parquet(f"{tmp}/rej/batch_id=0").count() == 2
+
+
+def test_large_word_tables_use_a_plain_join(spark, monkeypatch):
+    from eddy.operators import keywords as kw, sentiment as se
+    monkeypatch.setattr(kw, "MAX_STOPWORDS", 1)
+    monkeypatch.setattr(se, "MAX_LEXICON_ROWS", 1)
+    docs = spark.createDataFrame([(1, "the good river")], "doc_id long, text string")
+    stop = spark.createDataFrame([("the",), ("good",)], "w string")
+    assert [r.w for r in kw.term_frequencies(docs, stopwords=stop).collect()] == ["river"]
+    lex = spark.createDataFrame([("good", 1.9, None, 0), ("bad", -2.5, None, 0)], se.LEXICON_SCHEMA)
+    assert se.analyze_sentiment(docs, lex=lex).collect()[0].compound > 0
