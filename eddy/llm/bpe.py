@@ -220,7 +220,9 @@ def vocabulary(path: str) -> bytes:
         return f.read()
 
 
-def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str, schema: str, row) -> DataFrame:
+def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str, columns: dict, row) -> DataFrame:
+    """The id and what ``row`` makes of each text's ids; ``columns`` maps a name to
+    its Spark and its Arrow type."""
     raw = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
@@ -231,17 +233,17 @@ def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str,
             for part in slices(batch, "text", 2 << 20):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 rows = [row(coder, ids) for ids in coder.encode(texts)]
-                cols = [pa.array(c) for c in zip(*rows)]
+                cols = [pa.array(c, a) for c, (_, a) in zip(zip(*rows), columns.values())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *cols], names=names)
 
-    names = ["doc_id", *(x.split()[0] for x in schema.split(", "))]
-    return frame.mapInArrow(run, f"doc_id {kind}, {schema}")
+    names = ["doc_id", *columns]
+    return frame.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} {t}" for n, (t, _) in columns.items()))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row; null text counts as empty (no
     ids).  Rows keep their own id, null or repeated."""
-    return _coded(docs, id_col, text_col, path, pattern, "ids array<int>", lambda c, ids: (ids.tolist(),))
+    return _coded(docs, id_col, text_col, path, pattern, {"ids": ("array<int>", pa.list_(pa.int32()))}, lambda c, ids: (ids.tolist(),))
 
 
 def digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,5 +254,5 @@ def digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                 hashlib.sha256(coder.decode(ids)).hexdigest())
 
-    return _coded(docs, id_col, text_col, path, pattern,
-                  "n_tokens long, ids_sha256 string, decoded_sha256 string", row)
+    return _coded(docs, id_col, text_col, path, pattern, {
+        "n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}, row)

@@ -42,7 +42,7 @@ MARKS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
             "taboola teaser toolbar topbar widget complementary contentinfo".split())
 HOLDERS = {"html", "body", "main", "article"}  # never dropped by a mark: themes mark them with layout words
-DEFAULTS = {"word": 1.0, "dropped": -2.0, "tag": -0.3, "close": -0.1}
+DEFAULTS = {"word": 1.0, "dropped": -0.05, "tag": -0.3, "close": -0.1}
 
 
 def _marked(name: str, attrs: str) -> bool:
@@ -99,8 +99,10 @@ def extract(page: str, weights: dict[str, float]) -> str:
     """Main text of one page: blocks in page order, joined by a line feed."""
     parts, scores = [], []
     default_tag = weights["tag"]
-    for kind, value, dropped, _ in tokens(page):
-        if kind == "text":
+    for kind, value, dropped, article in tokens(page):
+        if dropped and article:
+            score = 0.0  # left out of an article that goes on after it
+        elif kind == "text":
             n = len(value.split())
             score = n * weights["dropped" if dropped else "word"]
         else:
@@ -167,7 +169,7 @@ def learn_weights(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
         if key == "word":
             weights[key] = max(0.25, min(1.0, ratio))
         elif key == "dropped":
-            weights[key] = min(-1.0, ratio)
+            weights[key] = max(-0.1, min(-0.02, ratio))  # it is left out anyway; it must not cut a region in two
         else:
             weights[key] = min(-0.1, max(-2.0, ratio))
     return weights
