@@ -39,3 +39,9 @@ def test_no_single_partition_exchange_before_aggregation(spark):
     for key in ("keyword_counts", "sentiment_counts", "consumer_stats", "partition_counts"):
         p = _plan(QUERIES[key](spark, SF))
         assert "SinglePartition" not in p, key
+
+
+def test_quantiles_neither_sort_the_input_nor_checkpoint(spark):
+    for key in ("latency_report", "latency_report_tumbling"):
+        p = _plan(QUERIES[key](spark, SF))
+        assert "ExistingRDD" not in p and "rangepartitioning" not in p, key

@@ -30,6 +30,30 @@ def test_exact_quantiles_match_pandas_with_hot_group(spark):
             assert abs(r[c] - want.loc[r["g"], q]) < 1e-9
 
 
+def test_quantiles_of_a_large_hot_group_with_a_common_value(spark):
+    """Large enough for the sketch's band; a third of the rows share one value,
+    which is the 95th percentile of one group; one group's key is null."""
+    n = 120_000
+    rng = np.random.default_rng(3)
+    v = np.where(rng.random(n) < 0.34, 250.0, rng.exponential(100.0, n))
+    pdf = pd.DataFrame({"g": np.where(rng.random(n) < 0.6, "hot", None), "v": v})
+    df = spark.createDataFrame(pdf).repartition(6)
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", [0.05, 0.5, 0.95, 0.99]).collect()}
+    assert set(got) == {"hot", None}
+    for g, part in (("hot", pdf[pdf.g == "hot"]), (None, pdf[pdf.g.isna()])):
+        for q, c in [(0.05, "p5"), (0.5, "p50"), (0.95, "p95"), (0.99, "p99")]:
+            assert abs(got[g][c] - part["v"].quantile(q)) < 1e-9, (g, q)
+    whole = exact_quantiles(df, [], "v", [0.0, 0.95, 1.0]).collect()[0]
+    for q, c in [(0.0, "p0"), (0.95, "p95"), (1.0, "p100")]:
+        assert abs(whole[c] - pdf["v"].quantile(q)) < 1e-9
+
+
+def test_quantiles_of_nothing(spark):
+    none = spark.createDataFrame([], "g string, v double")
+    assert exact_quantiles(none, [], "v", [0.95]).count() == 0
+    assert exact_quantiles(none, ["g"], "v", [0.95]).count() == 0
+
+
 def test_whole_input_quantiles(spark):
     pdf = pd.DataFrame({"v": [5.0, 1.0, 3.0, 2.0, 4.0]})
     got = exact_quantiles(spark.createDataFrame(pdf), [], "v", [0.95]).collect()[0]
