@@ -29,6 +29,7 @@ BITS = 20         # buckets (log2)
 SMOOTH = 30      # empty n-grams that every bag holds: short texts lean on the bias
 MIN_DOCS = 3      # sampled documents that a bucket must occur in to get an embedding
 MAX_STEP = 10.0   # longest gradient step of a round
+SLICE = 1 << 19   # bucket places that training sums at a time
 
 
 def fold(id_col: str):
@@ -101,53 +102,70 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(mean + self.bias, -500, 500))))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int = BITS, dim: int = 4, rounds: int = 60,
-          rate: float = 2500.0, share: float = 0.5, seed: int = 5) -> Model:
+class Packed:
+    """All bags in three flat arrays (document, place of the bucket, share),
+    without the buckets of too few documents; ``used`` are the buckets left."""
+
+    def __init__(self, bags: list[tuple[np.ndarray, np.ndarray]], bits: int = BITS):
+        self.bits = bits
+        docs = np.zeros(1 << bits, dtype=np.int32)
+        for b, _ in bags:
+            docs[b] += 1
+        self.used = np.flatnonzero(docs >= MIN_DOCS)
+        place = np.full(1 << bits, -1, dtype=np.int32)
+        place[self.used] = np.arange(len(self.used), dtype=np.int32)
+        size = int(docs[self.used].sum())
+        self.doc, self.feat = np.empty(size, dtype=np.int32), np.empty(size, dtype=np.int32)
+        self.val = np.empty(size, dtype=np.float32)
+        end = 0
+        for i, (b, v) in enumerate(bags):
+            at = place[b]
+            keep = at >= 0
+            start, end = end, end + int(keep.sum())
+            self.doc[start:end], self.feat[start:end], self.val[start:end] = i, at[keep], v[keep]
+
+    def gather(self, rows: np.ndarray, groups: np.ndarray, x: np.ndarray, m: int) -> np.ndarray:
+        """Sum of val * x[rows] by group, a slice and a column at a time."""
+        out = np.zeros((m, x.shape[1]))
+        for a in range(0, len(rows), SLICE):
+            s = slice(a, a + SLICE)
+            at = groups[s].astype(np.int64)
+            for k in range(x.shape[1]):
+                out[:, k] += np.bincount(at, self.val[s] * x[rows[s], k], m)
+        return out.astype(np.float32)
+
+
+def train(data: Packed, labels: np.ndarray, dim: int = 4, rounds: int = 60, rate: float = 2500.0, share: float = 0.5,
+          seed: int = 5) -> Model:
     """Joint full-batch gradient descent with momentum on embedding table and
-    softmax.  ``bags`` holds each document as ``bag`` gives it; label 1 weighs
-    ``share`` of the loss whatever its number of rows.  Without both
-    labels the model says the only label there is (0 without rows)."""
-    size = 1 << bits
+    softmax.  Label 1 weighs ``share`` of the loss whatever its number of rows.
+    Without both labels the model says the only label there is (0 without rows)."""
+    size = 1 << data.bits
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(size), 30.0 if len(labels) and labels[0] else -30.0)
-    # Buckets of too few documents go before anything is put together.
-    docs = np.zeros(size, dtype=np.int32)
-    for b, _ in bags:
-        docs[b] += 1
-    used = np.flatnonzero(docs >= MIN_DOCS)
-    place = np.full(size, -1, dtype=np.int32)
-    place[used] = np.arange(len(used), dtype=np.int32)
-    kept = [place[b] >= 0 for b, _ in bags]
-    doc = np.repeat(np.arange(len(bags), dtype=np.int32), [int(k.sum()) for k in kept])
-    feat = np.concatenate([place[b[k]] for (b, _), k in zip(bags, kept)])
-    val = np.concatenate([v[k] for (_, v), k in zip(bags, kept)])
-    del kept
+    doc, feat, buckets = data.doc, data.feat, len(data.used)
     n, y = len(labels), labels
     weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum()).astype(np.float32)
     rng = np.random.default_rng(seed)
-    emb = rng.normal(0, 0.1, (len(used), dim)).astype(np.float32)
+    emb = rng.normal(0, 0.1, (buckets, dim)).astype(np.float32)
     out = rng.normal(0, 1, (dim, 2)).astype(np.float32)
     off = np.zeros(2, dtype=np.float32)
     move = [np.zeros_like(emb), np.zeros_like(out), np.zeros_like(off)]
 
-    def gather(rows, groups, x, m):
-        """Sum of val * x[rows] by group, one column at a time."""
-        return np.stack([np.bincount(groups, val * x[rows, k], m) for k in range(dim)], 1).astype(np.float32)
-
     for _ in range(rounds):
-        bag = gather(feat, doc, emb, n)
+        bag = data.gather(feat, doc, emb, n)
         z = bag @ out + off
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         p[np.arange(n), y] -= 1
         p *= weight[:, None]
-        steps = [rate * gather(doc, feat, p @ out.T, len(used)), 0.1 * bag.T @ p, 0.1 * p.sum(0)]
+        steps = [rate * data.gather(doc, feat, p @ out.T, buckets), 0.1 * bag.T @ p, 0.1 * p.sum(0)]
         for q, v, g in zip((emb, out, off), move, steps):
             v *= 0.9
             v += g * min(1.0, MAX_STEP / (float(np.sqrt((g * g).sum())) + 1e-12))
             q -= v
     logit = np.zeros(size)
-    logit[used] = emb @ (out[:, 1] - out[:, 0])
+    logit[data.used] = emb @ (out[:, 1] - out[:, 0])
     return Model(logit, float(off[1] - off[0]))
 
 
@@ -177,12 +195,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: in
 
     kind = picked.schema["_id"].dataType.simpleString()
     rows = picked.mapInArrow(bags, f"_id {kind}, _y int, at binary, share binary").toArrow()
-    at, share = rows["at"].to_pylist(), rows["share"].to_pylist()
-    order = sorted(range(len(at)), key=lambda i: (rows["_id"][i].as_py(), rows["_y"][i].as_py(), at[i]))
-    labels_ = rows["_y"].to_numpy().astype(np.int64)[order]
+    # Views of the Arrow buffers, no copies; the buffers go before training starts.
+    got = [(np.frombuffer(at.as_buffer(), dtype=np.int32), np.frombuffer(share.as_buffer(), dtype=np.float32))
+           for at, share in zip(rows["at"], rows["share"])]
+    ids, labels_ = rows["_id"].to_pylist(), rows["_y"].to_numpy().astype(np.int64)
     del rows
-    got = [(np.frombuffer(at[i], dtype=np.int32), np.frombuffer(share[i], dtype=np.float32)) for i in order]
-    return train(got, labels_, **options)
+    order = sorted(range(len(got)), key=lambda i: (ids[i], labels_[i], len(got[i][0]), zlib.crc32(got[i][0])))
+    data = Packed([got[i] for i in order])
+    del got
+    pa.default_memory_pool().release_unused()
+    return train(data, labels_[order], **options)
 
 
 def _scored(frame: DataFrame, text_col: str, model: Model, schema: str, row) -> DataFrame:
