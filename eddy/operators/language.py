@@ -15,12 +15,11 @@ counts n(g), for every language L of the model:
 The best score wins, ties by language code.  Blank text, or text without a
 known trigram, is 'unknown'.
 
-Plan: trigram counts per comment are pre-aggregated (partial aggregation) and
-joined on the trigram to the profile pivoted to one row per trigram with one
-log-probability column per language.  The profile is derived from data, so
-no broadcast hint is given: AQE broadcasts it when the measured side is small
-and otherwise keeps a skew-split sort-merge join.  The per-language sums are
-one partial + final aggregate per comment.  The language list itself (codes
+Plan: the profile is pivoted to one row per trigram with one log-probability
+column per language.  Its size is known from fitting: up to a bound in rows and
+bytes it is broadcast and each trigram is scored as it comes; beyond, trigram
+counts per comment are pre-aggregated and sort-merge joined.  The per-language
+sums are one partial + final aggregate per comment.  The language list itself (codes
 and floors, one entry per language) is a model parameter held by the driver,
 like the coefficients of any fitted model.
 """
