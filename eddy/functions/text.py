@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Treebank-style word tokenizer.  The text is lower-cased, these
 # rewrites are applied in this order ($1/$2/$3 are capture groups), the result
-# is split on ASCII white space, and only purely alphabetic tokens are kept.
+# is split on Unicode white space, and only purely alphabetic tokens are kept.
 TOKEN_RULES: list[tuple[str, str]] = [
     (r'([;@#$%&?!()\[\]{}<>"`*|])', r" $1 "),
     (r"([:,])([^0-9])", r" $1 $2"),
@@ -27,7 +27,8 @@ TOKEN_RULES: list[tuple[str, str]] = [
     (r"([^.\s])\.(\s|$)", r"$1 . $2"),
     (r"([^' ])('ll|'re|'ve|n't|'[smd]|')(\s|$)", r"$1 $2$3"),
 ]
-TOKEN_SPLIT = r"[ \t\n\r\x0B\f]+"
+TOKEN_SPLIT = (r"[ \t\n\r\x0B\f\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}"
+               r"\x{3000}]+")
 ALPHA_TOKEN = r"^\p{L}+\z"
 # Sentiment words: split on white space, strip this outer punctuation, keep
 # inner apostrophes (so "don't" survives as a negation).

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from eddy.functions.text import alpha_tokens, english_stopwords
+from eddy.functions.text import alpha_tokens, english_stopwords, raw_tokens
 from eddy.operators.keywords import extract_keywords, filter_stopwords, token_rows
 
 
@@ -46,3 +46,9 @@ def test_stopword_table_path(spark):
     toks = token_rows(spark.createDataFrame([(1, "apples and pears")], "doc_id long, text string"))
     stop = spark.createDataFrame([("pears",)], "w string")
     assert [r.token for r in filter_stopwords(toks, stop).collect()] == ["apples", "and"]
+
+
+def test_unicode_spaces_split_tokens(spark):
+    df = spark.createDataFrame([("cool\u00a0story\u2028bro\u3000ok",)], "t string")
+    got = df.select(raw_tokens(F.col("t")).alias("x")).first().x
+    assert got == ["cool", "story", "bro", "ok"]
