@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from eddy.llm.common import slices
+from eddy.llm.common import slices, small_batches
 
 LONG = 512
 NONE = np.int32(2**31 - 1)
@@ -224,7 +224,7 @@ def _coded(docs: DataFrame, id_col: str, text_col: str, path: str, pattern: str,
     """The id and what ``row`` makes of each text's ids; ``columns`` maps a name to
     its Spark and its Arrow type."""
     raw = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
-    frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    frame = small_batches(docs).select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = frame.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slices, written
+from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slices, small_batches, written
 from eddy.llm.suffix_dedup import LAST, _cut, merged_lists
 
 MASK_BITS = 5    # a border every 32 bytes on average
@@ -64,7 +64,7 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id and text count as one.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    frame = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
+    frame = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("dkey", F.xxhash64("ord", "text"))
 
     def cut(batches):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ ALNUM = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
 
 
 TABLE_BITS = 25           # bits (log2) of a broadcast filter: 4 MB whatever the input
+BATCH_BYTES = 8 << 20     # bytes of rows that a Python task gets at a time
 BROADCAST_ROWS = 400_000       # rows of a few longs that may be broadcast; beyond, a plain join
 BROADCAST_ENTRIES = 4_000_000  # 32-bit entries of their lists that may go with them
 
@@ -61,6 +63,17 @@ def bounded(frame: DataFrame, list_col: str | None = None) -> DataFrame:
     return F.broadcast(frame) if n.rows <= BROADCAST_ROWS and n.entries <= BROADCAST_ENTRIES else frame
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of the session by ``BATCH_BYTES`` (Spark's own
+    bound is 64 MB, and a task holds several copies of a batch: one or two in
+    the JVM, the bytes and the result in Python).  A lower setting stays."""
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(name).removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return frame
+
+
 def byte_texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string column; null becomes empty."""
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
@@ -70,7 +83,7 @@ def slices(batch: pa.RecordBatch, name: str, most_bytes: int):
     """Cut a batch into row slices of about ``most_bytes`` of text each (a
     single longer text is a slice of its own)."""
     col = batch.column(name)
-    sizes = [len(t) for t in byte_texts(batch, name)] if len(col) else []
+    sizes = pc.binary_length(col.cast(pa.binary())).fill_null(0).to_pylist()
     start = held = 0
     for i, n in enumerate(sizes):
         if held and held + n > most_bytes:

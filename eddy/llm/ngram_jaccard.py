@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm.common import LOWER, bounded, byte_texts, components, key_table, in_table, mix, written
+from eddy.llm.common import LOWER, bounded, byte_texts, components, key_table, in_table, mix, small_batches, written
 
 STARS = 6           # min-hashes that a class looks for a group by
 FEW = 128           # groups that may meet by a join at one prefix member
@@ -239,7 +239,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     Null and empty texts have an empty set, a null class and no link.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
+    texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "tkey", F.xxhash64("text"))
     frequent = spark.sparkContext.broadcast(_frequent(texts, words))
     sig = written(_signatures(texts, words, percent, frequent).withColumn("rid", F.monotonically_increasing_id()), "jaccard-sig")

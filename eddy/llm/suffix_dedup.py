@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slices, written
+from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slices, small_batches, written
 
 LENGTH = 100
 GRAM = 16
@@ -127,7 +127,7 @@ def merged(spans) -> list[tuple[int, int]]:
 def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """ord (id, null last), text, dkey (of id and text), low (smallest ord that
     has the text, where more than one has)."""
-    frame = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn(
+    frame = small_batches(docs).withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn(
         "_ord", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)))
     frame = frame.withColumn("_dkey", F.xxhash64("_ord", "_text")).withColumn("_md5", F.unhex(F.md5(F.col("_text").cast("binary"))))
     same = frame.groupBy("_md5").agg(F.min("_ord").alias("_low"), F.max("_ord").alias("_high")).where("_low <> _high")

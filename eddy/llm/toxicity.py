@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eddy.llm.common import ALNUM, byte_texts
+from eddy.llm.common import ALNUM, byte_texts, small_batches
 
 FOLDS, HELD_OUT = 5, 0
 CACHE = 400_000
@@ -194,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: in
                     names=["_id", "_y", "at", "share"])
 
     kind = picked.schema["_id"].dataType.simpleString()
-    rows = picked.mapInArrow(bags, f"_id {kind}, _y int, at binary, share binary").toArrow()
+    rows = small_batches(picked).mapInArrow(bags, f"_id {kind}, _y int, at binary, share binary").toArrow()
     # Views of the Arrow buffers, no copies; the buffers go before training starts.
     got = [(np.frombuffer(at.as_buffer(), dtype=np.int32), np.frombuffer(share.as_buffer(), dtype=np.float32))
            for at, share in zip(rows["at"], rows["share"])]
@@ -215,7 +215,7 @@ def _scored(frame: DataFrame, text_col: str, model: Model, schema: str, row) ->
             scores = [shared.value.score(t) for t in byte_texts(batch, text_col)]
             yield row(batch, pa.array(scores, pa.float64()))
 
-    return frame.mapInArrow(run, schema)
+    return small_batches(frame).mapInArrow(run, schema)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
