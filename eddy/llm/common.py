@@ -18,7 +18,7 @@ ALNUM = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
 
 
 TABLE_BITS = 25           # bits (log2) of a broadcast filter: 4 MB whatever the input
-BATCH_BYTES = 8 << 20     # bytes of rows that a Python task gets at a time
+BATCH_BYTES = 2 << 20     # bytes of rows that a Python task gets at a time
 BROADCAST_ROWS = 400_000       # rows of a few longs that may be broadcast; beyond, a plain join
 BROADCAST_ENTRIES = 4_000_000  # 32-bit entries of their lists that may go with them
 

@@ -33,7 +33,7 @@ from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slice
 LENGTH = 100
 GRAM = 16
 LAST = 2**63 - 1  # stands for a null id: after all others
-TILE = 1 << 20    # bytes of contexts in one suffix array, but for a larger group
+TILE = 1 << 18    # bytes of contexts in one suffix array, but for a larger group
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
