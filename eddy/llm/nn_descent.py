@@ -4,13 +4,13 @@ Build.  Distinct vectors start with the best neighbours inside the leaves of a
 few random-hyperplane trees.  Then, round by round, Spark joins bring the
 neighbours and reverse neighbours of each vector together; any two of them are
 neighbours of neighbours, and a pair closer than one's worst neighbour replaces
-it.  Rounds stop when few lists change.  Vectors travel as int8 codes.
+it.  Rounds stop when few lists change.  Vectors travel whole, packed without
+loss, and distances are computed in double precision.
 
 Search.  A beam of the nearest vectors found so far starts at the query's own
 place in the graph.  Each round joins the beam's unexpanded vectors with the
-graph, scores the new ones and keeps the best ``BEAM``; it ends when nothing in
-the beam is left to expand.  The best of the beam are computed again in double
-precision on the original vectors.
+graph, scores the new ones on the original vectors and keeps the best ``BEAM``;
+it ends when nothing in the beam is left to expand.
 
 The trees' hyperplanes and thresholds are fitted on ``SAMPLE`` vectors; every
 vector is indexed.  Equal vectors are one node; for each, the ``top + 1`` smallest
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eddy.llm.common import bounded, written
+from eddy.llm.common import BROADCAST_ENTRIES, bounded, written
 from eddy.llm.embedding_dedup import keyed, matrix
 
 NEIGHBOURS = 20    # list length
@@ -36,26 +36,45 @@ SETTLED = 0.02     # share of changed list places that ends the rounds
 PER_JOIN = 6       # improvements of one vector that one meeting reports
 BEAM = 128
 STEPS = 20
-RECHECK = 40       # of the beam, computed again on the original vectors
 
 
-def _pack(x: np.ndarray) -> list[bytes]:
-    """Vectors as a scale (float32) and int8 codes."""
-    scale = (np.abs(x).max(axis=1) / 127).astype(np.float32)
-    codes = np.rint(x / scale[:, None].astype(np.float64)).clip(-127, 127).astype(np.int8)
-    return [s.tobytes() + c.tobytes() for s, c in zip(scale, codes)]
+def _pack(vec: list[float]) -> bytes:
+    """A vector without loss: a letter, then float32 where that holds every
+    component, else float64."""
+    x = np.array(vec, dtype=np.float64)
+    with np.errstate(over="ignore"):
+        y = x.astype(np.float32)
+    return b"f" + y.tobytes() if (x == y).all() else b"d" + x.tobytes()
 
 
 def _unpack(packed: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1)
-    scale = raw[:, :4].copy().view(np.float32)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * scale
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of all rows of a to all rows of b."""
-    d = (a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * (a @ b.T)
-    return np.maximum(d, 0, out=d)
+    """Vectors of one length as a float64 matrix."""
+    kinds = {p[:1] for p in packed}
+    if len(kinds) == 1:
+        raw = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1)
+        return raw[:, 1:].copy().view(np.float32 if kinds == {b"f"} else np.float64).astype(np.float64)
+    return np.array([np.frombuffer(p, dtype=np.float32 if p[:1] == b"f" else np.float64, offset=1) for p in packed], dtype=np.float64)
+
+
+def _nearest(x: np.ndarray, rows: slice, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of these rows of x, the places and squared distances of the k
+    nearest other rows.  Products (after centring) choose, differences score."""
+    c = x - x.mean(axis=0)
+    own = c[rows]
+    d = (own * own).sum(1)[:, None] + (c * c).sum(1) - 2 * (own @ c.T)
+    d[np.arange(len(d)), rows.start + np.arange(len(d))] = np.inf
+    near = np.argpartition(d, k - 1, axis=1)[:, :k]
+    got = np.empty(near.shape)
+    for i in range(k):
+        left = x[rows] - x[near[:, i]]
+        got[:, i] = (left * left).sum(1)
+    return near, got
+
+
+def _sent(queries: DataFrame) -> DataFrame:
+    """Broadcast (q, cq) by its bytes; leave a larger table to a plain join."""
+    n = queries.agg(F.coalesce(F.sum(F.length("cq")), F.lit(0)).alias("n")).first().n
+    return F.broadcast(queries) if n <= 4 * BROADCAST_ENTRIES else queries
 
 
 def _best(lists: DataFrame, by: str, keep: int) -> DataFrame:
@@ -68,7 +87,7 @@ def _best(lists: DataFrame, by: str, keep: int) -> DataFrame:
 def _edges(out) -> pa.RecordBatch:
     cols = [np.concatenate(c) if c else np.empty(0) for c in zip(*out)] if out else [np.empty(0)] * 3
     return pa.RecordBatch.from_arrays([pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)),
-                                       pa.array(cols[2].astype(np.float32))], names=["u", "v", "d"])
+                                       pa.array(cols[2].astype(np.float64))], names=["u", "v", "d"])
 
 
 def _leaves(nodes: DataFrame, seed: int) -> DataFrame:
@@ -97,19 +116,17 @@ def _leaves(nodes: DataFrame, seed: int) -> DataFrame:
     placed = written(nodes.select("key", "dim", "vec").mapInArrow(leaf, "key long, dim long, tree long, leaf long"), "nn-leaves")
     sizes = placed.groupBy("dim", "tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("parts"))
     dealt = (placed.join(bounded(sizes), ["dim", "tree", "leaf"]).withColumn("part", F.pmod(F.hash("key", "tree"), F.col("parts")))
-             .join(nodes.select("key", "code"), "key"))
+             .join(nodes.select("key", "packed"), "key"))
 
     def solve(table: pa.Table) -> pa.Table:
-        keys, x = table["key"].to_numpy(), _unpack(table["code"].to_pylist())
+        keys, x = table["key"].to_numpy(), _unpack(table["packed"].to_pylist())
         out, k = [], min(NEIGHBOURS, len(keys) - 1)
         for a in range(0, len(keys) if k > 0 else 0, 512):
-            d = _distances(x[a:a + 512], x)
-            d[np.arange(len(d)), a + np.arange(len(d))] = np.inf
-            near = np.argpartition(d, k - 1, axis=1)[:, :k]
-            out.append((np.repeat(keys[a:a + 512], k), keys[near].ravel(), np.take_along_axis(d, near, 1).ravel()))
+            near, d = _nearest(x, slice(a, a + 512), k)
+            out.append((np.repeat(keys[a:a + 512], k), keys[near].ravel(), d.ravel()))
         return pa.Table.from_batches([_edges(out)])
 
-    return dealt.groupBy("dim", "tree", "leaf", "part").applyInArrow(solve, "u long, v long, d float")
+    return dealt.groupBy("dim", "tree", "leaf", "part").applyInArrow(solve, "u long, v long, d double")
 
 
 def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -118,19 +135,14 @@ def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     forward = graph.select(F.col("u").alias("w"), F.col("v").alias("key"))
     back = _best(graph, "v", NEIGHBOURS).select(F.col("v").alias("w"), F.col("u").alias("key"))
     worst = graph.groupBy(F.col("u").alias("key")).agg(
-        F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("d")).otherwise(F.lit(float("inf"))).cast("float").alias("worst"))
-    state = nodes.select("key", "code").join(worst, "key", "left").withColumn(
-        "worst", F.coalesce("worst", F.lit(float("inf")).cast("float")))
+        F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("d")).otherwise(F.lit(float("inf"))).alias("worst"))
+    state = nodes.select("key", "packed").join(worst, "key", "left").withColumn(
+        "worst", F.coalesce("worst", F.lit(float("inf"))))
     rows = forward.union(back).distinct().join(state, "key")
-    rows = rows.select("w", "key", "code", "worst").repartition("w").sortWithinPartitions("w")
-
-    def solve(keys, codes, worst):
-        x = _unpack(codes)
-        d = _distances(x, x)
-        np.fill_diagonal(d, np.inf)
-        k = min(PER_JOIN, len(keys) - 1)
-        near = np.argpartition(d, k - 1, axis=1)[:, :k]
-        got = np.take_along_axis(d, near, 1)
+    rows = rows.select("w", "key", "packed", "worst").repartition("w").sortWithinPartitions("w")
+
+    def solve(keys, packed, worst):
+        near, got = _nearest(_unpack(packed), slice(0, len(keys)), min(PER_JOIN, len(keys) - 1))
         i, j = np.nonzero(got < worst[:, None])
         return keys[i], keys[near[i, j]], got[i, j]
 
@@ -140,7 +152,7 @@ def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             w = batch.column("w").to_numpy()
             cuts = [0, *(np.flatnonzero(w[1:] != w[:-1]) + 1).tolist(), len(w)]
-            cols = [batch.column("key").to_numpy(), batch.column("code").to_pylist(), batch.column("worst").to_numpy()]
+            cols = [batch.column("key").to_numpy(), batch.column("packed").to_pylist(), batch.column("worst").to_numpy()]
             out = []
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b == a:
@@ -155,11 +167,11 @@ def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
             yield _edges(out)
         yield _edges([solve(np.concatenate(held[0]), held[1], np.concatenate(held[2]))] if len(held[1]) > 1 else [])
 
-    return rows.mapInArrow(run, "u long, v long, d float")
+    return rows.mapInArrow(run, "u long, v long, d double")
 
 
 def build(nodes: DataFrame, seed: int = 11) -> DataFrame:
-    """Neighbour graph (u, v, d squared) of ``nodes(key, dim, vec, code)``."""
+    """Neighbour graph (u, v, d squared) of ``nodes(key, dim, vec, packed)``."""
     graph = written(_best(_leaves(nodes, seed).groupBy("u", "v").agg(F.min("d").alias("d")), "u", NEIGHBOURS), "nn-graph")
     places = nodes.count() * NEIGHBOURS
     for _ in range(ROUNDS):
@@ -174,33 +186,33 @@ def build(nodes: DataFrame, seed: int = 11) -> DataFrame:
 
 
 def _scored(pairs: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
-    """(q, v) to (q, v, d): squared distances of codes."""
-    rows = (pairs.join(nodes.select(F.col("key").alias("v"), F.col("code").alias("cv")), "v")
-            .join(bounded(queries.select(F.col("key").alias("q"), F.col("code").alias("cq"))), "q"))
+    """(q, v) to (q, v, d): squared distances of the original vectors."""
+    rows = (pairs.join(nodes.select(F.col("key").alias("v"), F.col("packed").alias("cv")), "v")
+            .join(_sent(queries.select(F.col("key").alias("q"), F.col("packed").alias("cq"))), "q"))
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 cq, cv = batch.column("cq").to_pylist(), batch.column("cv").to_pylist()
-                same = np.array([len(a) == len(b) for a, b in zip(cq, cv)])
-                assert same.all()
-                d = np.zeros(len(cq), dtype=np.float32)
-                by: dict[int, list[int]] = {}
-                for i, c in enumerate(cq):
-                    by.setdefault(len(c), []).append(i)
+                d = np.zeros(len(cq))
+                by: dict[tuple[int, int], list[int]] = {}
+                for i, c in enumerate(zip(cq, cv)):
+                    by.setdefault((len(c[0]), len(c[1])), []).append(i)
                 for at in by.values():
-                    x = _unpack([cq[i] for i in at]) - _unpack([cv[i] for i in at])
-                    d[at] = (x * x).sum(1)
+                    for a in range(0, len(at), 2048):
+                        part = at[a:a + 2048]
+                        x = _unpack([cq[i] for i in part]) - _unpack([cv[i] for i in part])
+                        d[part] = (x * x).sum(1)
                 yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("v"), pa.array(d)], names=["q", "v", "d"])
 
-    return rows.mapInArrow(run, "q long, v long, d float")
+    return rows.mapInArrow(run, "q long, v long, d double")
 
 
 def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
     """(q, v, d): the beam of each query node, greedy search over the graph."""
     near = graph.select("u", "v").union(_best(graph, "v", NEIGHBOURS).select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     near = written(near, "nn-links")
-    beam = queries.select(F.col("key").alias("q"), F.col("key").alias("v"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("done"))
+    beam = queries.select(F.col("key").alias("q"), F.col("key").alias("v"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
     beam = written(beam, "nn-beam")
     for _ in range(STEPS):
         front = beam.where("not done").select("q", F.col("v").alias("u"))
@@ -229,19 +241,17 @@ def nearest(df: DataFrame, every: int = 100, top: int = 10, id_col: str = "vec_i
 
     def pack(batches):
         for batch in batches:
-            codes = [_pack(np.array([v]))[0] for v in batch.column("vec").to_pylist()]
+            packed = [_pack(v) for v in batch.column("vec").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("dim"), batch.column("vec"),
-                                              pa.array(codes, pa.binary())], names=["key", "dim", "vec", "code"])
+                                              pa.array(packed, pa.binary())], names=["key", "dim", "vec", "packed"])
 
     nodes = rows.groupBy("key").agg(F.first("vec").alias("vec")).select("key", F.size("vec").cast("long").alias("dim"), "vec")
-    nodes = written(nodes.mapInArrow(pack, "key long, dim long, vec array<double>, code binary"), "nn-nodes")
+    nodes = written(nodes.mapInArrow(pack, "key long, dim long, vec array<double>, packed binary"), "nn-nodes")
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("key").alias("q"))
     queries = written(nodes.join(asked.select(F.col("q").alias("key")).distinct(), "key", "left_semi"), "nn-queries")
     beam = search(build(nodes), nodes, queries)
-    w = Window.partitionBy("q").orderBy("d", "v")
-    found = beam.withColumn("_r", F.row_number().over(w)).where(f"_r <= {RECHECK}").select("q", "v")
-    found = (found.join(nodes.select(F.col("key").alias("v"), F.col("vec").alias("x")), "v")
-             .join(bounded(queries.select(F.col("key").alias("q"), F.col("vec").alias("y"))), "q"))
+    found = (beam.select("q", "v").join(nodes.select(F.col("key").alias("v"), F.col("vec").alias("x")), "v")
+             .join(bounded(queries.select(F.col("key").alias("q"), F.col("vec").alias("y")), "y"), "q"))
     exact = found.select("q", "v", F.sqrt(F.aggregate(
         F.zip_with("x", "y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)).alias("score"))
     ids = Window.partitionBy("key").orderBy("vec_id")

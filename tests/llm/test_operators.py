@@ -277,6 +277,23 @@ def test_nearest_neighbours_recall(spark):
     assert nn_descent.nearest(spark.createDataFrame([], VECS)).count() == 0
 
 
+def test_nearest_neighbours_among_tight_copies(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2000, 64))
+    x[:1500] = x[0] + 0.003 * rng.normal(size=(1500, 64))
+    x = x.astype(np.float32)
+    rows = [(i, v.tolist(), "k", "d") for i, v in enumerate(x)]
+    got = {}
+    for r in nn_descent.nearest(spark.createDataFrame(rows, VECS), every=50).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 1500, 50):
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.9 * 300
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
     sf = "/root/testdata/sf0.001"
