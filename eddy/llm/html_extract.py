@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +43,16 @@ MARKS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe "
             "taboola teaser toolbar topbar widget complementary contentinfo".split())
 HOLDERS = {"html", "body", "main", "article"}  # never dropped by a mark: themes mark them with layout words
+# An opening tag of the first kind ends an open element of the second kinds,
+# unless one of the third kinds was opened in between.
+ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
+        "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select datalist optgroup"),
+        "optgroup": ("option optgroup", "select")}
+ENDS = {name: (frozenset(ends.split()), frozenset(walls.split())) for name, (ends, walls) in ENDS.items()}
+# Opening tags that end an open paragraph.
+BLOCKS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 "
+                   "h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dt dd".split())
+P_WALLS = frozenset("button td th caption table object marquee applet html".split())
 DEFAULTS = {"word": 1.0, "dropped": -0.05, "tag": -0.3, "close": -0.1}
 
 
@@ -61,7 +72,21 @@ def tokens(page: str):
     """(kind, value, dropped, in article) for each tag and text of a page; kind
     is "text", "tag" or "close"."""
     stack: list[tuple[str, bool]] = []  # open elements: (name, starts a dropped part)
+    opened: dict[str, list[int]] = {}   # where on the stack each name is open
     dropped = article = 0
+
+    def cut(at: int) -> None:
+        """Close the elements from this place of the stack on."""
+        nonlocal dropped, article
+        while len(stack) > at:
+            n, out = stack.pop()
+            opened[n].pop()
+            dropped -= out
+            article -= n == "article"
+
+    def last(names) -> int:
+        return max((at[-1] for n in names if (at := opened.get(n))), default=-1)
+
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
             yield "text", text, dropped > 0, article > 0
@@ -70,22 +95,26 @@ def tokens(page: str):
         if not name:
             continue
         if not m["close"]:
-            inside = any(n == "article" for n, _ in stack) if name == "header" else False
+            if name in BLOCKS and (at := last(("p",))) > last(P_WALLS):
+                cut(at)
+            if name in ENDS:
+                ends, walls = ENDS[name]
+                wall = last(walls)
+                if inner := [places[bisect(places, wall)] for n in ends if (places := opened.get(n)) and places[-1] > wall]:
+                    cut(min(inner))
+            inside = article > 0
             out = name in DROPPED or name == "header" and not inside or _marked(name, m["attrs"])
             yield "tag", name, dropped > 0 or out, article > 0
             if name not in VOID and not m["attrs"].endswith("/"):
+                opened.setdefault(name, []).append(len(stack))
                 stack.append((name, out))
                 dropped += out
                 article += name == "article"
         else:
             # Close the nearest open element of that name, and what it holds; a
             # stray inline or paragraph end tag closes nothing else.
-            at = next((i for i in range(len(stack) - 1, max(-1, len(stack) - 64), -1) if stack[i][0] == name), None)
-            if at is not None:
-                for n, out in stack[at:]:
-                    dropped -= out
-                    article -= n == "article"
-                del stack[at:]
+            if places := opened.get(name):
+                cut(places[-1])
             yield "close", name, dropped > 0, article > 0
 
 
