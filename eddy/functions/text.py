@@ -3,7 +3,8 @@
 Everything here is a built-in Spark expression (regexp_replace / split /
 rlike), so it runs inside whole-stage code generation with no Python in the
 row path.  The same rules are rendered as DuckDB SQL for the oracle, from the
-same constants, so the two cannot drift apart.
+same constants, so the two cannot drift apart.  Only ``PAIR_RULES`` are Spark's
+alone; the oracle's SQL does not have them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,14 @@ TOKEN_RULES: list[tuple[str, str]] = [
 ]
 TOKEN_SPLIT = (r"[ \t\n\r\x0B\f\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}"
                r"\x{3000}]+")
+# Words written as one that are two tokens, after the rewrites above.  They look
+# around, which the oracle's regular expressions can't.
+PAIR_RULES: list[tuple[str, str]] = [
+    (r"(?<![\p{L}\p{N}_])(can(?=not)|(?:gim|lem)(?=me)|gon(?=na)|got(?=ta)|d(?='ye)|more(?='n))(not|me|na|ta|'ye|'n)"
+     r"(?![\p{L}\p{N}_])", " $1 $2 "),
+    (r"(?<![\p{L}\p{N}_])(wan)(na)(?=" + TOKEN_SPLIT + r"|\z)", " $1 $2 "),
+    (r"(?<![^ ])('t)(is|was)(?![\p{L}\p{N}_])", " $1 $2 "),
+]
 ALPHA_TOKEN = r"^\p{L}+\z"
 # Sentiment words: split on white space, strip this outer punctuation, keep
 # inner apostrophes (so "don't" survives as a negation).
@@ -47,7 +56,7 @@ def english_stopwords() -> tuple[str, ...]:
 def normalized_text(text: Column) -> Column:
     """Lower-case and apply the tokenizer rewrites (T1 + first half of T2)."""
     c = F.lower(text)
-    for pattern, repl in TOKEN_RULES:
+    for pattern, repl in TOKEN_RULES + PAIR_RULES:
         c = F.regexp_replace(c, pattern, repl)
     return c
 

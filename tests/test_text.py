@@ -52,3 +52,12 @@ def test_unicode_spaces_split_tokens(spark):
     df = spark.createDataFrame([("cool\u00a0story\u2028bro\u3000ok",)], "t string")
     got = df.select(raw_tokens(F.col("t")).alias("x")).first().x
     assert got == ["cool", "story", "bro", "ok"]
+
+
+def test_words_of_two_tokens(spark):
+    texts = ["I cannot cannot", "Gonna, gimme lemme gotta (wanna) wanna", "'Tis more'n d'ye know 'twas", "wannabe scannot cannots ücannot"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, t string").orderBy("doc_id")
+    got = [r.x for r in df.select(alpha_tokens(F.col("t")).alias("x")).collect()]
+    assert got == [["i", "can", "not", "can", "not"], ["gon", "na", "gim", "me", "lem", "me", "got", "ta", "wan", "na", "wan", "na"],
+                   ["is", "more", "d", "know", "was"], ["wannabe", "scannot", "cannots", "ücannot"]]
+    assert _kw(spark, ["gonna gimme"]) == [["gon", "na", "gim"]]
