@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.llm import (bpe, cdc_dedup, embedding_dedup, html_extract, licenses, mixing, ngram_jaccard, nn_descent, suffix_dedup,
-                       toxicity)
+from eddy.llm import (bpe, cdc_dedup, embedding_dedup, filter_audit, html_extract, licenses, merkle, mixing, ngram_jaccard,
+                       nn_descent, suffix_dedup, toxicity, url_filter)
 from eddy.session import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -57,6 +57,18 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(read_table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
@@ -68,5 +80,13 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_cdc_dedup": op9_cdc_dedup,
     "op10_nn_descent": op10_nn_descent,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_merkle": op12_merkle,
+    "op13_url_filter": op13_url_filter,
+}
+ORACLE = {
+    "op5_mixing": mixing.ORACLE,
+    "op11_filter_audit": filter_audit.ORACLE,
+    "op12_merkle": merkle.ORACLE,
+    "op13_url_filter": url_filter.ORACLE,
 }
-ORACLE = {"op5_mixing": mixing.ORACLE}
