@@ -58,3 +58,24 @@ def test_csv_round_trip(spark, tmp):
     fs.write_comments_csv(df, f"{tmp}/out")
     back = fs.read_comments_csv(spark, f"{tmp}/out").orderBy("row_index").collect()
     assert [tuple(r) for r in back] == [tuple(r) for r in df.collect()]
+
+
+def test_csv_files_of_one_folder_with_different_headers(spark, tmp):
+    with open(f"{tmp}/a.csv", "w") as f:
+        f.write(',1,2,5,score\n0,"one, two\nthree",a,1.5,7\n1,x,b,2.5,8\n')
+    with open(f"{tmp}/b.csv", "w") as f:
+        f.write('5,2,1,\n3.5,c,"other ""text""",2\n')
+    with open(f"{tmp}/c.csv", "w") as f:
+        f.write('\n,1,2,5,score\n3,y,d,4.5,9\n')
+    got = fs.read_comments_csv(spark, tmp)
+    assert got.columns == ["row_index", "text", "comment_id", "created_utc", "score"]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (0, "one, two\nthree", "a", 1.5, "7"), (1, "x", "b", 2.5, "8"), (2, 'other "text"', "c", 3.5, None), (3, "y", "d", 4.5, "9")]
+
+
+def test_csv_extra_columns_named_like_ours(spark, tmp):
+    with open(f"{tmp}/a.csv", "w") as f:
+        f.write(",1,2,5,text,Comment_ID\n0,mine,a,1.5,theirs,z\n")
+    got = fs.read_comments_csv(spark, tmp)
+    assert got.columns == ["row_index", "text", "comment_id", "created_utc", "other_text", "other_Comment_ID"]
+    assert tuple(got.select("text", "other_text", "comment_id").first()) == ("mine", "theirs", "a")
