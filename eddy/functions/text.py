@@ -3,8 +3,7 @@
 Everything here is a built-in Spark expression (regexp_replace / split /
 rlike), so it runs inside whole-stage code generation with no Python in the
 row path.  The same rules are rendered as DuckDB SQL for the oracle, from the
-same constants, so the two cannot drift apart.  Only ``PAIR_RULES`` are Spark's
-alone; the oracle's SQL does not have them.
+same constants, so the two cannot drift apart.
 """
 
 from __future__ import annotations
@@ -30,14 +29,20 @@ TOKEN_RULES: list[tuple[str, str]] = [
 ]
 TOKEN_SPLIT = (r"[ \t\n\r\x0B\f\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}"
                r"\x{3000}]+")
-# Words written as one that are two tokens, after the rewrites above.  They look
-# around, which the oracle's regular expressions can't.
+# Words written as one that are two tokens, after the rewrites above.  A match
+# takes the characters beside it along, so each rule is applied twice.
+_OTHER = r"[^\p{L}\p{N}_]"
 PAIR_RULES: list[tuple[str, str]] = [
-    (r"(?<![\p{L}\p{N}_])(can(?=not)|(?:gim|lem)(?=me)|gon(?=na)|got(?=ta)|d(?='ye)|more(?='n))(not|me|na|ta|'ye|'n)"
-     r"(?![\p{L}\p{N}_])", " $1 $2 "),
-    (r"(?<![\p{L}\p{N}_])(wan)(na)(?=" + TOKEN_SPLIT + r"|\z)", " $1 $2 "),
-    (r"(?<![^ ])('t)(is|was)(?![\p{L}\p{N}_])", " $1 $2 "),
+    (rf"(^|{_OTHER})({first})({second})(\z|{_OTHER})", "$1 $2 $3 $4") for first, second in (
+        ("can", "not"), ("gim|lem", "me"), ("gon", "na"), ("got", "ta"), ("d", "'ye"), ("more", "'n"))
+] + [
+    (rf"(^|{_OTHER})(wan)(na)(\z|{TOKEN_SPLIT[:-1]})", "$1 $2 $3 $4"),
+    (rf"(^| )('t)(is|was)(\z|{_OTHER})", "$1 $2 $3 $4"),
 ]
+PAIR_HINT = r"cannot|gimme|lemme|gonna|gotta|d'ye|more'n|wanna|'tis|'twas"   # nothing else is rewritten
+# A word that ends a sentence by a mark of its own.
+WORD_END = r"""[?!][)"'\]}>*_`”’»]*$"""
+PERIOD_RULE = 5     # of TOKEN_RULES: the one that splits off a last period
 ALPHA_TOKEN = r"^\p{L}+\z"
 # Sentiment words: split on white space, strip this outer punctuation, keep
 # inner apostrophes (so "don't" survives as a negation).
@@ -56,9 +61,16 @@ def english_stopwords() -> tuple[str, ...]:
 def normalized_text(text: Column) -> Column:
     """Lower-case and apply the tokenizer rewrites (T1 + first half of T2)."""
     c = F.lower(text)
-    for pattern, repl in TOKEN_RULES + PAIR_RULES:
+    for pattern, repl in TOKEN_RULES:
         c = F.regexp_replace(c, pattern, repl)
-    return c
+    return _paired(c)
+
+
+def _paired(c: Column) -> Column:
+    paired = c
+    for pattern, repl in PAIR_RULES + PAIR_RULES:
+        paired = F.regexp_replace(paired, pattern, repl)
+    return F.when(c.rlike(PAIR_HINT), paired).otherwise(c)
 
 
 def raw_tokens(text: Column) -> Column:
@@ -66,9 +78,14 @@ def raw_tokens(text: Column) -> Column:
     return F.split(normalized_text(text), TOKEN_SPLIT)
 
 
-def is_alpha(token: Column) -> Column:
-    """Token made only of letters (``str.isalpha`` semantics)."""
-    return token.rlike(ALPHA_TOKEN)
+def word_tokens(word: Column, closing: bool) -> Column:
+    """array<string> of the tokens of one white-space word, lower-cased.  A last
+    period is a token of its own only in a word that closes a sentence."""
+    c = F.lower(word)
+    for k, (pattern, repl) in enumerate(TOKEN_RULES):
+        if closing or k != PERIOD_RULE:
+            c = F.regexp_replace(c, pattern, repl)
+    return F.filter(F.split(_paired(c), TOKEN_SPLIT), lambda t: F.length(t) > 0)
 
 
 def alpha_tokens(text: Column) -> Column:
@@ -89,14 +106,23 @@ def _sql_str(s: str) -> str:
 
 
 def _duck_repl(repl: str) -> str:
-    return repl.replace("$1", "\\1").replace("$2", "\\2").replace("$3", "\\3")
+    return repl.replace("$", "\\")
+
+
+def _sql_rules(expr: str, rules: list[tuple[str, str]]) -> str:
+    for pattern, repl in rules:
+        expr = f"regexp_replace({expr}, {_sql_str(pattern)}, {_sql_str(_duck_repl(repl))}, 'g')"
+    return expr
 
 
 def sql_normalized_text(expr: str) -> str:
-    out = f"lower({expr})"
-    for pattern, repl in TOKEN_RULES:
-        out = f"regexp_replace({out}, {_sql_str(pattern)}, {_sql_str(_duck_repl(repl))}, 'g')"
-    return out
+    return _sql_rules(f"lower({expr})", TOKEN_RULES + PAIR_RULES + PAIR_RULES)
+
+
+def sql_word_tokens(expr: str, closing: bool) -> str:
+    rules = [r for k, r in enumerate(TOKEN_RULES) if closing or k != PERIOD_RULE]
+    out = _sql_rules(f"lower({expr})", rules + PAIR_RULES + PAIR_RULES)
+    return f"list_filter(regexp_split_to_array({out}, {_sql_str(TOKEN_SPLIT)}), lambda t: length(t) > 0)"
 
 
 def sql_raw_tokens(expr: str) -> str:

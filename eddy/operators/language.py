@@ -15,33 +15,33 @@ counts n(g), for every language L of the model:
 The best score wins, ties by language code.  Blank text, or text without a
 known trigram, is 'unknown'.
 
-Plan: the profile is pivoted to one row per trigram with one log-probability
-column per language.  Its size is known from fitting: up to a bound in rows and
-bytes it is broadcast and each trigram is scored as it comes; beyond, trigram
-counts per comment are pre-aggregated and sort-merge joined.  The per-language
-sums are one partial + final aggregate per comment.  The language list itself (codes
-and floors, one entry per language) is a model parameter held by the driver,
-like the coefficients of any fitted model.
+Plan: the profile has one row a trigram, with the languages that know it and what
+each gains over its floor.  Its size is measured: up to a bound in rows and bytes it
+is broadcast and each trigram is scored as it comes; beyond, trigram counts per
+comment are pre-aggregated and sort-merge joined.  Gains are summed by (comment,
+language) with a partial sum on the map side, and the best language is a partial and
+final minimum, so the number of languages is not bounded.  A language that shares no
+trigram with a comment stays at its floor; of those only the one with the highest
+floor can win, so it is the only one that is looked at.
 """
 
 from __future__ import annotations
 
-import math
-
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eddy.functions.fields import with_default
-from eddy.session import cut_lineage
-
+from eddy.session import checkpoint_root, scratch_path
 
 MICRO = 1_000_000
-# Largest pivoted profile that is broadcast: in trigrams, and in bytes (about 40 a
-# trigram plus 8 for each language).
+# Largest profile that is broadcast: in trigrams, and in bytes (about 40 a trigram
+# plus 24 for each language that knows it).
 MAX_BROADCAST_VOCABULARY = 2_000_000
 MAX_BROADCAST_BYTES = 128 << 20
+MAX_LANGUAGES = 100_000    # rows of the floors' table up to which it is broadcast
 
 
 def normalized_letters(text: Column) -> Column:
@@ -53,78 +53,151 @@ def normalized_letters(text: Column) -> Column:
 # Every overlapping 3-character window, found in one left-to-right regex pass
 # (a zero-width lookahead match at each position).  Substring by character
 # position would rescan the UTF-8 text from its start for every position.
-TRIGRAMS = r"(?=(.{3}))"
+SIZES = (3,)
 
 
-def trigrams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, g): the character trigrams of whole texts.  Rows without any letter
-    (null, blank, punctuation only) have none."""
+def trigrams(docs: DataFrame, id_col: str, text_col: str, sizes=SIZES) -> DataFrame:
+    """(id, g): the character n-grams of whole texts (trigrams by default).  Rows
+    without any letter (null, blank, punctuation only) have none."""
     t = docs.where(F.col(text_col).rlike(r"\p{L}")).select(
         id_col, normalized_letters(F.col(text_col)).alias("_t"))
-    return t.select(id_col, F.explode(F.regexp_extract_all(F.col("_t"), F.lit(TRIGRAMS), 1)).alias("g"))
+    grams = [F.regexp_extract_all(F.col("_t"), F.lit(f"(?=(.{{{n}}}))"), 1) for n in sizes]
+    return t.select(id_col, F.explode(grams[0] if len(grams) == 1 else F.concat(*grams)).alias("g"))
 
 
-def trigram_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, g, n): trigram counts per row."""
-    return trigrams(docs, id_col, text_col).groupBy(id_col, "g").agg(F.count(F.lit(1)).alias("n"))
+def trigram_counts(docs: DataFrame, id_col: str, text_col: str, sizes=SIZES) -> DataFrame:
+    """(id, g, n): n-gram counts per row."""
+    return trigrams(docs, id_col, text_col, sizes).groupBy(id_col, "g").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)
 class LanguageProfile:
-    """A fitted profile: the (lang, g, c, lp, lp0) table and the languages
-    with their floor log-probability, sorted by code."""
+    """A fitted profile: ``table(lang, g, c, lp, lp0)``, the ``languages(lang, lp0)``
+    with their floor log-probability, the sizes of the n-grams, and two measures of
+    the table (distinct n-grams, rows) that decide how it is joined."""
     table: DataFrame
-    languages: tuple[tuple[str, int], ...]
-    vocabulary: int = 0          # distinct trigrams = rows of the pivoted profile
-
-
-def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageProfile:
-    """Fit the trigram profile from labelled rows (log-probs in micro-units)."""
+    languages: DataFrame
+    sizes: tuple[int, ...] = SIZES
+    vocabulary: int = 0
+    rows: int = 0
+
+    def save(self, path: str) -> None:
+        """Write the profile as a new version at ``path`` (which must not exist)."""
+        self.table.write.parquet(f"{path}/table")
+        self.languages.write.parquet(f"{path}/languages")
+        spark = self.table.sparkSession
+        spark.createDataFrame([(list(self.sizes), self.vocabulary, self.rows)], "sizes array<int>, vocabulary long, rows long") \
+            .coalesce(1).write.parquet(f"{path}/about")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LanguageProfile:
+        about = spark.read.parquet(f"{path}/about").first()
+        return LanguageProfile(spark.read.parquet(f"{path}/table"), spark.read.parquet(f"{path}/languages"),
+                               tuple(about.sizes), about.vocabulary, about.rows)
+
+
+def train_profile(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", sizes=SIZES,
+                  path: str | None = None) -> LanguageProfile:
+    """Fit the profile from labelled rows (log-probs in micro-units) and save it at
+    ``path`` (a fresh folder of the session's scratch space by default).
+
+    Nothing of the size of the labels comes to the driver: totals are a table.
+    Rows without a label or a letter add nothing; without any the profile is empty.
+    """
+    spark = labelled.sparkSession
+    path = path or scratch_path(spark, "language-profile")
     src = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
-                  .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_text"))
-    counts = trigram_counts(src.withColumn("_k", F.col("lang")), "_k", "_text") \
-        .withColumnRenamed("_k", "lang").withColumnRenamed("n", "c")
-    counts = cut_lineage(counts)
-    # Model statistics, computed while fitting: the vocabulary size V and the
-    # per-language totals (one row per language).
-    V = counts.select("g").distinct().count()
-    totals = counts.groupBy("lang").agg(F.sum("c").alias("T")).collect()   # one row per language
-    floors = {r["lang"]: int(round(math.log(1.0 / (r["T"] + V)) * MICRO)) for r in totals}
-    denom = {r["lang"]: r["T"] + V for r in totals}
-    denom_col = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(v)) for k, v in denom.items()])
-    floor_col = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(v)) for k, v in floors.items()])
-    table = counts.select(
+                  .select(F.col(lang_col).alias("_k"), F.col(text_col).alias("_text"))
+    trigram_counts(src, "_k", "_text", sizes).select(F.col("_k").alias("lang"), "g", F.col("n").alias("c")) \
+        .write.parquet(f"{path}/counts")
+    counts = spark.read.parquet(f"{path}/counts")
+    size = counts.agg(F.count_distinct("g").alias("v"), F.count(F.lit(1)).alias("n")).first()
+    totals = counts.groupBy("lang").agg((F.sum("c") + size.v).alias("d"))
+    floors = totals.select("lang", "d", F.round(F.log(1.0 / F.col("d").cast("double")) * MICRO).cast("long").alias("lp0"))
+    floors.write.parquet(f"{path}/totals")
+    floors = spark.read.parquet(f"{path}/totals")
+    small = floors.count() <= MAX_LANGUAGES
+    table = counts.join(F.broadcast(floors) if small else floors.hint("merge"), "lang").select(
         "lang", "g", "c",
-        F.round(F.log((F.col("c") + 1).cast("double") / denom_col.cast("double")) * MICRO).cast("long").alias("lp"),
-        floor_col.cast("long").alias("lp0"))
-    return LanguageProfile(table, tuple(sorted(floors.items())), V)
+        F.round(F.log((F.col("c") + 1).cast("double") / F.col("d").cast("double")) * MICRO).cast("long").alias("lp"), "lp0")
+    LanguageProfile(table, floors.select("lang", "lp0"), tuple(sizes), size.v, size.n).save(f"{path}/profile")
+    return LanguageProfile.load(spark, f"{path}/profile")
+
+
+def saved_profile(spark: SparkSession, labelled_path: str, lang_col: str = "lang", text_col: str = "text",
+                  sizes=SIZES, root: str | None = None) -> LanguageProfile:
+    """The profile of a labelled Parquet table, fitted once for each state of its
+    files and loaded from ``root`` (below the checkpoint folder) after that.
+
+    The name of a version is a digest of the files' names, sizes and times.  Fitting
+    ends by writing the version's name; half-written versions are never loaded, and
+    two drivers that fit at once write versions of their own.
+    """
+    root = (root or f"{checkpoint_root(spark)}/eddy-models/language").rstrip("/")
+    src = spark.read.parquet(labelled_path)
+    files = src.select(F.struct("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("f"))
+    state = files.groupBy("f").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.bit_xor(F.xxhash64("f")).alias("a"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("n", "f")).alias("b")).first()
+    key = f"{lang_col}-{text_col}-{'_'.join(map(str, sizes))}-{state.a}-{state.b}-{state.n}"
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{key}")
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for done in sorted(str(f.getPath()) for f in fs.listStatus(fs_path)) if fs.exists(fs_path) else ():
+        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{done}/profile/about/_SUCCESS")):
+            return LanguageProfile.load(spark, f"{done}/profile")
+    return train_profile(src.select(text_col, lang_col), lang_col, text_col, sizes, f"{root}/{key}/{uuid.uuid4().hex}")
+
+
+def candidate_scores(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang, score): for rows with a known n-gram, every language that shares
+    one, and the language with the highest floor."""
+    gain = F.struct("lang", (F.col("lp") - F.col("lp0")).alias("gain"))
+    per_g = profile.table.groupBy("g").agg(F.collect_list(gain).alias("_l"))
+    if (0 < profile.vocabulary <= MAX_BROADCAST_VOCABULARY
+            and profile.vocabulary * 40 + profile.rows * 24 <= MAX_BROADCAST_BYTES):
+        # Scores add up, so each n-gram meets the profile as it comes.
+        tri = trigrams(docs, id_col, text_col, profile.sizes).withColumn("n", F.lit(1).cast("long")).join(F.broadcast(per_g), "g")
+    else:
+        tri = trigram_counts(docs, id_col, text_col, profile.sizes).join(profile.table.select("g", F.array(gain).alias("_l")).hint("merge"), "g")
+    # Rows of the floor: how many known n-grams a comment has, under a null language.
+    own = F.struct(F.lit(None).cast("string").alias("lang"), F.lit(1).cast("long").alias("gain"))
+    if profile.vocabulary <= MAX_BROADCAST_VOCABULARY and profile.vocabulary * 40 + profile.rows * 24 <= MAX_BROADCAST_BYTES:
+        known = tri.select(id_col, "n", F.explode(F.concat(F.array(own), "_l")).alias("_x"))
+    else:
+        once = trigram_counts(docs, id_col, text_col, profile.sizes).join(
+            profile.table.select("g").distinct().hint("merge"), "g", "left_semi")
+        known = tri.select(id_col, "n", F.explode("_l").alias("_x")).unionByName(once.select(id_col, "n", own.alias("_x")))
+    sums = known.groupBy(id_col, F.col("_x.lang").alias("lang")).agg(F.sum(F.col("n") * F.col("_x.gain")).alias("x"))
+    # One row a comment brings its number of n-grams and all its gains together.
+    per = sums.groupBy(id_col).agg(
+        F.max(F.when(F.col("lang").isNull(), F.col("x"))).alias("_n"),
+        F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "x"))).alias("_l"))
+    top = profile.languages.orderBy(F.desc("lp0"), "lang").limit(1).collect()      # one row
+    best = F.lit(top[0]["lang"] if top else None)
+    hits = F.concat("_l", F.when(F.exists("_l", lambda e: e["lang"] == best), F.array().cast("array<struct<lang:string,x:bigint>>"))
+                    .otherwise(F.array(F.struct(best.alias("lang"), F.lit(0).cast("long").alias("x")))))
+    rows = per.select(id_col, "_n", F.explode(hits).alias("_e")).select(id_col, "_n", "_e.*")
+    small = profile.languages.count() <= MAX_LANGUAGES
+    floors = F.broadcast(profile.languages) if small else profile.languages.hint("merge")
+    return rows.join(floors, "lang").select(id_col, "lang", (F.col("_n") * F.col("lp0") + F.col("x")).alias("score"))
 
 
 def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """(id, detected) for rows with at least one known trigram."""
-    langs = profile.languages
-    per_g = profile.table.groupBy("g").agg(
-        *[F.max(F.when(F.col("lang") == F.lit(code), F.col("lp"))).alias(f"_lp{i}")
-          for i, (code, _) in enumerate(langs)])
-    # The pivoted profile has exactly ``vocabulary`` rows, known from fitting:
-    # broadcast it only under the bound, otherwise sort-merge join.  Never let
-    # the planner broadcast the per-comment side, which grows with the data.
-    if (0 < profile.vocabulary <= MAX_BROADCAST_VOCABULARY
-            and profile.vocabulary * (40 + 8 * len(langs)) <= MAX_BROADCAST_BYTES):
-        # Scores add up, so each trigram meets the profile as it comes: one
-        # partial and final sum by id, no shuffle of (id, trigram).
-        tri = trigrams(docs, id_col, text_col).withColumn("n", F.lit(1)).join(F.broadcast(per_g), "g")
-    else:
-        tri = trigram_counts(docs, id_col, text_col).join(per_g.hint("merge"), "g")
-    sums = tri.groupBy(id_col).agg(
-        *[F.sum(F.col("n") * F.coalesce(F.col(f"_lp{i}"), F.lit(floor))).alias(f"_s{i}")
-          for i, (_, floor) in enumerate(langs)])
-    # Highest score; on equal scores the smaller index (earlier code) wins.
-    best = F.greatest(*[F.struct(F.col(f"_s{i}").alias("s"), F.lit(-i).alias("i")) for i in range(len(langs))]) \
-        if len(langs) > 1 else F.struct(F.col("_s0").alias("s"), F.lit(0).alias("i"))
-    codes = F.array(*[F.lit(code) for code, _ in langs])
-    return sums.select(id_col, F.element_at(codes, (1 - best["i"]).cast("int")).alias("detected"))
+    """(id, detected) for rows with at least one known n-gram: the highest score,
+    on equal scores the earlier code."""
+    scores = candidate_scores(docs, profile, id_col, text_col)
+    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l")))
+    return scores.groupBy(id_col).agg(best.alias("_b")).select(id_col, F.col("_b.l").alias("detected"))
+
+
+def posterior(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang, score, posterior): candidates' scores, and their probabilities
+    under equal priors, normalised over the candidates (others are at their floor)."""
+    scores = candidate_scores(docs, profile, id_col, text_col)
+    per = Window.partitionBy(id_col)
+    odds = F.exp((F.col("score") - F.max("score").over(per)) / F.lit(float(MICRO)))
+    rows = scores.withColumn("_o", odds)
+    return rows.select(id_col, "lang", "score", F.round(F.col("_o") / F.sum("_o").over(per), 6).alias("posterior"))
 
 
 def detect_language(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",

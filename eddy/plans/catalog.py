@@ -326,8 +326,8 @@ from eddy.plans import enrich as en  # noqa: E402
 
 
 def _profile(spark, sf_dir):
-    """Trigram profile trained on the labelled documents."""
-    return lg.train_profile(tb.documents(spark, sf_dir, ("text", "lang")))
+    """Trigram profile of the labelled documents, fitted once and then loaded."""
+    return lg.saved_profile(spark, tb.table_path(sf_dir, "documents"))
 
 
 @register("sentiment_score")
@@ -342,7 +342,14 @@ def q_sentiment_label(spark, sf_dir):
 
 @register("language_profile")
 def q_language_profile(spark, sf_dir):
-    return _profile(spark, sf_dir).table
+    return lg.train_profile(tb.documents(spark, sf_dir, ("text", "lang"))).table
+
+
+@register("language_posterior")
+def q_language_posterior(spark, sf_dir):
+    """1- to 3-grams, all candidate languages of every document."""
+    profile = lg.saved_profile(spark, tb.table_path(sf_dir, "documents"), sizes=(1, 2, 3))
+    return lg.posterior(tb.documents(spark, sf_dir), profile)
 
 
 @register("detect_language")
@@ -362,8 +369,9 @@ def q_lang_unknown(spark, sf_dir):
 
 @register("enriched")
 def q_enriched(spark, sf_dir):
-    e = en.enrich(tb.documents(spark, sf_dir), _profile(spark, sf_dir))
-    return e.select("doc_id", "language", "compound", "sentiment", "keywords")
+    docs = tb.documents(spark, sf_dir, ("doc_id", "text", "source"))
+    e = en.enrich(docs, _profile(spark, sf_dir), keep=("text", "source"))
+    return e.select("doc_id", "text", "source", "language", "compound", "sentiment", "keywords")
 
 
 def _reportable(spark, sf_dir):
@@ -388,3 +396,43 @@ def q_report(spark, sf_dir):
 @register("report_json")
 def q_report_json(spark, sf_dir):
     return rp.report_json(rp.report_long(_reportable(spark, sf_dir)))
+
+
+# ------------------------------- sentences ------------------------------------
+
+from eddy.operators import sentences as sn  # noqa: E402
+
+
+@register("pair_tokens")
+def q_pair_tokens(spark, sf_dir):
+    """T2 on texts that hold words of two tokens."""
+    return kw.token_rows(tb.spoken_texts(spark, sf_dir).where(F.length("text") > 0))
+
+
+@register("abbreviation_model")
+def q_abbreviation_model(spark, sf_dir):
+    return sn.fit(tb.spoken_texts(spark, sf_dir)).types
+
+
+@register("collocation_model")
+def q_collocation_model(spark, sf_dir):
+    return sn.fit(tb.spoken_texts(spark, sf_dir)).pairs
+
+
+@register("sentences")
+def q_sentences(spark, sf_dir):
+    docs = tb.spoken_texts(spark, sf_dir)
+    return sn.sentences(docs, sn.fit(docs))
+
+
+@register("sentence_tokens")
+def q_sentence_tokens(spark, sf_dir):
+    docs = tb.spoken_texts(spark, sf_dir)
+    return sn.sentence_tokens(docs, sn.fit(docs))
+
+
+@register("sentence_keywords")
+def q_sentence_keywords(spark, sf_dir):
+    """T2 to T6 as a whole: sentences, tokens, terms, the top 3 of each comment."""
+    docs = tb.spoken_texts(spark, sf_dir)
+    return kw.top_k_terms(sn.sentence_terms(docs, sn.fit(docs)), 3)

@@ -295,9 +295,9 @@ turns AS (SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '
     "turns", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "text", "turn_id") + \
     "\nSELECT turn_id, language FROM dlang"
 ORACLE["enriched"] = _ENRICH + """
-SELECT dlang.doc_id, dlang.language, slabel.compound, slabel.sentiment,
+SELECT dlang.doc_id, documents.text, documents.source, dlang.language, slabel.compound, slabel.sentiment,
        coalesce(kwa.keywords, CAST([] AS VARCHAR[])) AS keywords
-FROM dlang JOIN slabel ON slabel.doc_id = dlang.doc_id LEFT JOIN kwa ON kwa.doc_id = dlang.doc_id"""
+FROM dlang JOIN documents ON documents.doc_id = dlang.doc_id JOIN slabel ON slabel.doc_id = dlang.doc_id LEFT JOIN kwa ON kwa.doc_id = dlang.doc_id"""
 ORACLE["language_counts"] = _ENRICH + _REPORTABLE + "\nSELECT language, count(*) AS n FROM rep GROUP BY language"
 ORACLE["sentiment_counts"] = _ENRICH + _REPORTABLE + "\nSELECT sentiment, count(*) AS n FROM rep GROUP BY sentiment"
 _REPORT = _ENRICH + _REPORTABLE + """,
@@ -314,3 +314,100 @@ report AS (
 ORACLE["report"] = _REPORT + "\nSELECT dimension, key, n, rank FROM report"
 ORACLE["report_json"] = _REPORT + """
 SELECT json_object('dimension', dimension, 'key', key, 'n', n, 'rank', rank)::VARCHAR AS json FROM report"""
+
+
+# ------------------------------- sentences ------------------------------------
+
+from eddy.functions.text import TOKEN_SPLIT, WORD_END, _sql_str, sql_word_tokens  # noqa: E402
+from eddy.operators import sentences as _sn  # noqa: E402
+from eddy.sources.tables import SPOKEN  # noqa: E402
+
+_SPOKEN = f"""spoken AS (
+  SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN {_q(SPOKEN)} || text ELSE text END AS text FROM documents)"""
+ORACLE["pair_tokens"] = "WITH " + _SPOKEN + "," + _TOKENS.replace("FROM documents", "FROM spoken") + "\nSELECT doc_id, pos, token FROM tok"
+
+
+def _core(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, {_sql_str(_sn._OPENERS)}, ''), {_sql_str(_sn._CLOSERS)}, '')"
+
+
+_NUM = _sql_str(r"^-?[.,]?[0-9][0-9,.-]*$")
+
+
+def _type(x: str) -> str:
+    bare = f"lower(regexp_replace({x}, '\\.$', ''))"
+    return f"CASE WHEN regexp_matches({bare}, {_NUM}) THEN '{_sn.NUMBER}' ELSE {bare} END"
+
+
+def _part(k: str, m: str, p: str) -> str:
+    return f"(CASE WHEN {k} = 0 THEN 0 ELSE ({k}) * ln({p}) END + CASE WHEN {m} - ({k}) = 0 THEN 0 ELSE ({m} - ({k})) * ln(1 - {p}) END)"
+
+
+_PAIR_RATIO = (f"2 * ({_part('k', 'a', 'k / a')} + {_part('b - k', 't - a', '((b - k) / (t - a))')} "
+               f"- {_part('k', 'a', '(b / t)')} - {_part('b - k', 't - a', '(b / t)')})")
+_MODEL = _SPOKEN + f""",
+swl_ AS (SELECT doc_id, list_filter(regexp_split_to_array(text, {_sql_str(TOKEN_SPLIT)}), lambda w: length(w) > 0) AS ws FROM spoken
+         WHERE text IS NOT NULL),
+sw_ AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(0, len(ws) - 1)) AS pos, ws FROM swl_),
+sc_ AS (SELECT doc_id, pos::INTEGER AS pos, word, ws[pos + 2] AS next, {_core('word')} AS core, {_core('ws[pos + 2]')} AS after FROM sw_),
+mk_ AS (SELECT *, {_type('core')} AS type, regexp_matches(core, '[^.]\\.$') AS period, regexp_matches(word, {_sql_str(WORD_END)}) AS stop,
+               regexp_matches(core, '^\\p{{Lu}}') AS upper, {_type('after')} AS next_type,
+               coalesce(regexp_matches(after, '^\\p{{L}}'), false) AS next_letter FROM sc_),
+cnt_ AS (SELECT type, count(*) AS n, sum(period::INT)::BIGINT AS with_period, max(upper::INT) AS capital FROM mk_ WHERE type <> '' GROUP BY type),
+tot_ AS (SELECT sum(n)::DOUBLE AS t, sum(with_period)::DOUBLE / sum(n) AS r FROM cnt_),
+rat_ AS (SELECT cnt_.*, round(-2 * (with_period * ln(r) + (n - with_period) * ln(1 - r) - with_period * ln({_sn.PERIOD_RATE}::DOUBLE)
+                - (n - with_period) * ln(1 - {_sn.PERIOD_RATE}::DOUBLE)), 6) AS ratio,
+                len(regexp_extract_all(type, '\\.')) + 1 AS inner_, length(type) - len(regexp_extract_all(type, '\\.')) AS letters
+         FROM cnt_, tot_ WHERE with_period > 0),
+typ_ AS (SELECT type, n, with_period, capital, ratio, round(ratio * exp(-letters) * inner_ * pow(letters::DOUBLE, -(n - with_period)), 6) AS score
+         FROM rat_),
+model_ AS (SELECT *, regexp_matches(type, '\\p{{L}}') AND score >= {_sn.ABBREVIATION} AS abbreviation FROM typ_),
+both_ AS (SELECT type, next_type, count(*) AS together FROM mk_ WHERE period AND next IS NOT NULL AND next_type <> ''
+          AND (regexp_matches(type, '^\\p{{L}}$') OR type = '{_sn.NUMBER}') GROUP BY 1, 2),
+prat_ AS (SELECT *, round({_PAIR_RATIO}, 6) AS ratio FROM (
+            SELECT p.*, together::DOUBLE AS k, f.with_period::DOUBLE AS a, s.n::DOUBLE AS b, t
+            FROM both_ p JOIN cnt_ f ON p.type = f.type JOIN cnt_ s ON p.next_type = s.type, tot_)),
+pair_ AS (SELECT type, next_type, together, ratio, together > 1 AND k / a > b / t AND ratio >= {_sn.COLLOCATION} AS collocation FROM prat_),
+end_ AS (SELECT mk_.doc_id, pos, word, next IS NULL OR stop OR (period AND NOT (
+                coalesce(abbreviation, false) OR coalesce(collocation, false)
+                OR ((regexp_matches(mk_.type, '^\\p{{L}}$') OR mk_.type = '{_sn.NUMBER}') AND next_letter))) AS ends
+         FROM mk_ LEFT JOIN model_ ON mk_.type = model_.type LEFT JOIN pair_ ON mk_.type = pair_.type AND mk_.next_type = pair_.next_type),
+stokl_ AS (SELECT doc_id, pos, CASE WHEN ends THEN {sql_word_tokens('word', True)} ELSE {sql_word_tokens('word', False)} END AS ts FROM end_),
+stok_ AS (SELECT doc_id, pos, unnest(generate_series(0, len(ts) - 1))::INTEGER AS sub, unnest(ts) AS token FROM stokl_)"""
+
+ORACLE["abbreviation_model"] = "WITH " + _MODEL + "\nSELECT * FROM model_"
+ORACLE["collocation_model"] = "WITH " + _MODEL + "\nSELECT * FROM pair_"
+ORACLE["sentences"] = "WITH " + _MODEL + """
+SELECT doc_id, sentence, min(pos) AS first, count(*) AS words FROM (
+  SELECT doc_id, pos, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INTEGER
+         AS sentence FROM end_) GROUP BY doc_id, sentence"""
+ORACLE["sentence_tokens"] = "WITH " + _MODEL + "\nSELECT doc_id, pos, sub, token FROM stok_"
+ORACLE["sentence_keywords"] = "WITH " + _MODEL + f""",
+skept AS (SELECT * FROM stok_ WHERE {sql_is_alpha('token')} AND token NOT IN {sql_stopword_list()}),
+stf AS (SELECT doc_id, token AS w, count(*) AS n, min(pos * 1000000::BIGINT + sub) AS first_pos FROM skept GROUP BY doc_id, token)
+SELECT doc_id, rank, w, n FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first_pos)::INTEGER AS rank, w, n FROM stf) WHERE rank <= 3"""
+
+# ------------------------- languages, 1- to 3-grams ---------------------------
+
+_GRAMS3 = ("list_concat(list_concat(cs, list_transform(range(1, len(cs)), lambda i: cs[i] || cs[i + 1])), "
+           "list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2]))")
+
+
+def _grams_cte(name: str, key: str, where: str) -> str:
+    return _trigram_cte(name, "documents", key, "text", where).replace(
+        "list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])", _GRAMS3)
+
+
+ORACLE["language_posterior"] = "WITH " + _PROFILE.replace(
+    _trigram_cte("ptri", "documents", "lang", "text", "lang IS NOT NULL"), _grams_cte("ptri", "lang", "lang IS NOT NULL")) + ",\n" + \
+    _grams_cte("dtri", "doc_id", "TRUE") + """,
+dn AS (SELECT k, sum(n) AS N FROM dtri WHERE g IN (SELECT g FROM profile) GROUP BY k),
+ds AS (SELECT d.k, p.lang, sum(d.n * (p.lp - p.lp0)) AS x FROM dtri d JOIN profile p ON p.g = d.g GROUP BY d.k, p.lang),
+langs AS (SELECT DISTINCT lang, lp0 FROM profile),
+top AS (SELECT lang FROM langs ORDER BY lp0 DESC, lang LIMIT 1),
+cand AS (SELECT k, lang, x FROM ds UNION ALL SELECT dn.k, top.lang, 0 FROM dn, top
+         WHERE NOT EXISTS (SELECT 1 FROM ds WHERE ds.k = dn.k AND ds.lang = top.lang)),
+sc AS (SELECT cand.k AS doc_id, cand.lang, (N * lp0 + x)::BIGINT AS score FROM cand JOIN dn USING (k) JOIN langs USING (lang)),
+od AS (SELECT *, exp((score - max(score) OVER (PARTITION BY doc_id)) / 1000000.0) AS o FROM sc)
+SELECT doc_id, lang, score, round(o / sum(o) OVER (PARTITION BY doc_id), 6) AS posterior FROM od"""

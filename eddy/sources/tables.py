@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eddy.session import read_table
+from eddy.session import read_table, table_path  # noqa: F401
 
 # Stand-in topic layout for the events table (fixed by the test binding).
 EVENT_PARTITIONS = 5
@@ -102,3 +102,15 @@ def faulty_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = (F.when(k == 0, 0.0).when(k == 1, float("nan")).when(k == 2, float("inf")).when(k == 3, 1e15)
          .when(k == 4, None).otherwise(epoch_seconds("ts")))
     return events(spark, sf_dir).select(F.col("event_id").alias("row_index"), t.alias("created_utc"))
+
+
+# Words that the invented prose lacks: abbreviations, initials, numbers with a
+# period, and words of two tokens.
+SPOKEN = ("Dr. Ana cannot visit the U.S. today, etc. and J. Smith says: gimme no. 5. He's gonna (or gotta) see. Dr. Ben left... "
+          "cannot/cannot 'tis so! Wanna go? d'ye know \"more'n\" that. ")
+
+
+def spoken_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, those whose id is a multiple of 13 with ``SPOKEN`` before the text."""
+    d = documents(spark, sf_dir)
+    return d.withColumn("text", F.when(F.pmod("doc_id", F.lit(13)) == 0, F.concat(F.lit(SPOKEN), "text")).otherwise(F.col("text")))
