@@ -411,3 +411,32 @@ cand AS (SELECT k, lang, x FROM ds UNION ALL SELECT dn.k, top.lang, 0 FROM dn, t
 sc AS (SELECT cand.k AS doc_id, cand.lang, (N * lp0 + x)::BIGINT AS score FROM cand JOIN dn USING (k) JOIN langs USING (lang)),
 od AS (SELECT *, exp((score - max(score) OVER (PARTITION BY doc_id)) / 1000000.0) AS o FROM sc)
 SELECT doc_id, lang, score, round(o / sum(o) OVER (PARTITION BY doc_id), 6) AS posterior FROM od"""
+
+
+# ------------------------- arrival-driven intervals ---------------------------
+
+def _arrival(key: str, name: str) -> str:
+    return "WITH RECURSIVE " + _PROC + f""",
+arr AS (SELECT {key} AS k, id::BIGINT AS id, processing_time AS t, (processing_time - timestamp) * 1000.0 AS latency_ms
+        FROM proc WHERE timestamp IS NOT NULL AND processing_time IS NOT NULL),
+num AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY t, id) AS i FROM arr),
+mrg AS (SELECT k, t, 1 AS kind, i FROM num UNION ALL SELECT k, t + 3600.0::DOUBLE, 0, i FROM num),
+nxt AS (SELECT k, i, s FROM (
+          SELECT k, kind, i, min(CASE WHEN kind = 1 THEN i END) OVER (
+            PARTITION BY k ORDER BY t, kind ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s FROM mrg)
+        WHERE kind = 0 AND s IS NOT NULL),
+chain(k, i) AS (
+  SELECT DISTINCT k, 1::BIGINT FROM num
+  UNION ALL
+  SELECT chain.k, nxt.s FROM chain JOIN nxt ON chain.k = nxt.k AND chain.i = nxt.i),
+closing AS (SELECT c.k, c.i, num.t FROM chain c JOIN num ON c.k = num.k AND c.i = num.i WHERE c.i > 1),
+win AS (SELECT num.k, num.latency_ms, closing.t AS closed_at, closing.i AS w
+        FROM num ASOF JOIN closing ON num.k = closing.k AND num.i <= closing.i)
+SELECT k AS {name}, round(closed_at, 6) AS closed_at, count(*) AS total_messages, round(max(latency_ms), 6) AS max_latency_ms,
+       round(min(latency_ms), 6) AS min_latency_ms, round(avg(latency_ms), 6) AS avg_latency_ms,
+       round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
+FROM win GROUP BY k, w, closed_at"""
+
+
+ORACLE["latency_report_arrival"] = _arrival("event_type", "event_type")
+ORACLE["latency_report_arrival_all"] = _arrival("'all'", "monitor")

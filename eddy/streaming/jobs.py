@@ -17,6 +17,7 @@ reference's sleep-based pacing (S17).
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -290,13 +291,114 @@ def start_latency_monitor(processed_stream: DataFrame, out: LatencyOutputs, chec
     return w.start()
 
 
+def _published(spark: SparkSession, root: str) -> DataFrame | None:
+    """What ``publish`` has put under ``root``, with its batch ids; None if nothing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not any(f.getPath().getName().startswith("batch_id=") for f in fs.listStatus(path)):
+        return None
+    return spark.read.option("basePath", root).parquet(root)
+
+
+@dataclass
+class ArrivalOutputs:
+    rows: str      # latency rows, one folder a batch
+    reports: str   # one row a report, with the batches it covers and the time it was made
+
+
+def arrival_writer(out: ArrivalOutputs, interval: float = 60.0, clock=time.time):
+    """The ``foreachBatch`` function of the arrival-driven monitor.
+
+    As in the reference, a report is made when a valid record arrives at least
+    ``interval`` seconds after the last report (or the start), and covers all
+    records since then, this one included; without records nothing is reported,
+    however long it takes (W5).  The records of one batch arrive together, at the
+    time ``clock`` gives.  A report is one published folder that also holds the time
+    and the batches it covers, so it is the whole state: a replayed batch finds its
+    own report and makes no other.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = lt.latency_rows(batch, now=F.current_timestamp())
+        publish(rows, out.rows, batch_id)
+        arrived = spark.read.parquet(_batch_path(out.rows, batch_id))
+        if arrived.isEmpty():
+            return
+        last = _published(spark, out.reports).where(F.col("batch_id") < batch_id).agg(
+            F.max(F.struct("last_batch", "made_at")).alias("m")).first().m
+        now = float(clock())
+        if now - last.made_at < interval:
+            return
+        since = spark.read.option("basePath", out.rows).parquet(out.rows).where(
+            (F.col("batch_id") > last.last_batch) & (F.col("batch_id") <= batch_id))
+        report = lt.latency_report(since.drop("timestamp", "batch_id")).select(
+            F.lit(now).alias("made_at"), F.lit(batch_id).cast("long").alias("last_batch"), "*")
+        publish(report, out.reports, batch_id)
+    return run
+
+
+def begin_arrivals(spark: SparkSession, out: ArrivalOutputs, clock=time.time) -> None:
+    """Publish the time the monitor began, as an empty report of batch -1, unless
+    that is there from an earlier start."""
+    schema = sc.T.StructType(sc.PROCESSED.fields + [sc.T.StructField("partition", sc.T.IntegerType())])
+    columns = lt.latency_report(lt.latency_rows(spark.createDataFrame([], schema))).dtypes
+    publish(spark.range(1).select(F.lit(float(clock())).alias("made_at"), F.lit(-1).cast("long").alias("last_batch"),
+                                  *[F.lit(None).cast(t).alias(c) for c, t in columns]), out.reports, -1)
+
+
+def start_arrival_monitor(processed_stream: DataFrame, out: ArrivalOutputs, checkpoint: str, interval: float = 60.0,
+                          trigger: dict | None = None, clock=time.time) -> StreamingQuery:
+    """The report on the first valid record ``interval`` seconds after the last
+    report, or after the first start; restarts go on from the last report."""
+    begin_arrivals(processed_stream.sparkSession, out, clock)
+    w = processed_stream.writeStream.foreachBatch(arrival_writer(out, interval, clock))
+    return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def arrival_reports(spark: SparkSession, out: ArrivalOutputs) -> DataFrame:
+    """The reports made so far, the starting row left out."""
+    return _published(spark, out.reports).where("batch_id >= 0")
+
+
+def value_counts_stream(processed_stream: DataFrame, interval: str = "60 seconds", watermark: str = "10 minutes") -> DataFrame:
+    """W3 on a stream, without loss: how often each latency occurs in each window.
+    The state holds a row for each distinct value of an open window, spread over all
+    tasks; in append mode a window's rows come out together when it closes."""
+    rows = lt.latency_rows(processed_stream).withColumn("pt", F.col("processing_time").cast("timestamp"))
+    return (rows.withWatermark("pt", watermark).groupBy(F.window("pt", interval).alias("w"), "latency_ms")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def closed_window_report(counts: DataFrame) -> DataFrame:
+    """``counts(w, latency_ms, n)`` of closed windows to the columns of
+    ``tumbling_report``, p95 and p99 exact."""
+    rows = counts.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+                         "latency_ms", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("_i")).drop("_i")
+    return lt.latency_report(rows, ["window_start", "window_end"])
+
+
+def start_window_reports(processed_stream: DataFrame, out_root: str, checkpoint: str, interval: str = "60 seconds",
+                         watermark: str = "10 minutes", trigger: dict | None = None) -> StreamingQuery:
+    """The exact report of each clock-aligned window, published once when the
+    watermark passes its end (``batch_id=<id>`` folders).  Records later than that are
+    dropped by the watermark, as in any append-mode window."""
+    def run(closed: DataFrame, batch_id: int) -> None:
+        closed = closed.persist()
+        try:
+            if not closed.isEmpty():
+                publish(closed_window_report(closed), out_root, batch_id)
+        finally:
+            closed.unpersist()
+    q = value_counts_stream(processed_stream, interval, watermark).writeStream.outputMode("append").foreachBatch(run)
+    return q.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def windowed_latency_stream(processed_stream: DataFrame, interval: str = "60 seconds",
                             watermark: str = "10 minutes") -> DataFrame:
     """W3 on a stream: event-time tumbling windows of processing time with a
     watermark: count / min / max / mean, and p95 / p99 from a mergeable sketch,
     so that a window's state stays bounded (ranks are off by at most 1/10,000 of
-    the window; exact percentiles are in ``tumbling_report`` and, per batch, in
-    ``start_latency_monitor``)."""
+    the window).  For exact ones, take ``start_window_reports``."""
     rows = lt.latency_rows(processed_stream).withColumn("pt", F.col("processing_time").cast("timestamp"))
     return (rows.withWatermark("pt", watermark)
             .groupBy(F.window("pt", interval).alias("w"))
