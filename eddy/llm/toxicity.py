@@ -3,17 +3,21 @@
 A word is the bag of its character n-grams (with word boundaries) and itself,
 each hashed to a row of an embedding table.  A document is the mean of all its
 bags' rows; a linear softmax scores it.  Table and softmax are trained jointly
-in numpy, on the driver, from a bounded sample of labelled rows.  A word
+in numpy, in one Spark task, from a bounded sample of labelled rows; only the
+buckets that training kept come back to the driver.  A word
 never seen in training still shares n-gram rows with the words it resembles.
 
 Training bound (parameters of ``fit``): at most ``per_class`` rows of each
 label, in the order of a hash of the id, with texts of up to ``max_chars``
-characters.  Scoring runs over whole texts in Spark tasks; since the model is
+characters.  Clean texts are learnt by two short excerpts each as well, since a
+few words of a clean text are clean too; without them short texts score by the
+chance of their few n-grams.  Scoring runs over whole texts in Spark tasks; since the model is
 linear, a word's contribution is one number, kept by word.
 """
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -28,6 +32,7 @@ CACHE = 400_000
 BITS = 20         # buckets (log2)
 SMOOTH = 30      # empty n-grams that every bag holds: short texts lean on the bias
 MIN_DOCS = 3      # sampled documents that a bucket must occur in to get an embedding
+EXCERPTS = ((1, 4), (4, 16))  # words of the excerpts that clean texts are learnt by as well
 MAX_STEP = 10.0   # longest gradient step of a round
 SLICE = 1 << 19   # bucket places that training sums at a time
 
@@ -64,15 +69,29 @@ def bag(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return at.astype(np.int32), (times / (len(all_) + SMOOTH)).astype(np.float32)
 
 
+def excerpts(text: bytes) -> list[bytes]:
+    """Runs of a few words, at places that depend on the text only."""
+    w = text.split()
+    rng = random.Random(zlib.crc32(text))
+    out = []
+    for low, high in EXCERPTS:
+        n = rng.randint(low, high)
+        at = rng.randrange(max(1, len(w) - n + 1))
+        out.append(b" ".join(w[at:at + n]))
+    return out
+
+
 class Model:
-    """Per-bucket logits (embedding row times softmax difference) and a bias."""
+    """Logits (embedding row times softmax difference) of the used buckets, 0 of
+    the others, and a bias.  Pickled it holds the used buckets only."""
 
-    def __init__(self, logit: np.ndarray, bias: float):
-        self.logit, self.bias, self.bits = logit, bias, (len(logit) - 1)
+    def __init__(self, used: np.ndarray, logit: np.ndarray, bias: float, bits: int = BITS):
+        self.used, self.values, self.bias, self.bits = used.astype(np.int32), logit, bias, (1 << bits) - 1
+        self.logit = None
         self._clear()
 
     def __getstate__(self):
-        return self.logit, self.bias
+        return self.used, self.values, self.bias, self.bits.bit_length()
 
     def __setstate__(self, s):
         self.__init__(*s)
@@ -96,6 +115,9 @@ class Model:
     def score(self, text: bytes) -> float:
         if len(self.seen) > CACHE:
             self._clear()
+        if self.logit is None:
+            self.logit = np.zeros(self.bits + 1)
+            self.logit[self.used] = self.values
         seen, place = self.seen, self._place
         at = np.fromiter((seen[w] if w in seen else place(w) for w in words(text)), dtype=np.int64)
         mean = self.total[at].sum() / (self.count[at].sum() + SMOOTH) if len(at) else 0.0
@@ -140,9 +162,8 @@ def train(data: Packed, labels: np.ndarray, dim: int = 4, rounds: int = 60, rate
     """Joint full-batch gradient descent with momentum on embedding table and
     softmax.  Label 1 weighs ``share`` of the loss whatever its number of rows.
     Without both labels the model says the only label there is (0 without rows)."""
-    size = 1 << data.bits
     if not len(labels) or labels.min() == labels.max():
-        return Model(np.zeros(size), 30.0 if len(labels) and labels[0] else -30.0)
+        return Model(np.zeros(0, dtype=np.int32), np.zeros(0), 30.0 if len(labels) and labels[0] else -30.0, data.bits)
     doc, feat, buckets = data.doc, data.feat, len(data.used)
     n, y = len(labels), labels
     weight = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum()).astype(np.float32)
@@ -164,9 +185,7 @@ def train(data: Packed, labels: np.ndarray, dim: int = 4, rounds: int = 60, rate
             v *= 0.9
             v += g * min(1.0, MAX_STEP / (float(np.sqrt((g * g).sum())) + 1e-12))
             q -= v
-    logit = np.zeros(size)
-    logit[data.used] = emb @ (out[:, 1] - out[:, 0])
-    return Model(logit, float(off[1] - off[0]))
+    return Model(data.used, (emb @ (out[:, 1] - out[:, 0])).astype(np.float64), float(off[1] - off[0]), data.bits)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 10_000, id_col: str = "doc_id",
@@ -174,7 +193,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: in
     """Train on a bounded sample of the labelled rows outside the held-out fold.
 
     Rows with a null id, text or label are not learnt from.  The sampled labels
-    (at most twice ``per_class``) are small and are broadcast to the texts.
+    (at most twice ``per_class``) are small and are broadcast to the texts.  An
+    id that several rows hold is learnt from once, by the text whose hash is
+    smallest, so that the bound holds for rows as well as for labels.  Without
+    any such row the model says 0.
     """
     known = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
              .where("_id is not null and _y in (0, 1)").withColumn("_f", fold("_id")).where(f"_f <> {HELD_OUT}"))
@@ -182,29 +204,37 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: in
     sample = known.where("_y = 1").orderBy(*order).limit(per_class).union(
         known.where("_y = 0").orderBy(*order).limit(per_class)).select("_id", "_y").distinct()
     picked = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-              .where(F.length("_text") <= max_chars).join(F.broadcast(sample), "_id"))
+              .where(F.length("_text") <= max_chars).join(F.broadcast(sample), "_id")
+              .groupBy("_id", "_y").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), F.col("_text"))).alias("_text")))
 
     def bags(batches):
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
-                got = [bag(t) for t in byte_texts(part, "_text")]
+                label = part.column("_y").to_pylist()
+                got = [(i, n, bag(x)) for i, t in enumerate(byte_texts(part, "_text"))
+                       for n, x in enumerate([t] if label[i] else [t, *excerpts(t)])]
+                of = pa.array([i for i, *_ in got], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), part.column("_y"), *(pa.array([x[i].tobytes() for x in got], pa.binary()) for i in (0, 1))],
-                    names=["_id", "_y", "at", "share"])
+                    [part.column("_id").take(of), part.column("_y").take(of), pa.array([n for _, n, _ in got], pa.int32()),
+                     *(pa.array([x[i].tobytes() for *_, x in got], pa.binary()) for i in (0, 1))],
+                    names=["_id", "_y", "part", "at", "share"])
+
+    def learn(batches):
+        """The one task that sees the whole sample."""
+        rows = [(i, y, n, np.frombuffer(a, dtype=np.int32), np.frombuffer(v, dtype=np.float32))
+                for b in batches for i, y, n, a, v in zip(*(c.to_pylist() for c in b.columns))]
+        rows.sort(key=lambda r: r[:3])
+        m = train(Packed([r[3:] for r in rows]), np.array([r[1] for r in rows], dtype=np.int64), **options)
+        yield pa.RecordBatch.from_arrays([pa.array([m.used.tobytes()], pa.binary()), pa.array([m.values.tobytes()], pa.binary()),
+                                          pa.array([m.bias], pa.float64())], names=["used", "logit", "bias"])
 
     kind = picked.schema["_id"].dataType.simpleString()
-    rows = small_batches(picked).mapInArrow(bags, f"_id {kind}, _y int, at binary, share binary").toArrow()
-    # Views of the Arrow buffers, no copies; the buffers go before training starts.
-    got = [(np.frombuffer(at.as_buffer(), dtype=np.int32), np.frombuffer(share.as_buffer(), dtype=np.float32))
-           for at, share in zip(rows["at"], rows["share"])]
-    ids, labels_ = rows["_id"].to_pylist(), rows["_y"].to_numpy().astype(np.int64)
-    del rows
-    order = sorted(range(len(got)), key=lambda i: (ids[i], labels_[i], len(got[i][0]), zlib.crc32(got[i][0])))
-    data = Packed([got[i] for i in order])
-    del got
-    pa.default_memory_pool().release_unused()
-    return train(data, labels_[order], **options)
+    rows = small_batches(picked).mapInArrow(bags, f"_id {kind}, _y int, part int, at binary, share binary")
+    got = rows.repartition(1).mapInArrow(learn, "used binary, logit binary, bias double").first()
+    if got is None:  # no rows, so no task
+        return train(Packed([]), np.empty(0, dtype=np.int64))
+    return Model(np.frombuffer(got.used, dtype=np.int32), np.frombuffer(got.logit, dtype=np.float64), got.bias)
 
 
 def _scored(frame: DataFrame, text_col: str, model: Model, schema: str, row) -> DataFrame:
