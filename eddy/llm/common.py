@@ -20,7 +20,7 @@ ALNUM = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in LOWER)
 TABLE_BITS = 25           # bits (log2) of a broadcast filter: 4 MB whatever the input
 BATCH_BYTES = 2 << 20     # bytes of rows that a Python task gets at a time
 BROADCAST_ROWS = 400_000       # rows of a few longs that may be broadcast; beyond, a plain join
-BROADCAST_ENTRIES = 4_000_000  # 32-bit entries of their lists that may go with them
+BROADCAST_ENTRIES = 4_000_000  # 32-bit entries of their lists, or four bytes of their strings, that may go with them
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,17 +37,22 @@ def _spot(keys: np.ndarray) -> np.ndarray:
 def key_table(keys: DataFrame, column: str) -> np.ndarray:
     """Bits set at the hashes of a column of longs: a filter of fixed size that
     lets every one of them through, and few others while it is sparse.  It only
-    ever saves work: an exact join follows wherever it is used."""
+    ever saves work: an exact join follows wherever it is used.
+
+    Every task sets bits of its own; the words they touch are joined by an
+    aggregation, so the driver gets each word once, whatever the tasks."""
     def run(batches):
         bits = np.zeros(1 << TABLE_BITS, dtype=bool)
         for batch in batches:
             bits[_spot(batch.column(0).to_numpy())] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+        words = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], names=["at", "word"])
 
-    out = np.zeros(1 << (TABLE_BITS - 3), dtype=np.uint8)
-    for r in keys.select(column).repartition(4).mapInArrow(run, "bits binary").toLocalIterator():
-        out |= np.frombuffer(r.bits, dtype=np.uint8)
-    return out
+    out = np.zeros(1 << (TABLE_BITS - 6), dtype=np.int64)
+    found = keys.select(column).mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    out[found["at"].to_numpy()] = found["word"].to_numpy()
+    return out.view(np.uint8)
 
 
 def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -56,9 +61,13 @@ def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def bounded(frame: DataFrame, list_col: str | None = None) -> DataFrame:
-    """Broadcast a small table (by its rows, and by the entries of its one list
-    column); leave a larger one to a plain join."""
-    entries = F.sum(F.size(list_col)) if list_col else F.lit(0)
+    """Broadcast a small table (by its rows, by the entries of its one list
+    column and the bytes of its strings); leave a larger one to a plain join."""
+    size = F.size(list_col) if list_col else F.lit(0)
+    for name, kind in frame.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0)) / 4
+    entries = F.sum(size)
     n = frame.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(entries, F.lit(0)).alias("entries")).first()
     return F.broadcast(frame) if n.rows <= BROADCAST_ROWS and n.entries <= BROADCAST_ENTRIES else frame
 
@@ -102,6 +111,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges: their number, sums, and two 64-bit hashes."""
+    h = [F.xxhash64("u", "v"), F.xxhash64("v", F.lit(1), "u")]
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")),
+                           *[F.bit_xor(x) for x in h]).first())
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: (node, root), one row
     for each node that has an edge, root being the smallest node reachable.
@@ -114,6 +130,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     e = (edges.where("a is not null and b is not null and a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = written(e, "edges")
+    seen = _fingerprint(e)
     while True:
         # Large star: every neighbour above a node hangs on the node's minimum.
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -128,9 +145,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         new = written(small, "star")
-        same = new.exceptAll(e).isEmpty() and e.exceptAll(new).isEmpty()
-        e = new
-        if same:
+        now = _fingerprint(new)
+        if now == seen:
             break
+        e, seen = new, now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

@@ -1,7 +1,8 @@
 """N-gram Jaccard join: pairs of texts whose word-shingle sets are alike.
 
 A text's set holds 64-bit hashes of its distinct 5-word shingles.  Equal sets
-are one class.  The search is exact (up to hash collisions):
+(by a 128-bit digest) are one class, named by the number of its first row.  The
+search is exact but for two shingles of one pair of texts that share a hash:
 
 1. *Prefixes.*  Two sets of similarity t share a member of their prefixes: the
    first ``n - ceil(t n) + 1`` members in any order that all sets agree on.  The
@@ -14,7 +15,9 @@ are one class.  The search is exact (up to hash collisions):
    step needs no pairs within a group.
 3. *Tiles.*  Classes of different groups that share a prefix member meet: by an
    equi-join if few hold the member, else in a tile of one member and one size
-   band, whose pairs are bounded in numpy without being emitted.
+   band, whose pairs are bounded in numpy without being emitted.  A large tile
+   is cut into blocks that Spark deals out by pairs; a group that fills blocks of
+   its own never meets itself.
 4. Every pair must pass the bitmap bound: a signature has one bit for each
    hashed shingle, so bits of one set that the other lacks are shingles it
    lacks, and the count bounds the overlap from above.
@@ -28,7 +31,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eddy.llm.common import LOWER, bounded, byte_texts, components, key_table, in_table, mix, small_batches, written
@@ -36,6 +39,7 @@ from eddy.llm.common import LOWER, bounded, byte_texts, components, key_table, i
 STARS = 6           # min-hashes that a class looks for a group by
 FEW = 128           # groups that may meet by a join at one prefix member
 SAMPLE = 16         # one text in so many counts for the order of shingles
+BLOCK = 1024        # classes in one block of a tile
 FREQUENT = 3        # sampled texts from which on a shingle is frequent
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                   0xC4CEB9FE1A85EC53], dtype=np.uint64)
@@ -87,6 +91,10 @@ def may_link(n1: int, bits1: bytes, n2: int, bits2: bytes, percent: int) -> bool
     return 100 * most >= percent * (n1 + n2 - most)
 
 
+def _text_key(text):
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def _frequent(texts: DataFrame, words: int) -> np.ndarray:
     def run(batches):
         known = _Words()
@@ -94,14 +102,14 @@ def _frequent(texts: DataFrame, words: int) -> np.ndarray:
             for t in byte_texts(batch, "text"):
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(t, known, words).view(np.int64))], names=["h"])
 
-    part = texts.where(F.pmod("tkey", F.lit(SAMPLE)) == 0).dropDuplicates(["tkey"]).select("text")
+    part = texts.where(F.pmod(F.xxhash64("tkey"), F.lit(SAMPLE)) == 0).dropDuplicates(["tkey"]).select("text")
     counts = part.mapInArrow(run, "h long").groupBy("h").count()
     return key_table(counts.where(f"count >= {FREQUENT}"), "h")
 
 
 def _signatures(texts: DataFrame, words: int, percent: int, frequent) -> DataFrame:
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "tkey", "n", "set_id", "bits", "stars", "prefix", "share"]
+    names = ["doc_id", "tkey", "n", "digest", "bits", "stars", "prefix", "share"]
 
     def run(batches):
         known = _Words()
@@ -117,7 +125,7 @@ def _signatures(texts: DataFrame, words: int, percent: int, frequent) -> DataFra
                         for col in (ids, bits, stars, prefix, share):
                             col.append(None)
                         continue
-                    ids.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
+                    ids.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     bits.append(bitmap(s))
                     stars.append([int((s * m).min().view(np.int64)) for m in _MULT[:STARS]])
                     late = in_table(table, s)
@@ -125,11 +133,11 @@ def _signatures(texts: DataFrame, words: int, percent: int, frequent) -> DataFra
                     first = len(s) - -(-percent * len(s) // 100) + 1
                     prefix.append(np.concatenate([s[~late], s[late]])[:first].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("tkey"), pa.array(n, pa.int64()), pa.array(ids, pa.int64()),
+                    [part.column("doc_id"), part.column("tkey"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()),
                      pa.array(bits, pa.binary()), pa.array(stars, pa.list_(pa.int64())),
                      pa.array(prefix, pa.list_(pa.int64())), pa.array(share, pa.float64())], names=names)
 
-    return texts.mapInArrow(run, f"doc_id {kind}, tkey long, n long, set_id long, bits binary, stars array<long>, "
+    return texts.mapInArrow(run, f"doc_id {kind}, tkey binary, n long, digest binary, bits binary, stars array<long>, "
                                  "prefix array<long>, share double")
 
 
@@ -152,16 +160,15 @@ def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     """The pairs that link, by exact intersection of their sorted arrays."""
     pairs = written(pairs, "jaccard-pairs")
     need = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    keys = bounded(written(need.join(classes.select("set_id", "tkey"), "set_id").select("tkey").distinct(), "jaccard-keys"))
+    keys = bounded(written(need.join(classes.select("set_id", "tkey"), "set_id"), "jaccard-keys"))
 
     def sets(batches):
         known = _Words()
         for batch in batches:
             rows = [shingles(t, known, words).tobytes() for t in byte_texts(batch, "text")]
-            ids = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.binary())], names=["id", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(rows, pa.binary())], names=["id", "s"])
 
-    arrays = (texts.join(keys, "tkey", "left_semi").select("text").mapInArrow(sets, "id long, s binary")
+    arrays = (texts.join(keys, "tkey").select("text", "set_id").mapInArrow(sets, "id long, s binary")
               .dropDuplicates(["id"]))
     arrays = written(arrays, "jaccard-sets")
     rows = pairs.join(arrays.toDF("a", "s1"), "a").join(arrays.toDF("b", "s2"), "b")
@@ -179,6 +186,30 @@ def _linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     return written(rows.mapInArrow(run, "a long, b long"), "jaccard-links")
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``rows(token, band, root, set_id, ...)`` with own block and the block pair
+    (i, j) they go to: all pairs of the tile's blocks, but for two of one group.
+    A tile of up to ``BLOCK`` rows is one block."""
+    count = rows.groupBy("token", "band", "root").agg(F.count(F.lit(1)).alias("c"))
+    tile = count.groupBy("token", "band").agg(
+        F.sum("c").alias("c"), F.coalesce(F.sum(F.when(F.col("c") <= BLOCK, F.col("c"))), F.lit(0)).alias("light")).where(f"c > {BLOCK}")
+    tile = written(tile.select("token", "band", F.ceil(F.col("light") / BLOCK).alias("lights")), "jaccard-tiles")
+    # Groups with blocks of their own: at most c / BLOCK a tile.
+    own = count.where(f"c > {BLOCK}").join(bounded(tile), ["token", "band"]).withColumn("own", F.ceil(F.col("c") / BLOCK))
+    order = Window.partitionBy("token", "band").orderBy("root")
+    own = own.withColumn("first", F.col("lights") + F.sum("own").over(order) - F.col("own"))
+    own = written(own.select("token", "band", "root", "own", "first"), "jaccard-own")
+    total = own.groupBy("token", "band").agg(F.sum("own").alias("heavy"))
+    tile = written(tile.join(total, ["token", "band"], "left").select(
+        "token", "band", "lights", (F.col("lights") + F.coalesce("heavy", F.lit(0))).alias("blocks")), "jaccard-blocks")
+    put = rows.join(bounded(tile), ["token", "band"], "left").join(bounded(own), ["token", "band", "root"], "left")
+    put = put.withColumn("b", F.when(F.col("blocks").isNull(), F.lit(0)).otherwise(F.coalesce(
+        F.col("first") + F.pmod(F.xxhash64("set_id"), F.col("own")), F.pmod(F.xxhash64("set_id"), F.greatest("lights", F.lit(1))))))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1))
+    put = put.withColumn("p", other).where("own is null or p < first or p >= first + own")
+    return put.withColumns({"i": F.least("b", "p"), "j": F.greatest("b", "p")}).drop("p", "own", "first", "lights", "blocks")
+
+
 def _tiles(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different groups in tiles of one prefix member and one
     size band.  A band spans one ratio of sizes that can still link, so partners
@@ -189,11 +220,13 @@ def _tiles(rows: DataFrame, percent: int) -> DataFrame:
         "token", "root", "set_id", "n", "bits",
         F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("home")),
                           F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("home")))).alias("t"))
-    tiles = (both.select("token", "t.band", "t.home", "root", "set_id", "n", "bits")
-             .repartition("token", "band").sortWithinPartitions("token", "band"))
+    both = _blocks(both.select("token", "t.band", "t.home", "root", "set_id", "n", "bits"))
+    key = ["token", "band", "i", "j"]
+    tiles = both.select(*key, "b", "home", "root", "set_id", "n", "bits").repartition(*key).sortWithinPartitions(*key)
 
     def pairs(tile):
-        home, root, ids, n = (np.array(x) for x in zip(*((r["home"], r["root"], r["set_id"], r["n"]) for r in tile)))
+        home, root, ids, n, b = (np.array(x) for x in zip(*((r["home"], r["root"], r["set_id"], r["n"], r["b"]) for r in tile)))
+        across = tile[0]["i"] < tile[0]["j"]   # two blocks: each has met itself elsewhere
         if not home.any() or root.min() == root.max():
             return
         size = min(len(r["bits"]) for r in tile)
@@ -201,7 +234,7 @@ def _tiles(rows: DataFrame, percent: int) -> DataFrame:
         order = np.flatnonzero(home)
         for i in order.tolist():
             # Partners: this band's later members and the band below.
-            with_ = np.flatnonzero((root != root[i]) & (~home | (ids > ids[i]))
+            with_ = np.flatnonzero((root != root[i]) & (~home | (ids > ids[i])) & ((b != b[i]) | (not across))
                                    & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
             if not len(with_):
                 continue
@@ -216,10 +249,10 @@ def _tiles(rows: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             out = set()
             for r in batch.to_pylist():
-                if (r["token"], r["band"]) != key:
+                if (now := (r["token"], r["band"], r["i"], r["j"])) != key:
                     if tile:
                         out.update(pairs(tile))
-                    tile, key = [], (r["token"], r["band"])
+                    tile, key = [], now
                 tile.append(r)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -240,13 +273,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     """
     spark = docs.sparkSession
     texts = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
-        "tkey", F.xxhash64("text"))
+        "tkey", _text_key(F.col("text")))
     frequent = spark.sparkContext.broadcast(_frequent(texts, words))
     sig = written(_signatures(texts, words, percent, frequent).withColumn("rid", F.monotonically_increasing_id()), "jaccard-sig")
-    full = sig.where("set_id is not null")
-    first = full.groupBy("set_id").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("c"))
-    copies = full.join(first.where("c > 1"), "set_id").where(full["rid"] != first["rid"]).select(full["rid"].alias("rid"))
-    classes = full.join(bounded(written(copies, "jaccard-copies")), "rid", "left_anti")
+    full = sig.where("digest is not null")
+    first = full.groupBy("digest").agg(F.min("rid").alias("set_id"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    first = bounded(written(first.select("digest", "set_id"), "jaccard-first"))
+    copies = bounded(written(full.join(first, "digest").where("rid <> set_id").select("rid", "set_id"), "jaccard-copies"))
+    classes = full.join(copies, "rid", "left_anti").withColumn("set_id", F.col("rid"))
 
     star = classes.select("set_id", "share", F.explode("stars").alias("star"))
     lead = (star.groupBy("star").agg(F.max(F.struct("share", "set_id")).alias("m"), F.min("set_id").alias("lo"),
@@ -284,7 +318,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             .select(F.col("s1").alias("a"), F.col("s2").alias("b")).distinct())
     big = rows.join(bounded(many), "token", "left_semi").join(classes.select("set_id", "bits"), "set_id")
     late = _linked(_passing(near, classes, percent).union(_tiles(big, percent)).distinct(), classes, texts, words, percent)
-    return sig.select("doc_id", "tkey", "n", "set_id"), early.union(late)
+    members = sig.select("doc_id", "tkey", "n", "rid", F.col("digest").isNotNull().alias("any")).join(copies, "rid", "left")
+    return members.select("doc_id", "tkey", "n", F.when(F.col("any"), F.coalesce("set_id", "rid")).alias("set_id")), early.union(late)
 
 
 def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
@@ -294,8 +329,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
     root = components(docs.sparkSession, links).withColumnRenamed("node", "set_id")
     named = low.join(root, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     name = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = named.join(name, "root").select(F.col("set_id").alias("_set"), "component_id")
-    return members.join(label, F.col("set_id") == F.col("_set"), "left").select(
+    label = written(named.join(name, "root").select(F.col("set_id").alias("_set"), "component_id"), "jaccard-labels")
+    return members.join(bounded(label), F.col("set_id") == F.col("_set"), "left").select(
         "doc_id", "tkey", F.col("n").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -313,10 +348,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, all columns kept:
-    one document of each group.  Rows without an id stay."""
+    """The rows of ``docs`` whose id is their component's, all columns kept,
+    whatever their names: one document of each group.  Rows without an id stay,
+    and so do rows that repeat the id that stays.  An empty table gives no rows."""
     gone = (_labelled(docs, id_col, text_col, words, percent).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")).distinct())
+            .select(F.col("doc_id").alias("gone_id"), F.col("tkey").alias("gone_key")).distinct())
     gone = bounded(written(gone, "jaccard-gone"))
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(gone, (docs[id_col] == F.col("_id")) & (key == F.col("_tkey")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), _text_key(F.coalesce(F.col(text_col), F.lit(""))).alias("key"))
+    return rows.join(gone, F.expr("id = gone_id and key = gone_key"), "left_anti").select("row.*")
