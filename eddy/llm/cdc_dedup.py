@@ -68,23 +68,25 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn("dkey", F.xxhash64("ord", "text"))
 
     def cut(batches):
-        names = ["digest", "ord", "dkey", "at", "end"]
+        names = ["digest", "more", "ord", "dkey", "at", "end"]
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 rows = []
                 for t, o, k in zip(byte_texts(part, "text"), part.column("ord").to_pylist(), part.column("dkey").to_pylist()):
                     at = 0
                     for e in chunk_ends(t):
-                        d = hashlib.blake2b(t[at:e], digest_size=8).digest()
-                        rows.append((int.from_bytes(d, "little", signed=True), o, k, at, e))
+                        d = hashlib.blake2b(t[at:e], digest_size=16).digest()
+                        rows.append((*(int.from_bytes(d[i:i + 8], "little", signed=True) for i in (0, 8)), o, k, at, e))
                         at = e
-                cols = zip(*rows) if rows else ((),) * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
-
-    chunks = written(frame.select("text", "ord", "dkey").mapInArrow(cut, "digest long, ord long, dkey long, at long, end long"),
-                     "cdc-chunks")
-    first = (chunks.groupBy("digest").agg(F.min(F.struct("ord", "at")).alias("first"), F.count(F.lit(1)).alias("c"))
-             .where("c > 1").select("digest", F.col("first.ord").alias("o"), F.col("first.at").alias("a")))
+                cols = zip(*rows) if rows else ((),) * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, [pa.int64()] * 4 + [pa.int32()] * 2)],
+                                                 names=names)
+
+    # The digest has 128 bits, in two columns.
+    chunks = written(frame.select("text", "ord", "dkey").mapInArrow(
+        cut, "digest long, more long, ord long, dkey long, at int, end int"), "cdc-chunks")
+    first = (chunks.groupBy("digest", "more").agg(F.min(F.struct("ord", "at")).alias("first"), F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("digest", "more", F.col("first.ord").alias("o"), F.col("first.at").alias("a")))
     first = written(first, "cdc-first")
     table = spark.sparkContext.broadcast(key_table(first, "digest"))
 
@@ -92,10 +94,10 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             yield batch.filter(pa.array(in_table(table.value, batch.column(0).to_numpy())))
 
-    later = (chunks.mapInArrow(sift, chunks.schema).join(first, "digest").where("ord > o or ord = o and at > a")
-             .select("dkey", F.col("at").alias("s"), F.col("end").alias("e")))
+    later = (chunks.mapInArrow(sift, chunks.schema).join(first, ["digest", "more"]).where("ord > o or ord = o and at > a")
+             .select("dkey", "ord", F.col("at").alias("s"), F.col("end").alias("e")))
     spans = merged_lists(later, "cdc-spans", MIN_RUN)
-    return frame.join(bounded(spans, "_spans"), F.col("dkey") == F.col("_dkey"), "left").select(
+    return frame.join(bounded(spans, "_spans"), (F.col("dkey") == F.col("_dkey")) & (F.col("ord") == F.col("_ord")), "left").select(
         "doc_id", "text", F.col("_spans").alias("spans"))
 
 

@@ -10,9 +10,14 @@ windows have equal anchors at the same offset, so they meet under one key, and
 consecutive windows mostly share an anchor, so a document has few of them.
 Anchors that occur once are done with; for the others the windows' bytes are
 sent to the key.  There a suffix array over the window starts is built (rank
-doubling, to the depth of a window).  The longest previous factor of a start
-reaches ``LENGTH`` exactly if the previous or the next smaller position in
-suffix order is inside its run of suffixes that agree on ``LENGTH`` bytes.
+doubling, to the depth of a window) with the common prefixes of neighbours.  For
+every start, the previous and the next start in suffix order that are earlier in
+the corpus are found; the longer of the common prefixes with these two is its
+longest previous factor, and windows whose factor reaches ``LENGTH`` go.
+
+An anchor that very many windows hold would be one group in one task.  Windows
+of such anchors get a second, longer content-chosen string as part of their key:
+equal windows still meet, others around the same anchor go elsewhere.
 
 Whole copies of a text need none of this: all but the first id go at once.  And
 runs of windows that a task has sent before, byte for byte, are not sent again,
@@ -32,30 +37,33 @@ from eddy.llm.common import bounded, byte_texts, in_table, key_table, mix, slice
 
 LENGTH = 100
 GRAM = 16
+LONG_GRAM = 64    # of the second string
+HOT = 2000        # occurrences beyond which an anchor's windows are dealt by a second string
 LAST = 2**63 - 1  # stands for a null id: after all others
 TILE = 1 << 18    # bytes of contexts in one suffix array, but for a larger group
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-def _gram_hash(buf: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes from each position."""
+def _gram_hash(buf: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes (a power of two) from each position."""
     h, m = _BYTE[buf], 1
-    while m < GRAM:
+    while m < gram:
         h = h[:-m] * np.uint64(pow(0x9E3779B97F4A7C15, m, 1 << 64)) + h[m:]
         m *= 2
     return mix(h)
 
 
-def anchors(texts: list[bytes], length: int = LENGTH):
+def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
     """(text number, first window, last window, anchor hash) of every run of
-    windows with one anchor, window starts counted in their text."""
+    windows with one anchor of ``gram`` bytes, window starts counted in their
+    text."""
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
     empty = np.empty(0, dtype=np.int64)
     if len(buf) < length:
         return empty, empty, empty, empty
-    val = _gram_hash(buf)
-    low, at, span, wide = val, np.arange(len(val)), 1, length - GRAM + 1
+    val = _gram_hash(buf, gram)
+    low, at, span, wide = val, np.arange(len(val)), 1, length - gram + 1
     while span < wide:
         step = min(span, wide - span)
         right = low[step:] < low[:-step]
@@ -74,38 +82,78 @@ def anchors(texts: list[bytes], length: int = LENGTH):
     return d, ok[new] - begin[d], ok[last] - begin[d], val[at[new]].view(np.int64)
 
 
-def repeated(contexts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each context, which of its windows also start at a smaller (doc,
-    start): by suffix array and previous/next smaller positions."""
-    sizes = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts))
-    buf = np.frombuffer(b"".join(contexts), dtype=np.uint8)
-    # Ranks of 8 bytes, then of 16, 32, ... (a start too near the end is no window's).
+def _ranks(buf: np.ndarray, length: int) -> dict[int, np.ndarray]:
+    """For widths 8, 16, 32, ... up to ``length``: rank of the bytes from each
+    position among all strings of that width.  8 holds the bytes themselves."""
     word = np.zeros(len(buf) - 7, dtype=np.uint64)
     for i in range(8):
         word = (word << np.uint64(8)) | buf[i:len(buf) - 7 + i]
-    rank, width = np.unique(word, return_inverse=True)[1].astype(np.int64), 8
+    out, width = {8: word}, 8
+    rank = np.unique(word, return_inverse=True)[1].astype(np.int64)
     while 2 * width <= length:
         rank = np.unique((rank[:-width] << 32) | rank[width:], return_inverse=True)[1].astype(np.int64)
         width *= 2
+        out[width] = rank
+    return out
+
+
+def _common(ranks: dict[int, np.ndarray], p: np.ndarray, q: np.ndarray, length: int) -> np.ndarray:
+    """Length of the common prefix of the strings at p and q, ``length`` at most."""
+    got = np.zeros(len(p), dtype=np.int64)
+    for width in sorted(ranks, reverse=True):
+        at = np.flatnonzero(got + width <= length)
+        same = ranks[width][p[at] + got[at]] == ranks[width][q[at] + got[at]]
+        got[at[same]] += width
+    # Fewer than 8 bytes further they differ or end.
+    word, last = ranks[8], len(ranks[8]) - 1
+    back = np.maximum(0, np.maximum(p, q) + got - last)     # read the last word there is, shifted
+    x = (word[p + got - back] << (back * 8).astype(np.uint64)) ^ (word[q + got - back] << (back * 8).astype(np.uint64))
+    zeros = np.zeros(len(p), dtype=np.int64)
+    for bits in (32, 16, 8):
+        clear = (x >> np.uint64(64 - bits)) == 0
+        zeros += np.where(clear, bits // 8, 0)
+        x = np.where(clear, x << np.uint64(bits), x)
+    return np.minimum(length, got + np.minimum(zeros, 8 - back))
+
+
+def _smaller_before(place: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each i the nearest j < i with a smaller place (-1 if none), and the
+    least ``lcp`` on the way (lcp[i] is that of i-1 and i), 0 if none."""
+    at, low = np.arange(-1, len(place) - 1), lcp.copy()
+    todo = np.flatnonzero(at >= 0)
+    while len(todo):
+        # Everything between at[i] and i is no smaller than i; so is at[i], here.
+        todo = todo[place[at[todo]] >= place[todo]]
+        via = at[todo]
+        low[todo], at[todo] = np.minimum(low[todo], low[via]), at[via]
+        todo = todo[at[todo] >= 0]
+    low[at < 0] = 0
+    return at, low
+
+
+def previous_factors(contexts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """Longest previous factor of every window start of every context, capped at
+    ``length``: the longest string there that also starts at a smaller (doc,
+    start).  Context i starts at byte ``start[i]`` of document ``doc[i]``."""
+    sizes = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts))
+    ranks = _ranks(np.frombuffer(b"".join(contexts), dtype=np.uint8), length)
+    width = max(ranks)
     number = sizes - length + 1
     of = np.repeat(np.arange(len(contexts)), number)
     off = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
     at = (np.cumsum(sizes) - sizes)[of] + off
-    suffix = (rank[at] << 32) | rank[at + length - width]
-    order = np.argsort(suffix, kind="stable")
+    rank = ranks[width].astype(np.int64) if width > 8 else np.unique(ranks[8], return_inverse=True)[1].astype(np.int64)
+    order = np.argsort((rank[at] << 32) | rank[at + length - width], kind="stable")     # the suffix array
     # Position of each window in the order of (doc, start); equal ones are equal.
     place = (np.unique(doc, return_inverse=True)[1].astype(np.int64)[of] << 32) | (start[of] + off)
-    place = np.unique(place, return_inverse=True)[1].astype(np.int64)[order]
-    same = np.concatenate([[False], np.diff(suffix[order]) == 0])
-    run = np.cumsum(~same)
-    # A smaller position before or after it in its run: running minima that
-    # start anew with each run.
-    big = np.int64(len(of) + 1)
-    before = np.minimum.accumulate(place - run * big) + run * big
-    after = (np.minimum.accumulate((place + run * big)[::-1]))[::-1] - run * big
-    hit = np.zeros(len(of), dtype=bool)
-    hit[order] = (before < place) | (after < place)
-    return np.split(hit, np.cumsum(number)[:-1])
+    place = place[order]
+    sa = at[order]
+    lcp = np.concatenate([[0], _common(ranks, sa[:-1], sa[1:], length)])
+    before = _smaller_before(place, lcp)[1]
+    after = _smaller_before(place[::-1], np.concatenate([[0], lcp[:0:-1]]))[1][::-1]
+    lpf = np.zeros(len(of), dtype=np.int64)
+    lpf[order] = np.maximum(before, after)
+    return np.split(lpf, np.cumsum(number)[:-1])
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -124,18 +172,19 @@ def merged(spans) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """ord (id, null last), text, dkey (of id and text), low (smallest ord that
-    has the text, where more than one has)."""
-    frame = small_batches(docs).withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn(
-        "_ord", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)))
+def _prepared(docs: DataFrame, id_col: str, text_col: str, *others) -> DataFrame:
+    """ord (id, null last), text, dkey (a hash; with ord it names the document), low
+    (smallest ord that has the text, where more than one has), and ``others``.
+    All columns are the operator's own, whatever those of ``docs`` are called."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    frame = small_batches(docs).select(text.alias("_text"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_ord"), *others)
     frame = frame.withColumn("_dkey", F.xxhash64("_ord", "_text")).withColumn("_md5", F.unhex(F.md5(F.col("_text").cast("binary"))))
     same = frame.groupBy("_md5").agg(F.min("_ord").alias("_low"), F.max("_ord").alias("_high")).where("_low <> _high")
     return frame.join(bounded(written(same.select("_md5", "_low"), "suffix-copies")), "_md5", "left")
 
 
 def _spans(prepared: DataFrame, length: int) -> DataFrame:
-    """(_dkey, _spans): removed spans of the texts' first copies."""
+    """(_dkey, _ord, _spans): removed spans of the texts' first copies."""
     first = prepared.where("_low is null or _low = _ord").select("_dkey", "_ord", "_text")
     spark = prepared.sparkSession
 
@@ -143,28 +192,33 @@ def _spans(prepared: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "_text", TILE):
                 d, lo, hi, key = anchors(byte_texts(part, "_text"), length)
-                yield pa.RecordBatch.from_arrays([pa.array(key), part.column("_dkey").take(pa.array(d)), pa.array(lo), pa.array(hi)],
-                                                 names=["key", "dkey", "lo", "hi"])
-
-    found = written(first.select("_dkey", "_text").mapInArrow(find, "key long, dkey long, lo long, hi long"), "suffix-anchors")
-    shared = written(found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "suffix-shared")
+                of = pa.array(d)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), part.column("_dkey").take(of), part.column("_ord").take(of), pa.array(lo.astype(np.int32)),
+                     pa.array(hi.astype(np.int32))], names=["key", "dkey", "ord", "lo", "hi"])
+
+    found = written(first.mapInArrow(find, "key long, dkey long, ord long, lo int, hi int"), "suffix-anchors")
+    shared = written(found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+                     .select("key", (F.col("c") > HOT).alias("hot")), "suffix-shared")
     table = spark.sparkContext.broadcast(key_table(shared, "key"))
 
     def sift(batches):
         for batch in batches:
             yield batch.filter(pa.array(in_table(table.value, batch.column(0).to_numpy())))
 
-    kept = found.mapInArrow(sift, found.schema).join(shared, "key", "left_semi")
-    lists = written(kept.groupBy("dkey").agg(F.collect_list(F.struct("lo", "hi", "key")).alias("at")), "suffix-lists")
-    owners = first.join(bounded(lists.select(F.col("dkey").alias("_dkey"))), "_dkey", "left_semi")
-    work = owners.join(lists.withColumnRenamed("dkey", "_dkey"), "_dkey").sortWithinPartitions("_ord")
+    kept = found.mapInArrow(sift, found.schema).join(shared, "key")
+    lists = written(kept.groupBy("dkey", "ord").agg(F.collect_list(F.struct("lo", "hi", "key", "hot")).alias("at")), "suffix-lists")
+    lists = lists.withColumnsRenamed({"dkey": "_dkey", "ord": "_ord"})
+    owners = first.join(bounded(lists.select("_dkey", "_ord")), ["_dkey", "_ord"], "left_semi")
+    work = owners.join(lists, ["_dkey", "_ord"]).sortWithinPartitions("_ord")
 
     def contexts(batches):
         names = ["key", "dkey", "ord", "lo", "n", "bytes"]
+        long = max(GRAM, min(LONG_GRAM, 1 << ((3 * length // 4).bit_length() - 1)))
         sent: dict[bytes, tuple[int, int]] = {}
         for batch in batches:
             for part in slices(batch, "_text", TILE):
-                rows = []
+                rows, hot = [], []
                 for t, k, o, at in zip(byte_texts(part, "_text"), part.column("_dkey").to_pylist(), part.column("_ord").to_pylist(),
                                        part.column("at").to_pylist()):
                     for x in at:
@@ -174,7 +228,12 @@ def _spans(prepared: DataFrame, length: int) -> DataFrame:
                             rows.append((k, k, o, lo, hi - lo + 1, None))
                         else:
                             sent[c] = (o, lo)
-                            rows.append((x["key"], k, o, lo, hi - lo + 1, c))
+                            (hot if x["hot"] else rows).append((x["key"], k, o, lo, hi - lo + 1, c))
+                if hot:
+                    number, lo, hi, second = anchors([r[5] for r in hot], length, long)
+                    for i, a, b, s in zip(number.tolist(), lo.tolist(), hi.tolist(), second.tolist()):
+                        key, k, o, at, _, c = hot[i]
+                        rows.append((key ^ s, k, o, at + a, b - a + 1, c[a:b + length]))
                 if len(sent) > 100_000:
                     sent.clear()
                 if rows:
@@ -197,26 +256,26 @@ def _spans(prepared: DataFrame, length: int) -> DataFrame:
         left = []
         for r in rows:
             if best[r[0], r[5]] < (r[2], r[3]):
-                out.append((r[1], r[3], r[3] + r[4] - 1 + length))
+                out.append((r[1], r[2], r[3], r[3] + r[4] - 1 + length))
             elif keys[r[0]] > 1:
                 left.append(r)
         if left:
-            flags = repeated([r[5] for r in left], np.array([r[2] for r in left]), np.array([r[3] for r in left]), length)
-            for r, f in zip(left, flags):
-                out += [(r[1], r[3] + a, r[3] + b - 1 + length) for a, b in _runs(f)] if f.any() else []
+            factors = previous_factors([r[5] for r in left], np.array([r[2] for r in left]), np.array([r[3] for r in left]), length)
+            for r, f in zip(left, factors):
+                out += [(r[1], r[2], r[3] + a, r[3] + b - 1 + length) for a, b in _runs(f >= length)]
         return out
 
     def cover(batches):
         def batch_of(out):
-            cols = zip(*out) if out else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["dkey", "s", "e"])
+            cols = zip(*out) if out else ((),) * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["dkey", "ord", "s", "e"])
 
         held, size = [], 0
         for batch in batches:
             out = []
             for r in zip(*(c.to_pylist() for c in batch.columns)):
                 if r[5] is None:
-                    out.append((r[1], r[3], r[3] + r[4] - 1 + length))
+                    out.append((r[1], r[2], r[3], r[3] + r[4] - 1 + length))
                     continue
                 if size > TILE and r[0] != held[-1][0]:
                     out += solve(held)
@@ -226,27 +285,29 @@ def _spans(prepared: DataFrame, length: int) -> DataFrame:
             yield batch_of(out)
         yield batch_of(solve(held))
 
-    return merged_lists(dealt.mapInArrow(cover, "dkey long, s long, e long"), "suffix-spans")
+    return merged_lists(dealt.mapInArrow(cover, "dkey long, ord long, s long, e long"), "suffix-spans")
 
 
 def merged_lists(spans: DataFrame, name: str, least: int = 1) -> DataFrame:
-    """``spans(dkey, s, e)`` to (_dkey, _spans): maximal runs of at least
-    ``least`` bytes as one list of starts and ends in turn."""
+    """``spans(dkey, ord, s, e)`` to (_dkey, _ord, _spans): maximal runs of at
+    least ``least`` bytes as one list of starts and ends in turn."""
     def run(batches):
         for batch in batches:
             out = []
             for x in batch.column("at").to_pylist():
                 out.append([v for s, e in merged((y["s"], y["e"]) for y in x) if e - s >= least for v in (s, e)])
-            yield pa.RecordBatch.from_arrays([batch.column("_dkey"), pa.array(out, pa.list_(pa.int32()))], names=["_dkey", "_spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("_dkey"), batch.column("_ord"), pa.array(out, pa.list_(pa.int32()))],
+                                             names=["_dkey", "_ord", "_spans"])
 
-    lists = spans.groupBy(F.col("dkey").alias("_dkey")).agg(F.collect_list(F.struct("s", "e")).alias("at"))
-    return written(lists.mapInArrow(run, "_dkey long, _spans array<int>").where("size(_spans) > 0"), name)
+    lists = spans.groupBy(F.col("dkey").alias("_dkey"), F.col("ord").alias("_ord")).agg(F.collect_list(F.struct("s", "e")).alias("at"))
+    return written(lists.mapInArrow(run, "_dkey long, _ord long, _spans array<int>").where("size(_spans) > 0"), name)
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    prepared = _prepared(docs, id_col, text_col)
-    spans = _spans(prepared, length)
-    return prepared.join(bounded(spans, "_spans"), "_dkey", "left").withColumn("_later", F.coalesce(F.col("_ord") > F.col("_low"), F.lit(False)))
+def _marked(docs: DataFrame, id_col: str, text_col: str, length: int, *others) -> DataFrame:
+    prepared = _prepared(docs, id_col, text_col, *others)
+    spans = _spans(prepared.drop("_row", "_doc_id"), length)
+    return prepared.join(bounded(spans, "_spans"), ["_dkey", "_ord"], "left").withColumn(
+        "_later", F.coalesce(F.col("_ord") > F.col("_low"), F.lit(False)))
 
 
 def _row_spans(text: bytes, later: bool, spans, length: int) -> list[tuple[int, int]]:
@@ -260,10 +321,11 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
 
     Null text counts as empty.  Rows with equal ids count as one document's
     position order: equal starts in them are not earlier than each other.  A
-    null id comes after all ids.  An empty table gives no rows.
+    null id comes after all ids.  Ids are whole numbers, or strings of such.  An
+    empty table gives no rows.
     """
-    rows = _marked(docs, id_col, text_col, length).select(
-        F.col(id_col).alias("doc_id"), "_text", "_later", F.when(~F.col("_later"), F.col("_spans")).alias("_spans"))
+    rows = _marked(docs, id_col, text_col, length, F.col(id_col).alias("_doc_id")).select(
+        F.col("_doc_id").alias("doc_id"), "_text", "_later", F.when(~F.col("_later"), F.col("_spans")).alias("_spans"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -289,18 +351,21 @@ def _cut(text: bytes, runs) -> bytes:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated bytes taken out of their texts (a character
-    cut in part is dropped whole); all other columns and rows stay."""
+    cut in part is dropped whole); all other columns and rows stay, whatever
+    their names.  Null texts stay null; an empty table gives no rows."""
     columns, schema = docs.columns, docs.schema
-    rows = _marked(docs, id_col, text_col, length)
-    rows = rows.select(*columns, "_later", F.when(~F.col("_later"), F.col("_spans")).alias("_spans"))
+    rows = _marked(docs, id_col, text_col, length, F.struct("*").alias("_row"))
+    rows = rows.select("_row", "_later", F.when(~F.col("_later"), F.col("_spans")).alias("_spans"))
 
     def run(batches):
         for batch in batches:
+            fields = batch.column("_row").flatten()
+            texts = fields[columns.index(text_col)]
             out = []
-            for t, later, s in zip(batch.column(text_col).cast(pa.binary()).to_pylist(), batch.column("_later").to_pylist(),
+            for t, later, s in zip(texts.cast(pa.binary()).to_pylist(), batch.column("_later").to_pylist(),
                                    batch.column("_spans").to_pylist()):
                 out.append(None if t is None else _cut(t, _row_spans(t, later, s, length)).decode(errors="ignore"))
-            part = batch.select(columns)
-            yield part.set_column(columns.index(text_col), text_col, pa.array(out, part.schema.field(text_col).type))
+            fields[columns.index(text_col)] = pa.array(out, texts.type)
+            yield pa.RecordBatch.from_arrays(fields, names=columns)
 
     return rows.mapInArrow(run, schema)
