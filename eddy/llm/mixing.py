@@ -85,21 +85,23 @@ def _plan(base: DataFrame, weights, percent: int, max_epochs: int) -> DataFrame:
 def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``rows(..., _source, _size, _hash, _bucket)`` with source_size, target and
     taken.  Only the rows of a source's boundary bucket are put in order."""
-    keep = [c for c in rows.columns if c not in ("_source", "_hash", "_bucket")]
+    keep = [c for c in rows.columns if c not in ("_source", "_hash", "_bucket", "_tie")]
     both = rows.join(bounded(plan), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
     whole = F.col("_whole") * F.col("_size")
     more = F.when(F.col("_before") < F.col("_quota"), F.col("_size")).otherwise(0)
     plain = both.where("not _edge").select(*keep, "source_size", "target", (whole + more).cast("long").alias("taken"))
-    order = Window.partitionBy("_source", "_bucket").orderBy("_hash", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    ties = [c for c in ("_tie",) if c in rows.columns]
+    order = Window.partitionBy("_source", "_bucket").orderBy("_hash", "_size", *ties).rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("_quota") - F.col("_before") - F.coalesce(F.sum("_size").over(order), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("_size"), left))
     edges = both.where("_edge").select(*keep, "source_size", "target", (whole + part).cast("long").alias("taken"))
     return plain.unionByName(edges)
 
 
-def _base(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    return docs.withColumns({"_source": F.col(source_col).cast("string"), "_size": word_count(text_col),
-                             "_hash": _key(id_col, seed)}).withColumn("_bucket", F.substring("_hash", 1, 3))
+def _base(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, *others) -> DataFrame:
+    """The operator's own columns, whatever those of ``docs`` are called, and ``others``."""
+    return docs.select(F.col(source_col).cast("string").alias("_source"), word_count(text_col).alias("_size"),
+                       _key(id_col, seed).alias("_hash"), *others).withColumn("_bucket", F.substring("_hash", 1, 3))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -113,9 +115,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     their order does not matter.  An empty table gives no rows.  Reruns agree:
     the hash depends on the seed and the id only.
     """
-    base = _base(docs, id_col, text_col, source_col, seed).select(
-        F.col(id_col).alias("doc_id"), "_source", "_size", "_hash", "_bucket")
-    base = written(base, "mix")
+    base = written(_base(docs, id_col, text_col, source_col, seed, F.col(id_col).alias("doc_id")), "mix")
     return _taken(base, _plan(base, weights, percent, max_epochs)).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target", "taken")
 
@@ -125,16 +125,20 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix itself: rows of ``docs``, each as often as it is taken.  A source's
     boundary document comes once more with its first words only (white space
     between them kept).  Documents that are not taken, and those without words,
-    are left out.  Columns as in ``docs``.
+    are left out.  Columns as in ``docs``, whatever their names.  Rows that
+    repeat an id and differ in their text stand in the order of a hash of it, so
+    reruns agree.  An empty table gives no rows.
     """
-    base = _base(docs, id_col, text_col, source_col, seed)
+    base = _base(docs, id_col, text_col, source_col, seed, F.struct("*").alias("_row"),
+                 F.md5(F.col(text_col).cast("binary")).alias("_tie"))
     plan = _plan(base.select("_source", "_size", "_bucket"), weights, percent, max_epochs)
     rows = _taken(base, plan).where("taken > 0")
     whole = rows.where("taken >= _size").withColumn("_i", F.explode(F.sequence(F.lit(1), F.expr("int(taken div _size)"))))
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), F.lit(1)),
+    text = F.col("_row").getField(text_col)
+    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), F.lit(1)),
                                  F.lit(1), (F.col("taken") % F.col("_size")).cast("int")), "")
-    part = rows.where("taken % _size > 0").withColumn(text_col, first)
-    return whole.select(*docs.columns).unionByName(part.select(*docs.columns))
+    part = rows.where("taken % _size > 0").withColumn("_row", F.col("_row").withField(f"`{text_col}`", first))
+    return whole.select("_row.*").unionByName(part.select("_row.*"))
 
 
 # DuckDB statement for the rows of ``mix`` over ``documents`` (same constants).
