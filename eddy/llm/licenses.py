@@ -11,6 +11,7 @@ small gaps; a chain's covered share of the template is its score.
 
 from __future__ import annotations
 
+from bisect import bisect
 from itertools import groupby
 
 import numpy as np
@@ -71,6 +72,7 @@ class Automaton:
             self.lengths.append(len(self._add(words(text.encode()), k)))
         for text, label in phrases.items():
             self.phrases.append((len(self._add(words(text.encode()), None)), label))
+        self.shortest = min([MIN_RUN, *(n for n, _ in self.phrases)])   # shorter runs hold nothing that counts
         order = sorted(range(1, len(self.size)), key=self.size.__getitem__, reverse=True)
         for s in order:  # positions of a state hold those of all states below it
             if self.link[s] >= 0:
@@ -130,7 +132,7 @@ class Automaton:
         at = np.flatnonzero(np.diff(np.concatenate([[False], known, [False]]).astype(np.int8)))
         places, matches = [], []
         for a, b in zip(at[::2].tolist(), at[1::2].tolist()):
-            if b - a < 2:
+            if b - a < self.shortest:
                 continue
             s = n = 0
             for i in range(a, b):
@@ -151,12 +153,13 @@ class Automaton:
         return places, matches
 
     def chains(self, matches) -> list[tuple[str, int, int, float]]:
-        """(label, first word, one past the last word, covered share) of the
-        best chain of each template."""
+        """(label, first word, one past the last word, covered share) of each
+        template's chains that don't overlap, best first: all that cover at least
+        ``MIN_COVER``, or the best one if none does."""
         found = sorted((t, a, end - n, n) for a, n, s in matches for t, end in self.ends[s])
         spans = []
         for t, group in groupby(found, key=lambda x: x[0]):
-            best: tuple[int, int, int] | None = None
+            ends: list[tuple[int, int, int]] = []        # covered, first word, one past the last
             tails: list[tuple[int, int, int, int]] = []  # doc end, template end, covered, first word
             for _, a, b, n in group:
                 tails = [x for x in tails if a - x[0] <= MAX_GAP]
@@ -166,10 +169,17 @@ class Automaton:
                     if over < n and abs((a - d) - (b - e)) <= MAX_GAP and b + n > e and c + n - over > covered:
                         covered, first = c + n - over, f
                 tails.append((a + n, b + n, covered, first))
-                if best is None or covered > best[0]:
-                    best = (covered, first, a + n)
-            if best:
-                spans.append((self.labels[t], best[1], best[2], min(1.0, best[0] / self.lengths[t])))
+                ends.append((covered, first, a + n))
+            ends.sort(key=lambda x: (-x[0], x[1], x[2]))
+            taken: list[tuple[int, int]] = []            # disjoint, by first word
+            for covered, first, end in ends:
+                if taken and covered < MIN_COVER * self.lengths[t]:
+                    break
+                at = bisect(taken, (first, end))
+                if (at and taken[at - 1][1] > first) or (at < len(taken) and taken[at][0] < end):
+                    continue
+                taken.insert(at, (first, end))
+                spans.append((self.labels[t], first, end, min(1.0, covered / self.lengths[t])))
         return spans
 
 
@@ -180,7 +190,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     ``MIN_COVER``), score (1 with a base place, else the best covered share) and
     spans (label, start, end, cover).
 
-    Null and empty texts have no words, no label and score 0.  Ids may be null
+    Spans of one template are disjoint; a licence that stands in a text twice
+    gives two.  Null and empty texts have no words, no label and score 0.  Ids may be null
     or repeated; an empty table gives no rows.
     """
     frame = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
