@@ -4,16 +4,20 @@ Build.  Distinct vectors start with the best neighbours inside the leaves of a
 few random-hyperplane trees.  Then, round by round, Spark joins bring the
 neighbours and reverse neighbours of each vector together; any two of them are
 neighbours of neighbours, and a pair closer than one's worst neighbour replaces
-it.  Rounds stop when few lists change.  Vectors travel whole, packed without
+it.  Two links that met in an earlier round don't meet again, and vectors whose
+links are all old bring no one together.  Rounds go on until few lists change;
+lists only get better, so they end.  Vectors travel whole, packed without
 loss, and distances are computed in double precision.
 
 Search.  A beam of the nearest vectors found so far starts at the query's own
 place in the graph.  Each round joins the beam's unexpanded vectors with the
 graph, scores the new ones on the original vectors and keeps the best ``BEAM``;
-it ends when nothing in the beam is left to expand.
+it ends when nothing in the beam is left to expand (a vector leaves the beam for
+good, so it ends).
 
-The trees' hyperplanes and thresholds are fitted on ``SAMPLE`` vectors; every
-vector is indexed.  Equal vectors are one node; for each, the ``top + 1`` smallest
+Every vector length has trees of its own.  Their hyperplanes come from a seed and
+the length; the thresholds are medians of ``SAMPLE`` vectors for the ``FITTED``
+commonest lengths and zero for others.  Every vector is indexed.  Equal vectors are one node; for each, the ``top + 1`` smallest
 ids stand for its rows, more can't be among the ``top`` nearest of a query.
 """
 
@@ -31,11 +35,10 @@ NEIGHBOURS = 20    # list length
 TREES = 4
 LEAF = 400         # vectors in a leaf, about
 SAMPLE = 1000      # vectors that fit the trees' thresholds
-ROUNDS = 6
+FITTED = 16        # lengths whose thresholds are fitted
 SETTLED = 0.02     # share of changed list places that ends the rounds
 PER_JOIN = 6       # improvements of one vector that one meeting reports
 BEAM = 128
-STEPS = 20
 
 
 def _pack(vec: list[float]) -> bytes:
@@ -56,18 +59,22 @@ def _unpack(packed: list[bytes]) -> np.ndarray:
     return np.array([np.frombuffer(p, dtype=np.float32 if p[:1] == b"f" else np.float64, offset=1) for p in packed], dtype=np.float64)
 
 
-def _nearest(x: np.ndarray, rows: slice, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _nearest(x: np.ndarray, rows: slice, k: int, old: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Of each of these rows of x, the places and squared distances of the k
-    nearest other rows.  Products (after centring) choose, differences score."""
+    nearest other rows.  Products (after centring) choose, differences score.  Two
+    ``old`` rows are infinitely far from each other."""
     c = x - x.mean(axis=0)
     own = c[rows]
     d = (own * own).sum(1)[:, None] + (c * c).sum(1) - 2 * (own @ c.T)
     d[np.arange(len(d)), rows.start + np.arange(len(d))] = np.inf
+    if old is not None:
+        d[np.ix_(old[rows], old)] = np.inf
     near = np.argpartition(d, k - 1, axis=1)[:, :k]
     got = np.empty(near.shape)
     for i in range(k):
         left = x[rows] - x[near[:, i]]
         got[:, i] = (left * left).sum(1)
+    got[np.isinf(np.take_along_axis(d, near, 1))] = np.inf
     return near, got
 
 
@@ -90,30 +97,38 @@ def _edges(out) -> pa.RecordBatch:
                                        pa.array(cols[2].astype(np.float64))], names=["u", "v", "d"])
 
 
+def _planes(seed: int, depth: int, dim: int) -> np.ndarray:
+    return np.random.default_rng([seed, dim]).normal(size=(depth, dim))
+
+
 def _leaves(nodes: DataFrame, seed: int) -> DataFrame:
     """(u, v, d) of the best neighbours inside the leaves of random trees."""
-    dims = {}
-    for r in nodes.groupBy("dim").count().orderBy(F.desc("count")).limit(64).collect():  # lengths in use
+    cuts = {}
+    depth = F.greatest(F.lit(0), F.least(F.lit(62), F.ceil(F.log2(F.col("c") / LEAF)))).cast("int")
+    lengths = written(nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("c")).withColumn("depth", depth), "nn-lengths")
+    for r in lengths.orderBy(F.desc("c"), "dim").limit(FITTED).collect():
         few = nodes.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("vec").collect()
         x = np.array([v.vec for v in few])
-        depth = max(0, int(np.ceil(np.log2(max(1, r["count"]) / LEAF))))
-        trees = []
-        for t in range(TREES):
-            plane = np.random.default_rng(seed + t).normal(size=(depth, x.shape[1]))
-            trees.append((plane, np.median(x @ plane.T, axis=0) if depth else np.empty(0)))
-        dims[r["dim"]] = trees
+        cuts[r["dim"]] = [np.median(x @ _planes(seed + t, r["depth"], r["dim"]).T, axis=0) for t in range(TREES)]
+    counted = nodes.select("key", "dim", "vec").join(bounded(lengths), "dim")
 
     def leaf(batches):
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             rows = []
-            for k, d, v in zip(*(batch.column(c).to_pylist() for c in ("key", "dim", "vec"))):
-                for t, (plane, cut) in enumerate(dims.get(d, [(np.empty((0, d)), np.empty(0))])):
-                    bits = (plane @ np.array(v) > cut) if len(cut) else np.empty(0, dtype=bool)
+            for k, d, v, depth in zip(*(batch.column(n).to_pylist() for n in ("key", "dim", "vec", "depth"))):
+                v = np.array(v)
+                for t in range(TREES):
+                    if (d, t) not in planes:
+                        if len(planes) > 4 * FITTED * TREES:
+                            planes.clear()
+                        planes[d, t] = _planes(seed + t, depth, d)
+                    bits = planes[d, t] @ v > (cuts[d][t] if d in cuts else 0.0)
                     rows.append((k, d, t, int(sum(1 << i for i, b in enumerate(bits) if b))))
             cols = zip(*rows) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "dim", "tree", "leaf"])
 
-    placed = written(nodes.select("key", "dim", "vec").mapInArrow(leaf, "key long, dim long, tree long, leaf long"), "nn-leaves")
+    placed = written(counted.mapInArrow(leaf, "key long, dim long, tree long, leaf long"), "nn-leaves")
     sizes = placed.groupBy("dim", "tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("parts"))
     dealt = (placed.join(bounded(sizes), ["dim", "tree", "leaf"]).withColumn("part", F.pmod(F.hash("key", "tree"), F.col("parts")))
              .join(nodes.select("key", "packed"), "key"))
@@ -131,58 +146,60 @@ def _leaves(nodes: DataFrame, seed: int) -> DataFrame:
 
 def _meet(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     """(u, v, d) closer than u's worst neighbour, among neighbours and reverse
-    neighbours of some vector."""
-    forward = graph.select(F.col("u").alias("w"), F.col("v").alias("key"))
-    back = _best(graph, "v", NEIGHBOURS).select(F.col("v").alias("w"), F.col("u").alias("key"))
+    neighbours of some vector, at least one of the two being a new link."""
+    links = graph.select(F.col("u").alias("w"), F.col("v").alias("key"), "old").union(
+        _best(graph, "v", NEIGHBOURS).select(F.col("v").alias("w"), F.col("u").alias("key"), "old"))
+    links = written(links.groupBy("w", "key").agg(F.min("old").alias("old")), "nn-meet")
+    links = links.join(links.where("old = 0").select("w").distinct(), "w", "left_semi")
     worst = graph.groupBy(F.col("u").alias("key")).agg(
         F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("d")).otherwise(F.lit(float("inf"))).alias("worst"))
     state = nodes.select("key", "packed").join(worst, "key", "left").withColumn(
         "worst", F.coalesce("worst", F.lit(float("inf"))))
-    rows = forward.union(back).distinct().join(state, "key")
-    rows = rows.select("w", "key", "packed", "worst").repartition("w").sortWithinPartitions("w")
+    rows = links.join(state, "key")
+    rows = rows.select("w", "key", "packed", "worst", "old").repartition("w").sortWithinPartitions("w")
 
-    def solve(keys, packed, worst):
-        near, got = _nearest(_unpack(packed), slice(0, len(keys)), min(PER_JOIN, len(keys) - 1))
+    def solve(keys, packed, worst, old):
+        near, got = _nearest(_unpack(packed), slice(0, len(keys)), min(PER_JOIN, len(keys) - 1), old > 0)
         i, j = np.nonzero(got < worst[:, None])
         return keys[i], keys[near[i, j]], got[i, j]
 
     def run(batches):
-        held: list = [[], [], []]
+        held: list = [[], [], [], []]
         at = None
         for batch in batches:
             w = batch.column("w").to_numpy()
             cuts = [0, *(np.flatnonzero(w[1:] != w[:-1]) + 1).tolist(), len(w)]
-            cols = [batch.column("key").to_numpy(), batch.column("packed").to_pylist(), batch.column("worst").to_numpy()]
+            cols = [batch.column("key").to_numpy(), batch.column("packed").to_pylist(), batch.column("worst").to_numpy(),
+                    batch.column("old").to_numpy()]
             out = []
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if b == a:
                     continue
                 if w[a] != at:
                     if len(held[1]) > 1:
-                        out.append(solve(np.concatenate(held[0]), held[1], np.concatenate(held[2])))
-                    held, at = [[], [], []], w[a]
+                        out.append(solve(np.concatenate(held[0]), held[1], *map(np.concatenate, held[2:])))
+                    held, at = [[], [], [], []], w[a]
                 held[0].append(cols[0][a:b])
                 held[1] = held[1] + cols[1][a:b]
                 held[2].append(cols[2][a:b])
+                held[3].append(cols[3][a:b])
             yield _edges(out)
-        yield _edges([solve(np.concatenate(held[0]), held[1], np.concatenate(held[2]))] if len(held[1]) > 1 else [])
+        yield _edges([solve(np.concatenate(held[0]), held[1], *map(np.concatenate, held[2:]))] if len(held[1]) > 1 else [])
 
     return rows.mapInArrow(run, "u long, v long, d double")
 
 
 def build(nodes: DataFrame, seed: int = 11) -> DataFrame:
     """Neighbour graph (u, v, d squared) of ``nodes(key, dim, vec, packed)``."""
-    graph = written(_best(_leaves(nodes, seed).groupBy("u", "v").agg(F.min("d").alias("d")), "u", NEIGHBOURS), "nn-graph")
+    graph = written(_best(_leaves(nodes, seed).groupBy("u", "v").agg(F.min("d").alias("d")), "u", NEIGHBOURS)
+                    .withColumn("old", F.lit(0)), "nn-graph")
     places = nodes.count() * NEIGHBOURS
-    for _ in range(ROUNDS):
+    while True:
         both = graph.withColumn("old", F.lit(1)).unionByName(_meet(graph, nodes).withColumn("old", F.lit(0)))
         both = both.groupBy("u", "v").agg(F.min("d").alias("d"), F.max("old").alias("old"))
-        new = written(_best(both, "u", NEIGHBOURS), "nn-graph")
-        changed = new.where("old = 0").count()
-        graph = new.drop("old")
-        if changed <= SETTLED * places:
-            break
-    return graph
+        graph = written(_best(both, "u", NEIGHBOURS), "nn-graph")
+        if graph.where("old = 0").count() <= SETTLED * places:
+            return graph.drop("old")
 
 
 def _scored(pairs: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
@@ -214,16 +231,15 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame) -> DataFrame:
     near = written(near, "nn-links")
     beam = queries.select(F.col("key").alias("q"), F.col("key").alias("v"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
     beam = written(beam, "nn-beam")
-    for _ in range(STEPS):
+    while True:
         front = beam.where("not done").select("q", F.col("v").alias("u"))
         if front.isEmpty():
-            break
+            return beam
         fresh = front.join(near, "u").select("q", "v").distinct().join(beam.select("q", "v"), ["q", "v"], "left_anti")
         fresh = _scored(fresh, nodes, queries).withColumn("done", F.lit(False))
         w = Window.partitionBy("q").orderBy("d", "v")
         both = beam.withColumn("done", F.lit(True)).unionByName(fresh)
         beam = written(both.withColumn("_r", F.row_number().over(w)).where(f"_r <= {BEAM}").drop("_r"), "nn-beam")
-    return beam
 
 
 def nearest(df: DataFrame, every: int = 100, top: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
