@@ -208,11 +208,13 @@ def test_html_unclosed_elements():
     body = "<article><p>One of the article's words.<aside>" + "<p>side" * 80 + "</aside><p>Two of the article's words.</article>"
     for menu in ("<nav><ul>" + "<li>item" * 70 + "</ul></nav>", "<form>" + "<span>x" * 70 + "</form>",
                  "<nav><dl>" + "<dt>a<dd>b" * 70 + "</dl></nav>", "<nav><table>" + "<tr><td>a<td>b" * 70 + "</table></nav>"):
-        got = html_extract.extract(f"<body>{menu}{body}</body>", html_extract.DEFAULTS)
+        got = html_extract.extract(f"<body>{menu}{body}</body>", {})
         assert got == "One of the article's words.\nTwo of the article's words."
     # a list inside an item doesn't end it; the next item ends a marked one
-    seen = list(html_extract.tokens("<ul><li class=ad>a<ul><li>b</ul>c<li>d</ul>"))
-    assert [(v, out) for k, v, out, _ in seen if k == "text"] == [("a", True), ("b", True), ("c", True), ("d", False)]
+    page = html_extract.Page("<ul><li class=ad>a<ul><li>b</ul>c<li>d and more words</ul>")
+    place = html_extract.places(page, {})
+    assert [(v, place[e] < 0) for k, v, e in page.events if k == "text"] == [("a", True), ("b", True), ("c", True),
+                                                                            ("d and more words", False)]
 
 
 def test_toxicity_learns_and_generalises(spark, docs):
