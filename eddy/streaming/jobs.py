@@ -36,6 +36,7 @@ from eddy.operators.ranking import global_rank
 from eddy.plans.enrich import enrich
 from eddy.sources import json_codec as jc
 from eddy.sources.topic import consumer_for_partition
+from eddy.streaming import history
 
 # ----------------------------------- sources ----------------------------------
 
@@ -167,25 +168,34 @@ def report_counts_stream(enriched_stream: DataFrame) -> DataFrame:
 
 def start_report(enriched_stream: DataFrame, out_root: str, checkpoint: str,
                  trigger: dict | None = None) -> StreamingQuery:
-    """After each batch, the counts that it changed (update mode) are
-    published as ``out_root/batch_id=<id>``; ``report_snapshot`` reads the whole
-    report from them.  Written by the executors, never gathered on the driver."""
+    """After each batch, the counts that it changed (update mode) are committed to
+    the history at ``out_root``, which is then merged; ``report_snapshot`` reads the
+    whole report from it.  Written by the executors, never gathered on the driver."""
     def run(changed: DataFrame, batch_id: int) -> None:
-        publish(changed.withColumn("updated_at", F.current_timestamp()), out_root, batch_id)
+        rows = changed.withColumns({"updated_at": F.current_timestamp(), "as_of": F.lit(batch_id).cast("long")})
+        history.commit(rows, out_root, batch_id)
+        history.merge(changed.sparkSession, out_root, latest_counts)
     q = (report_counts_stream(enriched_stream).writeStream.outputMode("update")
          .foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})))
     return q.start()
 
 
+def latest_counts(rows: DataFrame) -> DataFrame:
+    """The latest count of each key, and the time of the last update of any."""
+    last = F.max_by(F.struct("n", "updated_at", "as_of"), "as_of").alias("l")
+    return rows.groupBy("dimension", "key").agg(last).select("dimension", "key", "l.*")
+
+
 def report_snapshot(spark: SparkSession, out_root: str, top: int = 10) -> tuple[DataFrame, DataFrame]:
     """(rows, json) of the running report: ``rows(dimension, key, n,
     rank)`` with the latest count of each key, ranked by count and then key, and
     one JSON line with the languages, the sentiments, the ``top`` keywords and the
-    time of the last update.  Keywords are ranked by a range sort, not in one
+    time of the last update.  Reads the merged history, a few rows a key however
+    many batches there were.  Keywords are ranked by a range sort, not in one
     task."""
-    rows = spark.read.option("basePath", out_root).parquet(out_root)
-    last = rows.groupBy("dimension", "key").agg(F.max_by("n", "batch_id").alias("n"))
+    rows = latest_counts(history.read(spark, out_root))
+    last = rows.select("dimension", "key", "n")
     order = Window.partitionBy("dimension").orderBy(F.desc("n"), "key")
     few = last.where("dimension <> 'keywords'").withColumn("rank", F.row_number().over(order).cast("long"))
     words = global_rank(last.where("dimension = 'keywords'"), [F.desc("n"), F.asc("key")])
@@ -196,10 +206,13 @@ def report_snapshot(spark: SparkSession, out_root: str, top: int = 10) -> tuple[
         of = F.sort_array(F.collect_list(F.when(F.col("dimension") == name, F.struct("rank", "key", "n"))))
         return F.map_from_entries(F.transform(of, lambda x: F.struct(x["key"], x["n"])))
 
-    report = best.agg(part("languages").alias("languages"), part("sentiments").alias("sentiments"),
-                      part("keywords").alias("top_keywords"))
-    when = rows.agg(F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
-    return ranked, report.crossJoin(when).select(F.to_json(F.struct("*")).alias("value"))
+    when = rows.agg(F.max("updated_at").alias("updated_at")).select(
+        F.lit("when").alias("dimension"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("long").alias("n"),
+        F.lit(None).cast("long").alias("rank"), "updated_at")
+    report = best.withColumn("updated_at", F.lit(None).cast("timestamp")).unionByName(when).agg(
+        part("languages").alias("languages"), part("sentiments").alias("sentiments"), part("keywords").alias("top_keywords"),
+        F.date_format(F.max("updated_at"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    return ranked, report.select(F.to_json(F.struct("*")).alias("value"))
 
 
 # ------------------- time conversion consumer (S13, P6, P7, P10) ----------------
