@@ -462,3 +462,14 @@ def q_latency_report_arrival_all(spark, sf_dir):
     """W2 as the reference has it: one sequence of all records."""
     rows = _arrivals(spark, sf_dir).withColumn("monitor", F.lit("all"))
     return _r6(ar.arrival_report(rows, ARRIVAL_GAP, "monitor", "processing_time", "id"))
+
+
+# ------------------------ ranking with ties by arrival ------------------------
+
+from eddy.operators import arrival_ranking as rk  # noqa: E402
+
+
+@register("keyword_ranking_arrival")
+def q_keyword_ranking_arrival(spark, sf_dir):
+    """L3: ties as the running report leaves them, comments arriving by id."""
+    return rk.arrival_ranking(kw.extract_keywords(tb.documents(spark, sf_dir)))

@@ -440,3 +440,11 @@ FROM win GROUP BY k, w, closed_at"""
 
 ORACLE["latency_report_arrival"] = _arrival("event_type", "event_type")
 ORACLE["latency_report_arrival_all"] = _arrival("'all'", "monitor")
+
+
+# ------------------------ ranking with ties by arrival ------------------------
+
+ORACLE["keyword_ranking_arrival"] = _KW_CTES + """,
+ko AS (SELECT doc_id, unnest(keywords) AS keyword, unnest(generate_series(1, len(keywords))) AS place FROM kwa),
+kl AS (SELECT keyword, count(*) AS n, list(doc_id ORDER BY doc_id DESC) AS back, arg_min(place, doc_id) AS place FROM ko GROUP BY keyword)
+SELECT keyword, n, row_number() OVER (ORDER BY n DESC, back, place) AS rank FROM kl"""
