@@ -43,8 +43,3 @@ def epoch_to_iso(epoch_seconds: Column) -> Column:
 def latency_ms(original_seconds: Column, processing_seconds: Column) -> Column:
     """(processing - original) * 1000."""
     return (processing_seconds.try_cast("double") - original_seconds.try_cast("double")) * F.lit(1000.0)
-
-
-def consumer_name(n: Column) -> Column:
-    """``consumer_<n>``."""
-    return F.concat(F.lit("consumer_"), n.cast("string"))

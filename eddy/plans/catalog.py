@@ -473,3 +473,33 @@ from eddy.operators import arrival_ranking as rk  # noqa: E402
 def q_keyword_ranking_arrival(spark, sf_dir):
     """L3: ties as the running report leaves them, comments arriving by id."""
     return rk.arrival_ranking(kw.extract_keywords(tb.documents(spark, sf_dir)))
+
+
+# ----------------------------- induced lexicon --------------------------------
+
+from eddy.operators import lexicon as lx  # noqa: E402
+
+
+@register("word_edges")
+def q_word_edges(spark, sf_dir):
+    return lx.word_edges(tb.documents(spark, sf_dir))
+
+
+@register("sentiment_seeds")
+def q_sentiment_seeds(spark, sf_dir):
+    return lx.labelled_seeds(tb.documents(spark, sf_dir), tb.read_table(spark, sf_dir, "labels"))
+
+
+@register("lexicon_step")
+def q_lexicon_step(spark, sf_dir):
+    """One round of spreading valences from the labelled seeds."""
+    docs = tb.documents(spark, sf_dir)
+    seeds = lx.labelled_seeds(docs, tb.read_table(spark, sf_dir, "labels"))
+    return lx.spread_once(lx.word_edges(docs), seeds, seeds)
+
+
+@register("induced_lexicon")
+def q_induced_lexicon(spark, sf_dir):
+    """All rounds; iterative, so without SQL."""
+    docs = tb.documents(spark, sf_dir)
+    return lx.induce(docs, lx.labelled_seeds(docs, tb.read_table(spark, sf_dir, "labels")))

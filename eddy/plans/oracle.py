@@ -448,3 +448,48 @@ ORACLE["keyword_ranking_arrival"] = _KW_CTES + """,
 ko AS (SELECT doc_id, unnest(keywords) AS keyword, unnest(generate_series(1, len(keywords))) AS place FROM kwa),
 kl AS (SELECT keyword, count(*) AS n, list(doc_id ORDER BY doc_id DESC) AS back, arg_min(place, doc_id) AS place FROM ko GROUP BY keyword)
 SELECT keyword, n, row_number() OVER (ORDER BY n DESC, back, place) AS rank FROM kl"""
+
+
+# ----------------------------- induced lexicon --------------------------------
+
+from eddy.operators import lexicon as _lx  # noqa: E402
+
+_EDGES = f"""lw AS (
+  SELECT doc_id, list_filter({sql_sentiment_words("coalesce(text, '')")}, lambda w: regexp_matches(w, {_sql_str(_lx.WORD)})) AS w FROM documents),
+la AS (SELECT doc_id, unnest(w) AS a, unnest(generate_series(1, len(w))) AS i, w FROM lw WHERE len(w) > 1),
+lb AS (SELECT a, unnest(w[i + 1 : i + {_lx.REACH}]) AS b FROM la),
+lp AS (SELECT least(a, b) AS a, greatest(a, b) AS b, count(*) AS n FROM lb WHERE a <> b GROUP BY 1, 2),
+l2 AS (SELECT a, b, n FROM lp UNION ALL SELECT b, a, n FROM lp),
+ls AS (SELECT a, sum(n)::BIGINT AS s FROM l2 GROUP BY a),
+edge AS (
+  SELECT * FROM (
+    SELECT l2.a, l2.b, l2.n, round(ln(l2.n::DOUBLE * (SELECT sum(s)::DOUBLE FROM ls) / (x.s::DOUBLE * y.s::DOUBLE)), 6) AS weight
+    FROM l2 JOIN ls x ON l2.a = x.a JOIN ls y ON l2.b = y.a WHERE l2.n >= {_lx.LEAST} AND x.s >= {_lx.LEAST} AND y.s >= {_lx.LEAST})
+  WHERE weight > 0)"""
+
+
+def _odds(hit: str, of: str) -> str:
+    return f"round(ln((({hit} + 0.5) / ({of} + 1.0)) / ((n - {hit} + 0.5) / (tn - {of} + 1.0))), 6)"
+
+
+_SEEDS = """kn AS (
+  SELECT doc_id, max(coalesce((toxic = 1)::INT, 0)) AS bad, max(coalesce((quality = 1 AND toxic = 0)::INT, 0)) AS good
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+kt AS (SELECT count(*)::DOUBLE AS tn, sum(bad)::DOUBLE AS tb, sum(good)::DOUBLE AS tg FROM kn JOIN documents USING (doc_id)),
+kw_ AS (SELECT word, count(*) AS n, sum(bad) AS bad, sum(good) AS good
+        FROM (SELECT doc_id, unnest(list_distinct(w)) AS word FROM lw) JOIN kn USING (doc_id) GROUP BY word),
+seed AS (
+  SELECT word, CASE WHEN """ + _odds("bad", "tb") + f""" >= {_lx.ODDS} THEN -{_lx.SEED}::DOUBLE
+                    WHEN """ + _odds("good", "tg") + f""" >= {_lx.ODDS} THEN {_lx.SEED}::DOUBLE END AS valence
+  FROM kw_, kt WHERE n >= {_lx.LEAST})"""
+
+ORACLE["word_edges"] = "WITH " + _EDGES + "\nSELECT a, b, n, weight FROM edge"
+ORACLE["sentiment_seeds"] = "WITH " + _EDGES + ",\n" + _SEEDS + "\nSELECT word, valence FROM seed WHERE valence IS NOT NULL"
+ORACLE["lexicon_step"] = "WITH " + _EDGES + ",\n" + _SEEDS + f""",
+sd AS (SELECT word, valence FROM seed WHERE valence IS NOT NULL),
+far AS (SELECT a, sum(weight) AS s FROM edge GROUP BY a)
+SELECT word, valence FROM sd
+UNION ALL
+SELECT e.a, round({_lx.DAMPING}::DOUBLE * sum(e.weight * sd.valence) / max(far.s), 6)
+FROM edge e JOIN sd ON e.b = sd.word JOIN far ON e.a = far.a
+WHERE e.a NOT IN (SELECT word FROM sd) GROUP BY e.a"""

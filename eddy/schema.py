@@ -36,13 +36,6 @@ COMMENT_MESSAGE = T.StructType([
 COMMENT_RENAMES = {KEY_INDEX: "row_index", KEY_TEXT: "text", KEY_COMMENT_ID: "comment_id",
                    KEY_CREATED: "created_utc", KEY_ID: "id"}
 
-# Enriched comment (after language, sentiment and keywords).
-ENRICHED = T.StructType(COMMENT_CSV.fields + [
-    T.StructField("language", T.StringType()),
-    T.StructField("sentiment", T.StringType()),
-    T.StructField("keywords", T.ArrayType(T.StringType())),
-])
-
 # Processed record published by the time-conversion consumer.
 PROCESSED = T.StructType([
     T.StructField("id", T.StringType()),
@@ -59,21 +52,3 @@ MESSAGE = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
 ])
-
-# Latency row (the latency CSV, no header).
-LATENCY_ROW = T.StructType([
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("message_id", T.StringType()),
-    T.StructField("latency_ms", T.DoubleType()),
-    T.StructField("original_time", T.TimestampType()),
-    T.StructField("processing_time", T.TimestampType()),
-    T.StructField("processed_by", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-])
-
-# Rejected rows: the raw row as JSON, the stage and the reason.
-REJECT = T.StructType([
-    T.StructField("row", T.StringType()),
-    T.StructField("stage", T.StringType()),
-    T.StructField("reason", T.StringType()),
-])
