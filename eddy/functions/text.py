@@ -93,9 +93,9 @@ def alpha_tokens(text: Column) -> Column:
     return F.filter(raw_tokens(text), lambda t: t.rlike(ALPHA_TOKEN))
 
 
-def sentiment_words(text: Column) -> Column:
-    """Lower-cased words for sentiment scoring, apostrophes kept."""
-    words = F.split(F.lower(text), WORD_SPLIT)
+def sentiment_words(text: Column, lower: bool = True) -> Column:
+    """Words for sentiment scoring, lower-cased by default, apostrophes kept."""
+    words = F.split(F.lower(text) if lower else text, WORD_SPLIT)
     return F.transform(words, lambda w: F.regexp_replace(w, WORD_STRIP, ""))
 
 

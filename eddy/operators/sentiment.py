@@ -38,6 +38,12 @@ NORMALIZATION_ALPHA = 15.0
 BUT_BEFORE, BUT_AFTER = 0.5, 1.5
 EXCLAMATION_STEP, EXCLAMATION_MAX = 0.292, 4
 QUESTION_STEP, QUESTION_CAP = 0.18, 0.96
+CAPS_STEP = 0.733
+# Published phrases with a valence of their own.
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5,
+    "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
 
 MAX_LEXICON_ROWS = 1_000_000
 LEXICON_SCHEMA = T.StructType([
@@ -74,23 +80,78 @@ def punctuation_emphasis(text):
     return F.coalesce(ex * F.lit(EXCLAMATION_STEP) + q, F.lit(0.0))
 
 
+def _louder(value, loud, signed: bool):
+    """A valence grows away from zero; a booster's scalar, which takes the sign of the
+    valence it meets, grows upwards."""
+    step = _sign(value) * F.lit(CAPS_STEP) if signed else F.lit(CAPS_STEP)
+    return F.when(loud & (value != 0), value + step).otherwise(value)
+
+
+def is_caps(word):
+    """A word with a cased letter and no lower-case one."""
+    return (word == F.upper(word)) & (word != F.lower(word))
+
+
+def idiom_matches(words: DataFrame, id_col: str, idioms: dict[str, float]) -> DataFrame:
+    """(id, pos, len, valence): the phrases in ``words(id, pos, word)``, leftmost and
+    of those the longest first, none overlapping.
+
+    Phrases of each length meet the words' n-grams in an equi-join (the phrases are a
+    parameter and small); a text's matches are few, and their overlaps are settled in
+    one pass over them.
+    """
+    spark = words.sparkSession
+    table = spark.createDataFrame([(p, len(p.split()), float(v)) for p, v in idioms.items()], "phrase string, len int, valence double")
+    order = Window.partitionBy(id_col).orderBy("pos")
+    found = None
+    for n in sorted({len(p.split()) for p in idioms}):
+        gram = F.concat_ws(" ", "word", *[F.lead("word", k).over(order) for k in range(1, n)])
+        one = words.select(id_col, "pos", gram.alias("phrase")).join(F.broadcast(table.where(F.col("len") == n)), "phrase")
+        found = one if found is None else found.unionByName(one)
+    item = F.struct("pos", (-F.col("len")).alias("short"), "valence")
+    seen = found.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("m"))
+    start = F.struct(F.lit(-1).alias("end"), F.array().cast("array<struct<pos:int,len:int,valence:double>>").alias("kept"))
+
+    def step(acc, m):
+        taken = F.struct((m["pos"] - m["short"]).cast("int").alias("end"), F.concat(acc["kept"], F.array(F.struct(
+            m["pos"].cast("int").alias("pos"), (-m["short"]).cast("int").alias("len"), m["valence"].alias("valence")))).alias("kept"))
+        return F.when(m["pos"] >= acc["end"], taken).otherwise(acc)
+    return seen.select(id_col, F.explode(F.aggregate("m", start, step)["kept"]).alias("k")).select(id_col, "k.*")
+
+
 def _sign(x):
     return F.when(x < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
 
 
 def sentiment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     lex: DataFrame | None = None) -> DataFrame:
-    """(id, compound) for every input row; null text scores 0."""
+                     lex: DataFrame | None = None, idioms: dict[str, float] | None = None, caps: bool = False) -> DataFrame:
+    """(id, compound) for every input row; null text scores 0.
+
+    With ``idioms`` (say ``IDIOMS``), a phrase counts as one word of its own valence at
+    its first word's place, and the words in it don't count.  With ``caps``, a word in
+    capitals weighs more in a text where some words are in capitals and some not.
+    """
     spark = docs.sparkSession
     lx = lexicon(spark, lex)
     base = docs.select(id_col, F.col(text_col).alias("_t"))
-    words = base.select(id_col, F.posexplode(
-        F.filter(sentiment_words(F.coalesce(F.col("_t"), F.lit(""))), lambda w: F.length(w) > 0)
-    ).alias("pos", "word"))
+    text = F.coalesce(F.col("_t"), F.lit(""))
+    if not caps:
+        words = base.select(id_col, F.posexplode(F.filter(sentiment_words(text), lambda w: F.length(w) > 0)).alias("pos", "word"))
+        words = words.withColumn("loud", F.lit(False))
+    else:
+        cased = base.select(id_col, F.filter(sentiment_words(text, lower=False), lambda w: F.length(w) > 0).alias("_w"))
+        loud = F.size(F.filter("_w", is_caps))
+        words = cased.withColumn("_mixed", (loud > 0) & (loud < F.size("_w"))).select(id_col, "_mixed", F.posexplode("_w").alias("pos", "_c"))
+        words = words.select(id_col, "pos", F.lower("_c").alias("word"), (F.col("_mixed") & is_caps(F.col("_c"))).alias("loud"))
+    phrases = None
+    if idioms:
+        phrases = idiom_matches(words, id_col, idioms)
+        inside = phrases.select(id_col, F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("len") - 1)).alias("pos"))
+        words = words.join(inside.hint("merge"), [id_col, "pos"], "left_anti")
     hits = (words.join(lx, "word", "left")
             .select(id_col, "pos",
-                    F.coalesce("valence", F.lit(0.0)).alias("valence"),
-                    F.coalesce("scalar", F.lit(0.0)).alias("scalar"),
+                    _louder(F.coalesce("valence", F.lit(0.0)), F.col("loud"), True).alias("valence"),
+                    _louder(F.coalesce("scalar", F.lit(0.0)), F.col("loud"), False).alias("scalar"),
                     ((F.coalesce("negation", F.lit(0)) == 1) | F.col("word").contains("n't")).alias("neg"),
                     (F.col("word") == "but").alias("is_but"),
                     F.lit(0.0).alias("emph"))
@@ -99,6 +160,10 @@ def sentiment_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                           F.lit(0.0).alias("scalar"), F.lit(False).alias("neg"), F.lit(False).alias("is_but"),
                           punctuation_emphasis(F.col("_t")).alias("emph"))
     rows = hits.unionByName(markers)
+    if phrases is not None:
+        rows = rows.unionByName(phrases.where("valence <> 0").select(
+            id_col, "pos", "valence", F.lit(0.0).alias("scalar"), F.lit(False).alias("neg"), F.lit(False).alias("is_but"),
+            F.lit(0.0).alias("emph")))
 
     by_pos = Window.partitionBy(id_col).orderBy("pos")
     whole = Window.partitionBy(id_col)
