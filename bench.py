@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from eddy.plans.catalog import QUERIES  # noqa: E402
-from eddy.session import build_session  # noqa: E402
+from eddy.session import build_session, scratch_conf  # noqa: E402
 
 HEADLINE = [
     "report",                   # flagship: enrich (language, sentiment, keywords) + report
@@ -38,7 +38,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", app="eddy-bench", shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", **scratch_conf()})
     QUERIES["stride_shard"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
     for name in HEADLINE:

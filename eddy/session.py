@@ -55,6 +55,13 @@ def build_session(master: str | None = None, app: str = "eddy",
     return spark
 
 
+def scratch_conf() -> dict[str, str]:
+    """The checkpoint folder named by EDDY_CHECKPOINT_DIR, for tools that build their own
+    session; empty if it is not set."""
+    root = os.environ.get("EDDY_CHECKPOINT_DIR")
+    return {"spark.checkpoint.dir": root} if root else {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The durable folder for lineage cuts and scratch tables.
 
