@@ -150,7 +150,7 @@ def saved_profile(spark: SparkSession, labelled_path: str, lang_col: str = "lang
 def candidate_scores(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang, score): for rows with a known n-gram, every language that shares
     one, and the language with the highest floor."""
-    gain = F.struct("lang", (F.col("lp") - F.col("lp0")).alias("gain"))
+    gain = F.struct("lang", (F.col("lp") - F.col("lp0")).alias("gain"), "lp0")
     per_g = profile.table.groupBy("g").agg(F.collect_list(gain).alias("_l"))
     if (0 < profile.vocabulary <= MAX_BROADCAST_VOCABULARY
             and profile.vocabulary * 40 + profile.rows * 24 <= MAX_BROADCAST_BYTES):
@@ -159,26 +159,27 @@ def candidate_scores(docs: DataFrame, profile: LanguageProfile, id_col: str = "d
     else:
         tri = trigram_counts(docs, id_col, text_col, profile.sizes).join(profile.table.select("g", F.array(gain).alias("_l")).hint("merge"), "g")
     # Rows of the floor: how many known n-grams a comment has, under a null language.
-    own = F.struct(F.lit(None).cast("string").alias("lang"), F.lit(1).cast("long").alias("gain"))
+    own = F.struct(F.lit(None).cast("string").alias("lang"), F.lit(1).cast("long").alias("gain"), F.lit(None).cast("long").alias("lp0"))
     if profile.vocabulary <= MAX_BROADCAST_VOCABULARY and profile.vocabulary * 40 + profile.rows * 24 <= MAX_BROADCAST_BYTES:
         known = tri.select(id_col, "n", F.explode(F.concat(F.array(own), "_l")).alias("_x"))
     else:
         once = trigram_counts(docs, id_col, text_col, profile.sizes).join(
             profile.table.select("g").distinct().hint("merge"), "g", "left_semi")
         known = tri.select(id_col, "n", F.explode("_l").alias("_x")).unionByName(once.select(id_col, "n", own.alias("_x")))
-    sums = known.groupBy(id_col, F.col("_x.lang").alias("lang")).agg(F.sum(F.col("n") * F.col("_x.gain")).alias("x"))
+    sums = known.groupBy(id_col, F.col("_x.lang").alias("lang")).agg(
+        F.sum(F.col("n") * F.col("_x.gain")).alias("x"), F.max("_x.lp0").alias("lp0"))
     # One row a comment brings its number of n-grams and all its gains together.
     per = sums.groupBy(id_col).agg(
         F.max(F.when(F.col("lang").isNull(), F.col("x"))).alias("_n"),
-        F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "x"))).alias("_l"))
+        F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "x", "lp0"))).alias("_l"))
     top = profile.languages.orderBy(F.desc("lp0"), "lang").limit(1).collect()      # one row
-    best = F.lit(top[0]["lang"] if top else None)
-    hits = F.concat("_l", F.when(F.exists("_l", lambda e: e["lang"] == best), F.array().cast("array<struct<lang:string,x:bigint>>"))
-                    .otherwise(F.array(F.struct(best.alias("lang"), F.lit(0).cast("long").alias("x")))))
+    if not top:
+        return per.select(id_col, F.lit(None).cast("string").alias("lang"), F.col("_n").alias("score")).where("false")
+    best = F.lit(top[0]["lang"])
+    floor = F.struct(best.alias("lang"), F.lit(0).cast("long").alias("x"), F.lit(top[0]["lp0"]).cast("long").alias("lp0"))
+    hits = F.when(F.exists("_l", lambda e: e["lang"] == best), F.col("_l")).otherwise(F.concat("_l", F.array(floor)))
     rows = per.select(id_col, "_n", F.explode(hits).alias("_e")).select(id_col, "_n", "_e.*")
-    small = profile.languages.count() <= MAX_LANGUAGES
-    floors = F.broadcast(profile.languages) if small else profile.languages.hint("merge")
-    return rows.join(floors, "lang").select(id_col, "lang", (F.col("_n") * F.col("lp0") + F.col("x")).alias("score"))
+    return rows.select(id_col, "lang", (F.col("_n") * F.col("lp0") + F.col("x")).alias("score"))
 
 
 def detect(docs: DataFrame, profile: LanguageProfile, id_col: str = "doc_id",
