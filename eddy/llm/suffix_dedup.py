@@ -120,21 +120,24 @@ def _smaller_before(place: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.
     """For each i the nearest j < i with a smaller place (-1 if none), and the
     least ``lcp`` on the way (lcp[i] is that of i-1 and i), 0 if none."""
     at, low = np.arange(-1, len(place) - 1), lcp.copy()
-    todo = np.flatnonzero(at >= 0)
+    todo = np.flatnonzero(low > 0)      # without a common prefix there is nothing to find
     while len(todo):
         # Everything between at[i] and i is no smaller than i; so is at[i], here.
         todo = todo[place[at[todo]] >= place[todo]]
         via = at[todo]
         low[todo], at[todo] = np.minimum(low[todo], low[via]), at[via]
-        todo = todo[at[todo] >= 0]
+        todo = todo[(at[todo] >= 0) & (low[todo] > 0)]
     low[at < 0] = 0
     return at, low
 
 
-def previous_factors(contexts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+def previous_factors(contexts: list[bytes], doc: np.ndarray, start: np.ndarray, length: int = LENGTH,
+                     least: int = 0) -> list[np.ndarray]:
     """Longest previous factor of every window start of every context, capped at
     ``length``: the longest string there that also starts at a smaller (doc,
-    start).  Context i starts at byte ``start[i]`` of document ``doc[i]``."""
+    start).  Context i starts at byte ``start[i]`` of document ``doc[i]``.  Factors
+    shorter than ``least`` may be given as 0: starts whose first or last bytes stand
+    nowhere else are then left out of the suffix array."""
     sizes = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts))
     ranks = _ranks(np.frombuffer(b"".join(contexts), dtype=np.uint8), length)
     width = max(ranks)
@@ -143,12 +146,21 @@ def previous_factors(contexts: list[bytes], doc: np.ndarray, start: np.ndarray,
     off = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
     at = (np.cumsum(sizes) - sizes)[of] + off
     rank = ranks[width].astype(np.int64) if width > 8 else np.unique(ranks[8], return_inverse=True)[1].astype(np.int64)
-    order = np.argsort((rank[at] << 32) | rank[at + length - width], kind="stable")     # the suffix array
+    head, tail = rank[at], rank[at + length - width]
+    if least >= length:
+        some = np.flatnonzero((np.bincount(head)[head] > 1) & (np.bincount(tail)[tail] > 1))
+    else:
+        some = np.arange(len(at))
+    order = some[np.argsort((head[some] << 32) | tail[some], kind="stable")]     # the suffix array
     # Position of each window in the order of (doc, start); equal ones are equal.
     place = (np.unique(doc, return_inverse=True)[1].astype(np.int64)[of] << 32) | (start[of] + off)
     place = place[order]
     sa = at[order]
-    lcp = np.concatenate([[0], _common(ranks, sa[:-1], sa[1:], length)])
+    if least >= length:     # the common prefixes that matter, the others as 0
+        near = np.where((head[order][1:] == head[order][:-1]) & (tail[order][1:] == tail[order][:-1]), length, 0)
+    else:
+        near = _common(ranks, sa[:-1], sa[1:], length)
+    lcp = np.concatenate([[0], near])[:len(sa)]
     before = _smaller_before(place, lcp)[1]
     after = _smaller_before(place[::-1], np.concatenate([[0], lcp[:0:-1]]))[1][::-1]
     lpf = np.zeros(len(of), dtype=np.int64)
@@ -260,7 +272,7 @@ def _spans(prepared: DataFrame, length: int) -> DataFrame:
             elif keys[r[0]] > 1:
                 left.append(r)
         if left:
-            factors = previous_factors([r[5] for r in left], np.array([r[2] for r in left]), np.array([r[3] for r in left]), length)
+            factors = previous_factors([r[5] for r in left], np.array([r[2] for r in left]), np.array([r[3] for r in left]), length, length)
             for r, f in zip(left, factors):
                 out += [(r[1], r[2], r[3] + a, r[3] + b - 1 + length) for a, b in _runs(f >= length)]
         return out

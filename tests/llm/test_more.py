@@ -89,6 +89,10 @@ def test_previous_factors_against_brute_force():
             want = [max((next((k for k in range(length) if w[k] != v[k]), length) for d2, s2, v in windows if (d2, s2) < (d, s)),
                         default=0) for d, s, w in windows]
             assert np.concatenate(suffix_dedup.previous_factors(texts, doc, start, length)).tolist() == want
+            long = np.concatenate(suffix_dedup.previous_factors(texts, doc, start, length, length))
+            assert [x for x in long.tolist() if x >= length] == [x for x in want if x >= length]
+            assert (long >= length).tolist() == [x >= length for x in want]
+    assert suffix_dedup.previous_factors([b"x" * 16, b"y" * 16], np.array([1, 2]), np.array([0, 0]), 16, 16)[1].tolist() == [0]
 
 
 def test_hot_anchor_is_dealt_further(spark, monkeypatch):
