@@ -10,8 +10,9 @@ than by chance (initials and numbers with their followers) are collocations.  Th
 keyword tokenizer sees texts in lower case, so an initial or a number before a word
 never closes a sentence.
 
-Fitting is three plain aggregates over whitespace words (partial sums on the map
-side, one row a word type in the shuffle).  The fitted model is a pair of tables
+Fitting counts the whitespace words as they stand, those with a period by the word
+after them, in one pass over the texts (partial sums on the map side); the rest is plain
+aggregates over those counts.  The fitted model is a pair of tables
 that can be saved and loaded; scoring joins words with them on the word type,
 broadcast up to a checked size and beyond that by a plain join in which words
 without a period are spread out.
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eddy.functions.text import ALPHA_TOKEN, TOKEN_SPLIT, WORD_END, english_stopwords, word_tokens
+from eddy.functions.text import ALPHA_TOKEN, QUICK_SPLIT, WORD_END, english_stopwords, is_one_token, word_tokens
 from eddy.session import scratch_path
 
 # Published constants of the method.
@@ -73,17 +74,25 @@ def words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(id, pos, word, next): whitespace words of whole texts, with the word after
     each (null after the last).  Texts that are null or blank have none."""
     base = docs.select(F.col(id_col).alias(id_col), F.filter(
-        F.split(F.col(text_col), TOKEN_SPLIT), lambda w: F.length(w) > 0).alias("_w")).where(F.size("_w") > 0)
-    return base.select(id_col, F.size("_w").alias("_n"), "_w", F.posexplode("_w").alias("pos", "word")).select(
+        F.split(F.col(text_col), QUICK_SPLIT), lambda w: F.length(w) > 0).alias("_w"))
+    # The outer form: the optimizer would split each text again to filter by size.
+    return base.select(id_col, F.size("_w").alias("_n"), "_w", F.posexplode_outer("_w").alias("pos", "word")).where("word is not null").select(
         id_col, "pos", "word", F.when(F.col("pos") + 1 < F.col("_n"), F.element_at("_w", F.col("pos") + 2)).alias("next"))
 
 
+def _period(word: Column) -> Column:
+    """Whether a period ends the word; most words fail the first test."""
+    return word.contains(".") & _core(word).rlike(r"[^.]\.$")
+
+
 def _marked(w: DataFrame) -> DataFrame:
-    """Words with their type, whether a period ends them, and the next one's type."""
+    """Words with whether a period ends them, and if so their type and the next one's."""
+    w = w.withColumn("period", _period(F.col("word")))
     core, after = _core(F.col("word")), _core(F.col("next"))
+    stop = (F.col("word").contains("?") | F.col("word").contains("!")) & F.col("word").rlike(WORD_END)
     return w.withColumns({
-        "type": _type(core), "period": core.rlike(r"[^.]\.$"), "stop": F.col("word").rlike(WORD_END),
-        "upper": core.rlike(r"^\p{Lu}"), "next_type": _type(after), "next_letter": after.rlike(r"^\p{L}")})
+        "type": F.when(F.col("period"), _type(core)), "stop": stop,
+        "next_type": F.when(F.col("period"), _type(after)), "next_letter": F.when(F.col("period"), after.rlike(r"^\p{L}"))})
 
 
 def _ratio(both: Column, first: Column, second: Column, n: Column) -> Column:
@@ -100,10 +109,18 @@ def _ratio(both: Column, first: Column, second: Column, n: Column) -> Column:
     return out
 
 
-def period_counts(w: DataFrame) -> DataFrame:
+def seen_words(w: DataFrame) -> DataFrame:
+    """(word, next, n): words as they stand, with the next one where there is a period
+    in them (null for the others), and how often."""
+    return w.groupBy("word", F.when(F.col("word").contains("."), F.col("next")).alias("next")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def period_counts(seen: DataFrame) -> DataFrame:
     """(type, n, with_period, capital): occurrences of each word type."""
-    return _marked(w).where("type <> ''").groupBy("type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("period").cast("long")).alias("with_period"),
+    core = _core(F.col("word"))
+    return seen.select(_type(core).alias("type"), F.col("n").alias("_n"), _period(F.col("word")).alias("period"), core.rlike(r"^\p{Lu}").alias("upper")).where(
+        "type <> ''").groupBy("type").agg(
+        F.sum("_n").alias("n"), F.sum(F.when(F.col("period"), F.col("_n")).otherwise(0)).alias("with_period"),
         F.max(F.col("upper").cast("int")).alias("capital"))
 
 
@@ -135,11 +152,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sent
     a word's end closes a sentence."""
     spark, w = docs.sparkSession, words(docs, id_col, text_col)
     path = scratch_path(spark, "sentence-model")
-    counts = period_counts(w)
+    # Stored, so that the expressions below run once a different word: a filter on one
+    # would be pushed below the count, to every word.
+    seen_words(w).write.parquet(f"{path}/seen")
+    seen = spark.read.parquet(f"{path}/seen")
+    counts = period_counts(seen)
     counts.write.parquet(f"{path}/counts")
     counts = spark.read.parquet(f"{path}/counts")
-    pair = _marked(w).where("period and next is not null and next_type <> ''").where(
-        _is_initial(F.col("type")) | (F.col("type") == NUMBER)).groupBy("type", "next_type").agg(F.count(F.lit(1)).alias("together"))
+    pair = _marked(seen.where("next is not null")).where("period and next is not null and next_type <> ''").where(
+        _is_initial(F.col("type")) | (F.col("type") == NUMBER)).groupBy("type", "next_type").agg(F.sum("n").alias("together"))
     side = counts.select("type", "n", "with_period")
     total = counts.agg(F.sum("n")).first()[0] or 1
     pair = pair.join(side.select("type", F.col("with_period").alias("first")), "type").join(
@@ -153,25 +174,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Sent
     return SentenceModel.load(spark, f"{path}/model")
 
 
-def _joined(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join with a model table: broadcast if its measured size allows."""
+def _joined(rows: DataFrame, table: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
+    """Left join with a model table: broadcast if its measured size allows; in a plain
+    join rows with a null key get keys of no type, spread by their ``place``."""
     size = sum((F.octet_length(k) for k in keys), F.lit(24))
     m = table.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
     if m.n <= MAX_BROADCAST_ROWS and m.b <= MAX_BROADCAST_BYTES:
         return rows.join(F.broadcast(table), keys, "left")
-    return rows.join(table.hint("merge"), keys, "left")
+    none = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*place), F.lit(SPREAD)).cast("string"))
+    return rows.withColumn(keys[0], F.coalesce(keys[0], none)).join(table.hint("merge"), keys, "left")
 
 
 def boundaries(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, pos, word, ends): whether each whitespace word closes a sentence.  The
     last word of a text always does."""
-    rows = _marked(words(docs, id_col, text_col))
-    # Only words with a period look up the model; the others get keys of no type.
-    none = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(id_col, "pos"), F.lit(SPREAD)).cast("string"))
-    rows = rows.withColumn("type", F.when(F.col("period"), F.col("type")).otherwise(none))
+    rows = _marked(words(docs, id_col, text_col))      # only words with a period have a type and look up the model
     known = model.types.where("abbreviation").select("type", F.lit(True).alias("abbreviation"))
-    rows = _joined(rows, known, ["type"])
-    rows = _joined(rows, model.pairs.where("collocation").select("type", "next_type", F.lit(True).alias("collocation")), ["type", "next_type"])
+    rows = _joined(rows, known, ["type"], [id_col, "pos"])
+    rows = _joined(rows, model.pairs.where("collocation").select("type", "next_type", F.lit(True).alias("collocation")),
+                   ["type", "next_type"], [id_col, "pos"])
     short = _is_initial(F.col("type")) | (F.col("type") == NUMBER)
     open_ = F.coalesce("abbreviation", F.lit(False)) | F.coalesce("collocation", F.lit(False)) | (short & F.coalesce("next_letter", F.lit(False)))
     return rows.select(id_col, "pos", "word", (F.col("next").isNull() | F.col("stop") | (F.col("period") & ~open_)).alias("ends"))
@@ -192,8 +213,10 @@ def sentence_tokens(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id
     "u.s." and "etc." stay one token inside it.  ``pos`` is the word's position,
     ``sub`` the token's place in the word."""
     b = boundaries(docs, model, id_col, text_col)
-    toks = F.when(F.col("ends"), word_tokens(F.col("word"), True)).otherwise(word_tokens(F.col("word"), False))
-    return b.select(id_col, "pos", F.posexplode(toks).alias("sub", "token"))
+    word, low = F.col("word"), F.col("_low")
+    toks = F.when(is_one_token(low), F.array(low)).when(F.col("ends"), word_tokens(word, True)).otherwise(word_tokens(word, False))
+    return b.withColumn("_low", F.lower(word)).select(id_col, "pos", toks.alias("_t")).select(id_col, "pos", F.posexplode_outer("_t").alias("sub", "token")).where(
+        "token is not null")
 
 
 def sentence_terms(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
