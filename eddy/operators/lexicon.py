@@ -49,14 +49,17 @@ def word_edges(docs: DataFrame, text_col: str = "text", reach: int = REACH, leas
     rows = docs.select(_words(text_col).alias("w")).where(F.size("w") > 1)
     # A word with the up to ``reach`` words after it.
     at = rows.select("w", F.posexplode("w").alias("i", "a")).select("a", F.explode(F.slice("w", F.col("i") + 2, F.lit(reach))).alias("b"))
-    pairs = at.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("n"))
-    pairs = _kept(pairs, "lexicon-pairs")
+    at = at.where("a <> b")
+    # A word's number of pairs is counted from the texts, so that of the pairs only
+    # those that occur often are stored.  A pair is one string (words hold no space).
+    side = _kept(at.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("s")), "lexicon-words")
+    pairs = at.select(F.concat(F.least("a", "b"), F.lit(" "), F.greatest("a", "b")).alias("p")).groupBy("p").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    pairs = _kept(pairs.select(F.substring_index("p", " ", 1).alias("a"), F.substring_index("p", " ", -1).alias("b"), "n"), "lexicon-pairs")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
-    side = _kept(both.groupBy("a").agg(F.sum("n").alias("s")), "lexicon-words")
     total = side.agg(F.sum("s")).first()[0] or 1       # one row
     frequent = side.where(F.col("s") >= least)
-    out = both.where(F.col("n") >= least).join(frequent.withColumnRenamed("s", "sa"), "a").join(
+    out = both.join(frequent.withColumnRenamed("s", "sa"), "a").join(
         frequent.select(F.col("a").alias("b"), F.col("s").alias("sb")), "b")
     pmi = F.log(F.col("n").cast("double") * F.lit(float(total)) / (F.col("sa").cast("double") * F.col("sb").cast("double")))
     return out.select("a", "b", "n", F.round(pmi, 6).alias("weight")).where("weight > 0")
