@@ -15,10 +15,14 @@ Pairs are counted with partial sums on the map side.  Only words and pairs that
 from __future__ import annotations
 
 import math
+import uuid
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eddy.functions import near
 from eddy.functions.text import sentiment_words
 from eddy.session import scratch_path
 
@@ -30,6 +34,7 @@ SEED = 2.0         # valence of a seed word from labelled documents, either sign
 ODDS = 1.5         # log odds from which on a word is a seed
 WORD = r"^\p{L}[\p{L}']+$"
 FAINT = 0.005      # valences below are left out of the lexicon
+PART_PAIRS = 1 << 22       # pairs that a task adds up at a time
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:
@@ -42,27 +47,75 @@ def _words(text_col: str):
     return F.filter(sentiment_words(F.coalesce(F.col(text_col), F.lit(""))), lambda w: w.rlike(WORD))
 
 
+def _texts(docs: DataFrame, text_col: str, *others) -> DataFrame:
+    """Lower-cased texts, for the steps of ``near``."""
+    cloudpickle.register_pickle_by_value(near)      # executors need not have this package
+    return docs.select(F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"), *others)
+
+
+def _coded(words: DataFrame, key: str, shared: np.ndarray) -> DataFrame:
+    return words.mapInArrow(near.add_codes(key, shared), "a string, s long, hash long, code long")
+
+
+def _hash_key(words: DataFrame) -> tuple[str, np.ndarray | None]:
+    """A key under which no two words have one 64-bit hash, and the sorted hashes of the
+    words whose code others would have too; null if these are too many."""
+    while True:
+        key = uuid.uuid4().hex[:16]
+        coded = _coded(words, key, np.zeros(0, dtype=np.uint64)).select("hash", "code")
+        twice = coded.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("code")
+        found = coded.join(twice, "code", "left_semi").select("hash").limit(near.MAX_SHARED + 1).toArrow()["hash"].to_numpy()
+        if len(found) > near.MAX_SHARED:
+            return key, None
+        shared = np.sort(found.view(np.uint64))
+        if not (shared[1:] == shared[:-1]).any():
+            return key, shared
+
+
+def _coded_pairs(docs: DataFrame, words: DataFrame, total: int, key: str, shared: np.ndarray, text_col: str, reach: int, least: int) -> DataFrame:
+    """(x, y, n): the codes of the pairs that occur ``least`` times or more."""
+    spark = docs.sparkSession
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 2 / PART_PAIRS))
+    texts = _texts(docs, text_col)
+    blocks = texts.mapInArrow(near.count_pairs(near.letter_kinds(spark), reach, key, shared, parts), "part int, block binary")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(near.add_pairs(least), "x long, y long, n long")
+
+
+def _string_pairs(docs: DataFrame, words: DataFrame, text_col: str, reach: int, least: int) -> DataFrame:
+    """(a, sa, b, sb, n) of such pairs, for more different words than have codes."""
+    rows = docs.select(_words(text_col).alias("w")).where(F.size("w") > 1)
+    # A word with the up to ``reach`` words after it.  A pair is one string (words hold no space).
+    at = rows.select("w", F.posexplode("w").alias("i", "a")).select("a", F.explode(F.slice("w", F.col("i") + 2, F.lit(reach))).alias("b"))
+    pairs = at.where("a <> b").select(F.concat(F.least("a", "b"), F.lit(" "), F.greatest("a", "b")).alias("p")).groupBy("p").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    pairs = pairs.select(F.substring_index("p", " ", 1).alias("a"), F.substring_index("p", " ", -1).alias("b"), "n")
+    frequent = words.where(F.col("s") >= least)
+    return pairs.join(frequent.withColumnRenamed("s", "sa"), "a").join(
+        frequent.select(F.col("a").alias("b"), F.col("s").alias("sb")), "b").select("a", "sa", "b", "sb", "n")
+
+
 def word_edges(docs: DataFrame, text_col: str = "text", reach: int = REACH, least: int = LEAST) -> DataFrame:
     """(a, b, n, weight): both directions of every pair of different words that occur
     near each other ``least`` times or more and more often than by chance; weight is
     the PMI over all pairs."""
-    rows = docs.select(_words(text_col).alias("w")).where(F.size("w") > 1)
-    # A word with the up to ``reach`` words after it.
-    at = rows.select("w", F.posexplode("w").alias("i", "a")).select("a", F.explode(F.slice("w", F.col("i") + 2, F.lit(reach))).alias("b"))
-    at = at.where("a <> b")
+    kinds = near.letter_kinds(docs.sparkSession)
     # A word's number of pairs is counted from the texts, so that of the pairs only
-    # those that occur often are stored.  A pair is one string (words hold no space).
-    side = _kept(at.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").agg(F.count(F.lit(1)).alias("s")), "lexicon-words")
-    pairs = at.select(F.concat(F.least("a", "b"), F.lit(" "), F.greatest("a", "b")).alias("p")).groupBy("p").agg(
-        F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    pairs = _kept(pairs.select(F.substring_index("p", " ", 1).alias("a"), F.substring_index("p", " ", -1).alias("b"), "n"), "lexicon-pairs")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
-    total = side.agg(F.sum("s")).first()[0] or 1       # one row
-    frequent = side.where(F.col("s") >= least)
-    out = both.join(frequent.withColumnRenamed("s", "sa"), "a").join(
-        frequent.select(F.col("a").alias("b"), F.col("s").alias("sb")), "b")
+    # those that occur often are stored.
+    side = _texts(docs, text_col).mapInArrow(near.count_sides(kinds, reach), "a string, s long")
+    words = _kept(side.groupBy("a").agg(F.sum("s").alias("s")), "lexicon-words")
+    total = words.agg(F.sum("s")).first()[0] or 1       # one row
+    key, shared = _hash_key(words)
+    if shared is None:
+        pairs = _string_pairs(docs, words, text_col, reach, least)
+    else:
+        # The words' side of the joins is the small one: it is hashed, the pairs are not sorted.
+        named = _coded(words.where(F.col("s") >= least), key, shared).drop("hash")
+        x, y = (named.select(F.col("code").alias(c), F.col("a").alias(f"w{c}"), F.col("s").alias(f"s{c}")).hint("shuffle_hash") for c in "xy")
+        pairs = _coded_pairs(docs, words, total, key, shared, text_col, reach, least).join(x, "x").join(y, "y")
+        pairs = pairs.select(F.least("wx", "wy").alias("a"), F.col("sx").alias("sa"), F.greatest("wx", "wy").alias("b"), F.col("sy").alias("sb"), "n")
     pmi = F.log(F.col("n").cast("double") * F.lit(float(total)) / (F.col("sa").cast("double") * F.col("sb").cast("double")))
-    return out.select("a", "b", "n", F.round(pmi, 6).alias("weight")).where("weight > 0")
+    pairs = _kept(pairs.select("a", "b", "n", F.round(pmi, 6).alias("weight")), "lexicon-pairs").where("weight > 0")
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n", "weight"))
 
 
 def labelled_seeds(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
