@@ -245,6 +245,23 @@ def add_pairs(least: int):
     return run
 
 
+def count_labelled(kinds):
+    """(text, bad, good), texts lower-cased, to (word, n, bad, good): how many texts of a
+    piece hold a word, and how many with either label."""
+    def run(batches):
+        for piece in pieces(batches, PIECE_BYTES):
+            row, at, words = split_words(piece.column(0), kinds)
+            keys = row.astype(np.int64) * max(1, len(words)) + at
+            keys.sort()
+            row, at = np.divmod(summed(keys)[0], max(1, len(words)))
+            counts = [np.bincount(at, minlength=len(words))]
+            for c in (1, 2):
+                label = piece.column(c).to_numpy(zero_copy_only=False)[row]
+                counts.append(np.bincount(at[label > 0], minlength=len(words)))
+            yield from rows_of(["word", "n", "bad", "good"], [words, *counts])
+    return run
+
+
 def add_codes(key: str, shared: np.ndarray):
     """(a, s) to (a, s, hash, code)."""
     def run(batches):

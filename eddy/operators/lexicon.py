@@ -34,6 +34,8 @@ SEED = 2.0         # valence of a seed word from labelled documents, either sign
 ODDS = 1.5         # log odds from which on a word is a seed
 WORD = r"^\p{L}[\p{L}']+$"
 FAINT = 0.005      # valences below are left out of the lexicon
+MAX_KNOWN = 2_000_000      # labels (an id and two bits) up to which they are broadcast
+MAX_FEW = 200_000          # words up to which their valences are broadcast
 PART_PAIRS = 1 << 22       # pairs that a task adds up at a time
 
 
@@ -47,6 +49,11 @@ def _words(text_col: str):
     return F.filter(sentiment_words(F.coalesce(F.col(text_col), F.lit(""))), lambda w: w.rlike(WORD))
 
 
+def _few(words: DataFrame) -> DataFrame:
+    """A table of words, broadcast if its size allows."""
+    return F.broadcast(words) if words.limit(MAX_FEW + 1).count() <= MAX_FEW else words
+
+
 def _texts(docs: DataFrame, text_col: str, *others) -> DataFrame:
     """Lower-cased texts, for the steps of ``near``."""
     cloudpickle.register_pickle_by_value(near)      # executors need not have this package
@@ -124,10 +131,14 @@ def labelled_seeds(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).agg(
         F.max((F.col("toxic") == 1).cast("int")).alias("bad"),
         F.max(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("good")).na.fill(0)
-    rows = docs.select(id_col, F.explode(F.array_distinct(_words(text_col))).alias("word")).join(known, id_col)
-    size = known.join(docs.select(id_col), id_col).agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    known = _kept(known, "lexicon-labels")
+    known = F.broadcast(known) if known.limit(MAX_KNOWN + 1).count() <= MAX_KNOWN else known
+    size = docs.select(id_col).join(known, id_col).agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     n, bad, good = size.n or 0, size.bad or 0, size.good or 0
-    w = rows.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("n") >= least)
+    # Texts meet their labels whole; a word is a row for each piece of the texts that holds it.
+    rows = _texts(docs.join(known, id_col), text_col, "bad", "good").mapInArrow(
+        near.count_labelled(near.letter_kinds(docs.sparkSession)), "word string, n long, bad long, good long")
+    w = rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("good").alias("good")).where(F.col("n") >= least)
 
     def odds(hit: str, of: int):
         # Of documents with and without the label, the share that holds the word.
@@ -135,16 +146,17 @@ def labelled_seeds(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         no = (F.col("n") - F.col(hit) + 0.5) / F.lit(n - of + 1.0)
         return F.round(F.log(yes / no), 6)
     value = F.when(odds("bad", bad) >= ODDS, -SEED).when(odds("good", good) >= ODDS, SEED)
-    return w.select("word", value.alias("valence")).where("valence is not null")
+    return _kept(w.select("word", value.alias("valence")).where("valence is not null"), "lexicon-labelled")
 
 
 def spread_once(edges: DataFrame, valences: DataFrame, seeds: DataFrame, damping: float = DAMPING) -> DataFrame:
     """(word, valence) after one round: seeds keep theirs, every other word takes the
     damped mean of its neighbours'; words with no valence near are left out."""
-    far = edges.groupBy("a").agg(F.sum("weight").alias("all"))
-    near = edges.join(valences.withColumnRenamed("word", "b"), "b").groupBy("a").agg(F.sum(F.col("weight") * F.col("valence")).alias("v"))
-    got = near.join(far, "a").select(F.col("a").alias("word"), F.round(F.lit(damping) * F.col("v") / F.col("all"), 6).alias("valence"))
-    return got.join(seeds.select("word"), "word", "left_anti").unionByName(seeds.select("word", "valence"))
+    known = valences.groupBy(F.col("word").alias("b")).agg(F.sum("valence").alias("valence"))
+    rows = edges.join(_few(known.withColumn("known", F.lit(1))), "b", "left")
+    got = rows.groupBy("a").agg(F.sum("weight").alias("all"), F.sum(F.col("weight") * F.col("valence")).alias("v"), F.count("known").alias("near"))
+    got = got.where("near > 0").select(F.col("a").alias("word"), F.round(F.lit(damping) * F.col("v") / F.col("all"), 6).alias("valence"))
+    return got.join(_few(seeds.select("word")), "word", "left_anti").unionByName(seeds.select("word", "valence"))
 
 
 def induce(docs: DataFrame, seeds: DataFrame, text_col: str = "text", damping: float = DAMPING, settled: float = SETTLED) -> DataFrame:

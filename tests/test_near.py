@@ -106,3 +106,51 @@ def test_pairs_are_not_rows_before_they_are_counted(spark, monkeypatch, texts):
     monkeypatch.setattr(lx, "_kept", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().toString()) and keep(df, name))
     lx.word_edges(spark.createDataFrame([(t,) for t in texts], "text string"))
     assert plans.keys() == {"lexicon-words", "lexicon-pairs"} and not any("Generate" in p for p in plans.values())
+
+
+def test_seeds_are_counted_by_text(spark, monkeypatch):
+    """Counts over pieces of a few texts equal a plain count; ids that come twice, none and
+    ids without a label."""
+    monkeypatch.setattr(near, "PIECE_BYTES", 40)
+    rnd = random.Random(3)
+    rows, labels = [], []
+    for i in range(200):
+        toxic = i % 2
+        rows.append((i // 2 if i < 20 else i, " ".join(rnd.choice(["bad", "bad!", "x1", "it"] if toxic else ["good", "it", "Good,"]) for _ in range(6))))
+        labels += [(i, 1 - toxic, toxic), (i, None, None)] if i % 5 else []
+    docs = spark.createDataFrame(rows + [(None, "bad bad"), (7, None)], "doc_id long, text string").repartition(4)
+    got = {r.word: r.valence for r in lx.labelled_seeds(docs, spark.createDataFrame(labels + [(None, 1, 0)], "doc_id long, quality int, toxic int")).collect()}
+    known = {i: (t or 0, int(q == 1 and t == 0)) for i, q, t in labels if q is not None}
+    held, of = Counter(), Counter()
+    for i, text in rows + [(7, "")]:
+        if i in known:
+            of.update({"n": 1, "bad": known[i][0], "good": known[i][1]})
+            for w in {x.strip("!,") for x in text.lower().split()} - {"x1"}:
+                held.update({(w, "n"): 1, (w, "bad"): known[i][0], (w, "good"): known[i][1]})
+
+    def odds(w, c):
+        return np.log((held[w, c] + 0.5) / (of[c] + 1) / ((held[w, "n"] - held[w, c] + 0.5) / (of["n"] - of[c] + 1)))
+    want = {w: -lx.SEED if odds(w, "bad") >= lx.ODDS else lx.SEED if odds(w, "good") >= lx.ODDS else None for w in ("bad", "good", "it")}
+    assert got == {w: v for w, v in want.items() if v is not None} and set(got) == {"bad", "good"}
+
+
+def test_a_step_reads_its_edges_once(spark, monkeypatch):
+    edges = spark.createDataFrame([("a", "b", 3, 1.0), ("b", "a", 3, 1.0), ("a", "c", 3, 3.0), ("c", "a", 3, 3.0), ("c", "d", 5, 1.0), ("d", "c", 5, 1.0)],
+                                  "a string, b string, n long, weight double")
+    seeds = spark.createDataFrame([("b", 2.0), ("zz", -1.0)], "word string, valence double")
+    for few in (lx.MAX_FEW, 0):
+        monkeypatch.setattr(lx, "MAX_FEW", few)
+        # c has no neighbour with a valence, but d; a valence given twice counts twice
+        twice = seeds.unionByName(spark.createDataFrame([("d", 1.0), ("d", 1.0)], "word string, valence double"))
+        step = lx.spread_once(edges, twice, seeds)
+        assert {(r.word, r.valence) for r in step.collect()} == {("a", 0.4), ("c", 0.4), ("b", 2.0), ("zz", -1.0)}
+        assert step._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [a#") == 1
+
+
+def test_texts_are_not_cut_into_rows_for_seeds(spark, monkeypatch):
+    plans = {}
+    keep = lx._kept
+    monkeypatch.setattr(lx, "_kept", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().toString()) and keep(df, name))
+    docs = spark.createDataFrame([(1, "bad word")], "doc_id long, text string")
+    lx.labelled_seeds(docs, spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int"))
+    assert "lexicon-labelled" in plans and not any("Generate" in p for p in plans.values())
