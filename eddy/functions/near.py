@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 PIECE_BYTES = 8 << 20      # bytes of text that a task splits at a time (a longer text by itself)
 WINDOW = 1 << 20           # words whose pairs are made at a time
 SLICE_PAIRS = 1 << 24      # pairs that a task sorts at a time
+SLICE_EDGES = 1 << 20      # frequent pairs that a task looks at a time
 MAX_SHARED = 1 << 22       # codes set aside for words that share the bits of others
 ROWS = 1 << 17             # rows that a task hands over at a time
 MARKS = "".join(c for c in map(chr, range(128)) if not c.isalnum() and c != "'")
@@ -270,3 +271,97 @@ def add_codes(key: str, shared: np.ndarray):
             columns = [*batch.columns, pa.array(h.view(np.int64)), pa.array(word_codes(h, shared).astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "s", "hash", "code"])
     return run
+
+
+# ------------------- frequent pairs as edges between nodes --------------------
+
+def _slices(batches) -> Iterator[list[np.ndarray]]:
+    """The columns of many batches at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        size += batch.num_rows
+        if size >= SLICE_EDGES:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held, size = [], 0
+    if size:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def each_code():
+    """(x, y, n) to (code): every code in a slice once."""
+    def run(batches):
+        for x, y, _ in _slices(batches):
+            yield from rows_of(["code"], [np.unique(np.append(x, y))])
+    return run
+
+
+def link(shared, total: int, parts: int):
+    """(x, y, n) to (part, block): both directions of each pair with a positive weight, by
+    ranges of nodes.  A node is a place in the sorted codes; ``shared`` are those and their
+    words' numbers of pairs.  Weights are in millionths."""
+    def run(batches):
+        codes, s = shared.value
+        for x, y, n in _slices(batches):
+            i, j = np.searchsorted(codes, x.astype(codes.dtype)), np.searchsorted(codes, y.astype(codes.dtype))
+            w = np.rint(np.log(n.astype(np.float64) * float(total) / (s[i] * s[j])) * 1e6).astype(np.int32)
+            i, j, w = i[w > 0].astype(np.int32), j[w > 0].astype(np.int32), w[w > 0]
+            a, b, w = np.append(i, j), np.append(j, i), np.append(w, w)
+            part = a.astype(np.int64) * parts // max(1, len(codes))
+            order = np.argsort(part, kind="stable")
+            cuts = np.append(np.flatnonzero(np.diff(part[order], prepend=-1)), len(a))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                at = order[lo:hi]
+                block = np.stack([a[at], b[at], w[at]]).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([part[at[0]]], pa.int32()), pa.array([block], pa.binary())], names=["part", "block"])
+    return run
+
+
+def gather():
+    """(part, block), sorted by part, to (nodes, starts, near, weights): a row a part, the
+    nodes in order and for each where its neighbours start."""
+    def gathered(held):
+        a, b, w = np.concatenate(held, axis=1)
+        order = np.argsort(a, kind="stable")
+        a, b, w = a[order], b[order], w[order]
+        starts = np.flatnonzero(np.diff(a, prepend=-1)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in (a[starts], starts, b, w)], names=["nodes", "starts", "near", "weights"])
+
+    def run(batches):
+        now, held = None, []
+        for batch in batches:
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != now and held:
+                    yield gathered(held)
+                    held = []
+                now = part
+                held.append(np.frombuffer(block.as_buffer(), np.int32).reshape(3, -1))
+        if held:
+            yield gathered(held)
+    return run
+
+
+def one_round(shared, damping: float):
+    """Rows of ``gather`` to (nodes, valences): the damped mean of the neighbours' valences,
+    ``shared``, by node."""
+    def run(batches):
+        now = shared.value
+        for batch in batches:
+            for row in zip(*batch.columns):
+                nodes, starts, near, weights = (np.frombuffer(c.as_buffer(), np.int32) for c in row)
+                w = weights / 1e6
+                new = damping * np.add.reduceat(w * now[near], starts) / np.add.reduceat(w, starts)
+                yield pa.RecordBatch.from_arrays([pa.array([nodes.tobytes()], pa.binary()), pa.array([np.round(new, 6).tobytes()], pa.binary())], names=["nodes", "valences"])
+    return run
+
+
+def named_valences(shared, least: float):
+    """(code, a, s) to (word, valence) of ``least`` or more either side of zero; ``shared``
+    are the sorted codes and their valences."""
+    def run(batches):
+        codes, valences = shared.value
+        for batch in batches:
+            v = valences[np.searchsorted(codes, batch.column(0).to_numpy().astype(codes.dtype))]
+            found = pa.array(np.flatnonzero(np.abs(v) >= least))
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(found), pa.array(v).take(found)], names=["word", "valence"])
+    return run
