@@ -4,15 +4,16 @@ A task splits its texts piece by piece, and looks at each different word of a pi
 once.  Words are the ``sentiment_words`` that are letters and apostrophes only; what
 letters and digits are is asked of Spark's regular expressions.
 
-A word's code has 32 bits of its hash.  Words of the input that share those bits are
-few; they are given (``shared``, their sorted 64-bit hashes) and have codes of their
-own, so that two words never have one code and a pair is exactly one 64-bit key.  The
-keys of a task are sorted and counted; blocks of them, cut by value, go to the task
-that adds them up.
+A word's code has some bits of its hash, a few more than it takes to number the words.
+Words of the input that share those bits are few; they are given (``shared``, their
+sorted 64-bit hashes) and have codes of their own, so that two words never have one
+code and a pair is exactly one key.  The keys of a task are sorted and counted; blocks
+of them, cut by value, go to the task that adds them up.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,15 +23,16 @@ from pandas.util import hash_array
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-PIECE_BYTES = 8 << 20      # bytes of text that a task splits at a time (a longer text by itself)
-WINDOW = 1 << 20           # words whose pairs are made at a time
-SLICE_PAIRS = 1 << 24      # pairs that a task sorts at a time
+PIECE_BYTES = 4 << 20      # bytes of text that a task splits at a time (a longer text by itself)
+WINDOW = 1 << 19           # words whose pairs are made at a time
+SLICE_PAIRS = 1 << 23      # pairs that a task sorts at a time
 SLICE_EDGES = 1 << 20      # frequent pairs that a task looks at a time
-MAX_SHARED = 1 << 22       # codes set aside for words that share the bits of others
+MAX_SHARED = 1 << 22       # words that share the bits of others
+MAX_BITS = 32              # of a word's code; two go into a key
 ROWS = 1 << 17             # rows that a task hands over at a time
 MARKS = "".join(c for c in map(chr, range(128)) if not c.isalnum() and c != "'")
 PLANES = 0x40000           # code points from here on are no letters
-_LOW, _ODD = np.uint64(0xFFFFFFFF), np.uint64(0x9E3779B1)
+_ODD = np.uint64(0x9E3779B1)
 _kinds: list = []
 
 
@@ -86,6 +88,7 @@ def pieces(batches, most: int) -> Iterator[pa.RecordBatch]:
         cuts = np.unique(np.append(np.searchsorted(n, np.arange(0, n[-1] + 1 if len(n) else 0, most)), len(n)))
         for a, b in zip(cuts[:-1], cuts[1:]):
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def neighbours(row: np.ndarray, word: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -102,29 +105,30 @@ def word_hashes(words: pa.Array, key: str) -> np.ndarray:
     return hash_array(np.array(words.to_pylist(), dtype=object), hash_key=key, categorize=False)
 
 
-def word_codes(hashes: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """32-bit codes (in 64): the hash's, and below ``MAX_SHARED`` those of ``shared``."""
-    code = plain_codes(hashes)
+def plain_codes(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes % np.uint64(3 << bits - 2)
+
+
+def word_codes(hashes: np.ndarray, shared: np.ndarray, bits: int) -> np.ndarray:
+    """Codes of so many bits: the hash's, and in the last quarter those of ``shared``."""
+    code = plain_codes(hashes, bits)
     if len(shared):
         at = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
-        code = np.where(shared[at] == hashes, at.astype(np.uint64), code)
+        code = np.where(shared[at] == hashes, at.astype(np.uint64) + np.uint64(3 << bits - 2), code)
     return code
 
 
-def plain_codes(hashes: np.ndarray) -> np.ndarray:
-    return hashes % np.uint64((1 << 32) - MAX_SHARED) + np.uint64(MAX_SHARED)
-
-
-def pair_keys(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """One key for two codes in either order.  The high half depends on both, so the
+def pair_keys(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
+    """One key for two codes in either order.  Its high half depends on both, so the
     pairs of a frequent word lie apart."""
     low, high = np.minimum(x, y), np.maximum(x, y)
-    return ((low + high * _ODD) & _LOW) << np.uint64(32) | high
+    return ((low + high * _ODD) & np.uint64((1 << bits) - 1)) << np.uint64(bits) | high
 
 
-def key_codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    high = keys & _LOW
-    return ((keys >> np.uint64(32)) - high * _ODD) & _LOW, high
+def key_codes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64((1 << bits) - 1)
+    high = keys & mask
+    return ((keys >> np.uint64(bits)) - high * _ODD) & mask, high
 
 
 def summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -134,33 +138,42 @@ def summed(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, n
     return keys[first], many
 
 
-def _narrow(x: np.ndarray) -> tuple[int, bytes]:
-    """Unsigned 64-bit numbers in as many bytes each as the largest needs."""
+def _bytes(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers as rows of as many bytes as the largest needs, lowest first."""
     wide = max(1, (int(x.max()).bit_length() + 7) // 8)
-    return wide, x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide].tobytes()
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
 
 
-def _wide(data: memoryview, wide: int) -> np.ndarray:
-    out = np.zeros((len(data) // wide, 8), dtype=np.uint8)
-    out[:, :wide] = np.frombuffer(data, np.uint8).reshape(-1, wide)
+def _numbers(columns: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((columns[0].shape[0], 8), dtype=np.uint8)
+    at = 0
+    for c in columns:
+        out[:, at:at + c.shape[1]] = c
+        at += c.shape[1]
     return out.view("<u8").ravel()
 
 
 def packed(keys: np.ndarray, n: np.ndarray) -> bytes:
-    """Sorted different keys (one or more) and their counts."""
-    (wk, step), (wn, many) = _narrow(np.diff(keys, prepend=keys[:1])), _narrow(n.astype(np.uint64))
-    return np.array([len(keys), wk, wn, keys[0]], "<u8").tobytes() + step + many
+    """Sorted different keys (one or more) and their counts.  The steps' highest bytes and
+    the counts take few values; they are Huffman coded."""
+    step, many = _bytes(np.diff(keys, prepend=keys[:1])), _bytes(n.astype(np.uint64))
+    code = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_HUFFMAN_ONLY)
+    few = code.compress(step[:, -1].tobytes() + many.tobytes()) + code.flush()
+    return np.array([len(keys), step.shape[1], many.shape[1], keys[0]], "<u8").tobytes() + step[:, :-1].tobytes() + few
 
 
 def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     size, wk, wn, first = (int(x) for x in np.frombuffer(block, "<u8", 4))
-    data, end = memoryview(block), 32 + size * wk
-    return np.cumsum(_wide(data[32:end], wk), dtype=np.uint64) + np.uint64(first), _wide(data[end:], wn).astype(np.int64)
+    data, end = memoryview(block), 32 + size * (wk - 1)
+    few = np.frombuffer(zlib.decompress(data[end:], -15), np.uint8)
+    step = _numbers([np.frombuffer(data[32:end], np.uint8).reshape(size, wk - 1), few[:size].reshape(size, 1)])
+    return np.cumsum(step, dtype=np.uint64) + np.uint64(first), _numbers([few[size:].reshape(size, wn)]).astype(np.int64)
 
 
-def blocks(keys: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
-    """Sorted keys, counted, in ``parts`` ranges of equal width, empty ones left out."""
-    ends = [-(-(k << 32) // parts) << 32 for k in range(1, parts)]      # part = high half * parts >> 32
+def blocks(keys: np.ndarray, bits: int, parts: int) -> Iterator[tuple[int, bytes]]:
+    """Sorted keys of ``bits`` for each word, counted, in ``parts`` ranges of equal width,
+    empty ones left out."""
+    ends = [-(-(k << 2 * bits) // parts) for k in range(1, parts)]
     cuts = [0, *np.searchsorted(keys, np.array(ends, dtype=np.uint64)), len(keys)]
     for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         if a < b:
@@ -187,7 +200,7 @@ def count_sides(kinds, reach: int):
     return run
 
 
-def count_pairs(kinds, reach: int, key: str, shared: np.ndarray, parts: int):
+def count_pairs(kinds, reach: int, key: str, shared: np.ndarray, bits: int, parts: int):
     """Lower-cased texts to (part, block): the pairs of a slice, counted."""
     def handed(out):
         return pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())], names=["part", "block"])
@@ -195,7 +208,7 @@ def count_pairs(kinds, reach: int, key: str, shared: np.ndarray, parts: int):
     def flushed(keys):
         keys.sort()
         out, size = [], 0
-        for part, block in blocks(keys, parts):
+        for part, block in blocks(keys, bits, parts):
             out.append((part, block))
             size += len(block)
             if size > PIECE_BYTES:
@@ -210,27 +223,27 @@ def count_pairs(kinds, reach: int, key: str, shared: np.ndarray, parts: int):
             row, at, words = split_words(piece.column(0), kinds)
             if not len(words):
                 continue
-            code = word_codes(word_hashes(words, key), shared)[at]
+            code = word_codes(word_hashes(words, key), shared, bits)[at]
             del at, words
             for x, y in neighbours(row, code, reach):
                 if size + len(x) > SLICE_PAIRS:
                     yield from flushed(held[:size])
                     size = 0
-                held[size:size + len(x)] = pair_keys(x, y)
+                held[size:size + len(x)] = pair_keys(x, y, bits)
                 size += len(x)
         if size:
             yield from flushed(held[:size])
     return run
 
 
-def add_pairs(least: int):
+def add_pairs(bits: int, least: int):
     """(part, block), sorted by part, to (x, y, n): the codes of pairs that occur often."""
     def added(held):
         keys, n = (np.concatenate(c) for c in zip(*held))
         order = np.argsort(keys, kind="stable")
         keys, n = summed(keys[order], n[order])
         often = n >= least
-        yield from rows_of(["x", "y", "n"], [*(c.astype(np.int64) for c in key_codes(keys[often])), n[often]])
+        yield from rows_of(["x", "y", "n"], [*(c.astype(np.int64) for c in key_codes(keys[often], bits)), n[often]])
 
     def run(batches):
         now, held = None, []
@@ -263,12 +276,12 @@ def count_labelled(kinds):
     return run
 
 
-def add_codes(key: str, shared: np.ndarray):
+def add_codes(key: str, shared: np.ndarray, bits: int):
     """(a, s) to (a, s, hash, code)."""
     def run(batches):
         for batch in batches:
             h = word_hashes(batch.column(0), key) if batch.num_rows else np.zeros(0, dtype=np.uint64)
-            columns = [*batch.columns, pa.array(h.view(np.int64)), pa.array(word_codes(h, shared).astype(np.int64))]
+            columns = [*batch.columns, pa.array(h.view(np.int64)), pa.array(word_codes(h, shared, bits).astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "s", "hash", "code"])
     return run
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -38,8 +39,9 @@ FAINT = 0.005      # valences below are left out of the lexicon
 MAX_KNOWN = 2_000_000      # labels (an id and two bits) up to which they are broadcast
 MAX_FEW = 200_000          # words up to which their valences are broadcast
 MAX_NODES = 1 << 23        # words of frequent pairs up to which their valences are one array
-PART_EDGES = 1 << 20       # edges in a row of arrays
+PART_EDGES = 1 << 19       # edges in a row of arrays
 PART_PAIRS = 1 << 22       # pairs that a task adds up at a time
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 class Counted(NamedTuple):
@@ -48,11 +50,26 @@ class Counted(NamedTuple):
     total: int
     key: str
     shared: np.ndarray | None
+    bits: int
+
+
+@contextmanager
+def _small_batches(spark):
+    """Within, Python tasks get no more bytes of rows at a time than they work on (Spark's
+    own bound is 64 MB, of which a task holds several copies)."""
+    now = spark.conf.get(BATCH)
+    if not now.removesuffix("b").isdigit() or not 0 < int(now.removesuffix("b")) <= near.PIECE_BYTES:
+        spark.conf.set(BATCH, str(near.PIECE_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, now)
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -71,32 +88,33 @@ def _texts(docs: DataFrame, text_col: str, *others) -> DataFrame:
     return docs.select(F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_t"), *others)
 
 
-def _coded(words: DataFrame, key: str, shared: np.ndarray) -> DataFrame:
-    return words.mapInArrow(near.add_codes(key, shared), "a string, s long, hash long, code long")
+def _coded(words: DataFrame, key: str, shared: np.ndarray, bits: int) -> DataFrame:
+    return words.mapInArrow(near.add_codes(key, shared, bits), "a string, s long, hash long, code long")
 
 
-def _hash_key(words: DataFrame) -> tuple[str, np.ndarray | None]:
-    """A key under which no two words have one 64-bit hash, and the sorted hashes of the
-    words whose code others would have too; null if these are too many."""
+def _hash_key(words: DataFrame) -> tuple[str, np.ndarray | None, int]:
+    """A key under which no two words have one 64-bit hash, the sorted hashes of the words
+    whose code others would have too (null if these are too many), and a code's bits."""
+    bits = min(near.MAX_BITS, max(1, words.count()).bit_length() + 5)
     while True:
         key = uuid.uuid4().hex[:16]
-        coded = _coded(words, key, np.zeros(0, dtype=np.uint64)).select("hash", "code")
+        coded = _coded(words, key, np.zeros(0, dtype=np.uint64), bits).select("hash", "code")
         twice = coded.groupBy("code").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("code")
         found = coded.join(twice, "code", "left_semi").select("hash").limit(near.MAX_SHARED + 1).toArrow()["hash"].to_numpy()
         if len(found) > near.MAX_SHARED:
-            return key, None
+            return key, None, bits
         shared = np.sort(found.view(np.uint64))
-        if not (shared[1:] == shared[:-1]).any():
-            return key, shared
+        if len(shared) <= 1 << bits - 2 and not (shared[1:] == shared[:-1]).any():
+            return key, shared, bits
 
 
 def _coded_pairs(docs: DataFrame, counted: Counted, text_col: str, reach: int, least: int) -> DataFrame:
     """(x, y, n): the codes of the pairs that occur ``least`` times or more."""
     spark = docs.sparkSession
     parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(counted.total / 2 / PART_PAIRS))
-    count = near.count_pairs(near.letter_kinds(spark), reach, counted.key, counted.shared, parts)
+    count = near.count_pairs(near.letter_kinds(spark), reach, counted.key, counted.shared, counted.bits, parts)
     blocks = _texts(docs, text_col).mapInArrow(count, "part int, block binary")
-    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(near.add_pairs(least), "x long, y long, n long")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(near.add_pairs(counted.bits, least), "x long, y long, n long")
 
 
 def _string_pairs(docs: DataFrame, words: DataFrame, text_col: str, reach: int, least: int) -> DataFrame:
@@ -124,7 +142,7 @@ def _count(docs: DataFrame, text_col: str, reach: int) -> Counted:
 def _names(pairs: DataFrame, counted: Counted, least: int) -> DataFrame:
     """(a, sa, b, sb, n) of pairs of codes."""
     # The words' side of the joins is the small one: it is hashed, the pairs are not sorted.
-    named = _coded(counted.words.where(F.col("s") >= least), counted.key, counted.shared)
+    named = _coded(counted.words.where(F.col("s") >= least), counted.key, counted.shared, counted.bits)
     x, y = (named.select(F.col("code").alias(c), F.col("a").alias(f"w{c}"), F.col("s").alias(f"s{c}")).hint("shuffle_hash") for c in "xy")
     return pairs.join(x, "x").join(y, "y").select(
         F.least("wx", "wy").alias("a"), F.col("sx").alias("sa"), F.greatest("wx", "wy").alias("b"), F.col("sy").alias("sb"), "n")
@@ -184,7 +202,7 @@ def spread_once(edges: DataFrame, valences: DataFrame, seeds: DataFrame, damping
 def _nodes(pairs: DataFrame, counted: Counted, least: int) -> DataFrame:
     """(code, a, s): the words of the pairs."""
     codes = pairs.mapInArrow(near.each_code(), "code long").distinct()
-    words = _coded(counted.words.where(F.col("s") >= least), counted.key, counted.shared)
+    words = _coded(counted.words.where(F.col("s") >= least), counted.key, counted.shared, counted.bits)
     return _kept(words.select("code", "a", "s").join(codes, "code", "left_semi"), "lexicon-nodes")
 
 
@@ -209,7 +227,9 @@ def _array_rounds(pairs: DataFrame, nodes: DataFrame, total: int, seeds: DataFra
     restless = seeds.where("word is null").agg(F.max(F.abs("valence"))).first()[0] or 0.0
     for _ in range(rounds):
         shared, new = spark.sparkContext.broadcast(now), np.zeros(len(codes))
-        for node, valence in zip(*graph.mapInArrow(near.one_round(shared, damping), "nodes binary, valences binary").toArrow().columns):
+        with _small_batches(spark):
+            got = graph.mapInArrow(near.one_round(shared, damping), "nodes binary, valences binary").toArrow()
+        for node, valence in zip(*got.columns):
             new[np.frombuffer(node.as_buffer(), np.int32)] = np.frombuffer(valence.as_buffer(), np.float64)
         shared.unpersist()
         new[fixed] = now[fixed]

@@ -52,7 +52,7 @@ def test_rounds_equal_plain_ones(spark, monkeypatch, docs, how):
         monkeypatch.setattr(lx, "MAX_NODES", 5)
     elif how == "too many words":
         monkeypatch.setattr(near, "MAX_SHARED", 2)
-        monkeypatch.setattr(near, "plain_codes", lambda h: h % np.uint64(3) + np.uint64(2))
+        monkeypatch.setattr(near, "plain_codes", lambda h, bits: h % np.uint64(3))
     got = _rows(lx.induce(docs, spark.createDataFrame(seeds, "word string, valence double"), settled=SETTLED))
     assert got.keys() == want.keys() and all(abs(v - want[w]) < 1e-5 and (x, y) == (0.0, 0) for w, (v, x, y) in got.items())
 

@@ -51,16 +51,17 @@ def test_borders_hold_exactly_the_letters(spark):
 
 def test_blocks_keep_keys_and_counts():
     rnd = np.random.default_rng(1)
-    for top in (3, 1 << 20, (1 << 64) - 1):
-        keys = np.sort(rnd.integers(0, top, 5000, dtype=np.uint64, endpoint=True))
-        got = [near.unpacked(b) for _, b in near.blocks(keys, 7)]
+    for bits in (2, 11, 32):
+        keys = np.sort(rnd.integers(0, (1 << 2 * bits) - 1, 5000, dtype=np.uint64, endpoint=True))
+        got = [near.unpacked(b) for _, b in near.blocks(keys, bits, 7)]
         want, n = np.unique(keys, return_counts=True)
         assert (np.concatenate([k for k, _ in got]) == want).all() and (np.concatenate([c for _, c in got]) == n).all()
-        for part, block in near.blocks(keys, 7):
-            assert all(int(k) >> 32 in range(-(-(part << 32) // 7), -(-((part + 1) << 32) // 7)) for k in near.unpacked(block)[0])
-    x, y = (rnd.integers(0, 1 << 32, 1000, dtype=np.uint64) for _ in range(2))
-    a, b = near.key_codes(near.pair_keys(x, y))
-    assert (a == np.minimum(x, y)).all() and (b == np.maximum(x, y)).all() and (near.pair_keys(x, y) == near.pair_keys(y, x)).all()
+        for part, block in near.blocks(keys, bits, 7):
+            assert all(int(k) * 7 >> 2 * bits == part for k in near.unpacked(block)[0])
+        x, y = (rnd.integers(0, 1 << bits, 1000, dtype=np.uint64) for _ in range(2))
+        a, b = near.key_codes(near.pair_keys(x, y, bits), bits)
+        assert (a == np.minimum(x, y)).all() and (b == np.maximum(x, y)).all() and (near.pair_keys(x, y, bits) == near.pair_keys(y, x, bits)).all()
+        assert near.pair_keys(x, y, bits).max() < 1 << 2 * bits
 
 
 @pytest.mark.parametrize("how", ["plain", "small slices", "equal bits", "equal hashes first", "too many words"])
@@ -71,20 +72,20 @@ def test_edges_whatever_the_slices_and_codes(spark, monkeypatch, texts, how):
         for name, size in (("PIECE_BYTES", 64), ("WINDOW", 5), ("SLICE_PAIRS", 16), ("ROWS", 3)):
             monkeypatch.setattr(near, name, size)
     elif how == "equal bits":
-        monkeypatch.setattr(near, "plain_codes", lambda h: h % np.uint64(3) + np.uint64(near.MAX_SHARED))
+        monkeypatch.setattr(near, "plain_codes", lambda h, bits: h % np.uint64(3))
     elif how == "equal hashes first":
         bad = [True]
         keep = lx._coded
 
-        def coded(words, key, shared):
+        def coded(words, key, shared, bits):
             if bad:
                 bad.pop()
                 return words.select("a", "s", F.lit(1).cast("long").alias("hash"), F.lit(5).cast("long").alias("code"))
-            return keep(words, key, shared)
+            return keep(words, key, shared, bits)
         monkeypatch.setattr(lx, "_coded", coded)
     elif how == "too many words":
         monkeypatch.setattr(near, "MAX_SHARED", 2)
-        monkeypatch.setattr(near, "plain_codes", lambda h: h % np.uint64(3) + np.uint64(2))
+        monkeypatch.setattr(near, "plain_codes", lambda h, bits: h % np.uint64(3))
     df = spark.createDataFrame([(t,) for t in texts + [None]], "text string").repartition(3)
     words = [r.w for r in df.select(lx._words("text").alias("w")).collect()]
     want = {p: n for p, n in _pairs(words).items() if n >= lx.LEAST}
